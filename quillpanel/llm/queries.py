@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillpanel.llm import fingerprint, skeleton
+from quillpanel.llm import contamination, fingerprint, mojibake, skeleton
 from quillpanel.session import read_table
 
 NAME_TABLES = {"assessments": "row_id", "masterlist": "master_row", "rosters": "roster_id", "intake": "intake_id"}
@@ -29,7 +29,27 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return copies.filter(F.col("n_copies") >= 2).select(F.col("first").alias("first_row_id"), "n_copies")
 
 
-QUERIES = {"p2_found": p2_found, "p2_groups": p2_groups, "p3_found": p3_found}
+def _leaks(spark: SparkSession, d: str, **how) -> DataFrame:
+    return contamination.find_leaks(read_table(spark, d, "documents"), "doc_id", "text", read_table(spark, d, "exam_items"), "item_id", "item_text", **how)
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return _leaks(spark, d).select(F.col("doc").alias("doc_id"), F.col("item").alias("item_id"))
+
+
+def p8_near(spark: SparkSession, d: str) -> DataFrame:
+    """Passages of 25 words that are nearly an item's: weighted shingle similarity of 0.8 or more."""
+    near = _leaks(spark, d, window=25, min_similarity=0.8)
+    return near.select(F.col("doc").alias("doc_id"), F.col("item").alias("item_id"), "n_windows", "similarity")
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    restored = mojibake.restored_texts(read_table(spark, d, "documents"), "doc_id", "text")
+    digest = F.when(F.col("restored") == mojibake.LOST, F.col("restored")).otherwise(F.md5("restored"))
+    return restored.select("doc_id", digest.alias("restored_md5"))
+
+
+QUERIES = {"p2_found": p2_found, "p2_groups": p2_groups, "p3_found": p3_found, "p8_found": p8_found, "p8_near": p8_near, "p10_found": p10_found}
 
 ORACLE = {
     "p3_found": """
