@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillpanel.llm import contamination, fingerprint, mojibake, skeleton
+from quillpanel.llm import contamination, fingerprint, mixing, mojibake, skeleton
 from quillpanel.session import read_table
 
 NAME_TABLES = {"assessments": "row_id", "masterlist": "master_row", "rosters": "roster_id", "intake": "intake_id"}
@@ -43,13 +43,25 @@ def p8_near(spark: SparkSession, d: str) -> DataFrame:
     return near.select(F.col("doc").alias("doc_id"), F.col("item").alias("item_id"), "n_windows", "similarity")
 
 
+def _mixed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    return mixing.mix_sources(read_table(spark, d, "documents"), "doc_id", "source", "text", read_table(spark, d, "mix_targets"))
+
+
+def p9_mixture(spark: SparkSession, d: str) -> DataFrame:
+    return _mixed(spark, d)[0]
+
+
+def p9_shares(spark: SparkSession, d: str) -> DataFrame:
+    return _mixed(spark, d)[1]
+
+
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     restored = mojibake.restored_texts(read_table(spark, d, "documents"), "doc_id", "text")
     digest = F.when(F.col("restored") == mojibake.LOST, F.col("restored")).otherwise(F.md5("restored"))
     return restored.select("doc_id", digest.alias("restored_md5"))
 
 
-QUERIES = {"p2_found": p2_found, "p2_groups": p2_groups, "p3_found": p3_found, "p8_found": p8_found, "p8_near": p8_near, "p10_found": p10_found}
+QUERIES = {"p2_found": p2_found, "p2_groups": p2_groups, "p3_found": p3_found, "p8_found": p8_found, "p8_near": p8_near, "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p10_found": p10_found}
 
 ORACLE = {
     "p3_found": """
