@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillpanel.llm import contamination, fingerprint, mixing, mojibake, skeleton
+from quillpanel.llm import contamination, fingerprint, linkage, mixing, mojibake, names, resolution, skeleton
 from quillpanel.session import read_table
 
 NAME_TABLES = {"assessments": "row_id", "masterlist": "master_row", "rosters": "roster_id", "intake": "intake_id"}
@@ -29,6 +29,37 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return copies.filter(F.col("n_copies") >= 2).select(F.col("first").alias("first_row_id"), "n_copies")
 
 
+def _nicknames(spark: SparkSession, d: str) -> dict[str, str]:
+    return names.nickname_table(read_table(spark, d, "nicknames"), "nickname", "given_name")
+
+
+def _persons(spark: SparkSession, d: str) -> DataFrame:
+    tables = {
+        "masterlist": (read_table(spark, d, "masterlist"), "master_row", "student_name", "father_name", "location_id"),
+        "rosters": (read_table(spark, d, "rosters"), "roster_id", "student_name", "father_name", "location_id"),
+    }
+    return resolution.resolve_people(tables, _nicknames(spark, d))
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return resolution.person_pairs(_persons(spark, d))
+
+
+def p5_persons(spark: SparkSession, d: str) -> DataFrame:
+    """One row for each roster and master row: the person it describes and how many rows that person has."""
+    persons = _persons(spark, d)
+    sizes = persons.groupBy("entity").agg(F.count("*").alias("n_rows"))
+    return persons.join(sizes, "entity").select("tbl", F.col("row").alias("row_id"), F.md5("entity").alias("person"), "n_rows")
+
+
+def p7_matches(spark: SparkSession, d: str) -> DataFrame:
+    return linkage.link_without_keys(read_table(spark, d, "intake"), read_table(spark, d, "masterlist"), read_table(spark, d, "locations"), _nicknames(spark, d))
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return p7_matches(spark, d).select("intake_id", "student_id")
+
+
 def _leaks(spark: SparkSession, d: str, **how) -> DataFrame:
     return contamination.find_leaks(read_table(spark, d, "documents"), "doc_id", "text", read_table(spark, d, "exam_items"), "item_id", "item_text", **how)
 
@@ -61,7 +92,7 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return restored.select("doc_id", digest.alias("restored_md5"))
 
 
-QUERIES = {"p2_found": p2_found, "p2_groups": p2_groups, "p3_found": p3_found, "p8_found": p8_found, "p8_near": p8_near, "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p10_found": p10_found}
+QUERIES = {"p2_found": p2_found, "p2_groups": p2_groups, "p3_found": p3_found, "p5_found": p5_found, "p5_persons": p5_persons, "p7_found": p7_found, "p7_matches": p7_matches, "p8_found": p8_found, "p8_near": p8_near, "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p10_found": p10_found}
 
 ORACLE = {
     "p3_found": """
