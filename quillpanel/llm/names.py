@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillpanel.llm.skeleton import consistent_form
+from quillpanel.session import stored
 
 # Words before a name that are no part of it, and particles that come and go within family names.
 TITLES = frozenset("MR MRS MS MME MLLE M DR PR PROF UST USTAZ SIR MISS".split())
@@ -209,8 +210,9 @@ def spelling_lexicon(tokens: DataFrame, ratio: int = 3, least: int = 3, short: i
     that is used at least ``least`` times and ``ratio`` times as often (tokens of fewer than ``short`` letters, which
     may be short forms of other names, need more evidence); the commoner of equally near ones. Pairs
     meet through common deletions (two tokens within k edits share a string that k deletions make of both), first
-    one, then two for what is left. Everything is counted and joined distributedly."""
-    counts = tokens.filter(F.length("token") > 1).groupBy("role", "token").agg(F.count("*").alias("n"))
+    one, then two for what is left. Everything is counted and joined distributedly; each step is a written table, so
+    its readers share it."""
+    counts = stored(tokens.filter(F.length("token") > 1).groupBy("role", "token").agg(F.count("*").alias("n")))
 
     def keyed(df: DataFrame, most: int) -> DataFrame:
         def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -246,16 +248,14 @@ def spelling_lexicon(tokens: DataFrame, ratio: int = 3, least: int = 3, short: i
         near = pairs.withColumn("d", edits("token", "hub")).filter(F.col("d") <= 2)
         return near.groupBy("role", "token").agg(F.min_by(F.struct("hub", "hub_n"), F.struct("d", -F.col("hub_n"), "hub")).alias("best"))
 
-    counts = counts.persist()
-    hubs = counts.filter(F.col("n") >= least)
-    one = nearest(counts, 1).persist()
+    one = stored(nearest(counts, 1))
     rest = counts.filter((F.length("token") >= 7) & (F.col("n") < 1000)).join(one, ["role", "token"], "left_anti")
     two = nearest(rest, 2)
-    best = one.unionByName(two).select("role", "token", F.col("best.hub").alias("hub"), F.col("best.hub_n").alias("hub_n"))
+    best = stored(one.unionByName(two)).select("role", "token", F.col("best.hub").alias("hub"), F.col("best.hub_n").alias("hub_n"))
     # a hub may itself be a misspelling of a commoner one
     up = best.select("role", F.col("token").alias("hub"), F.col("hub").alias("top"), F.col("hub_n").alias("top_n"))
     final = best.join(up, ["role", "hub"], "left").select("role", "token", F.coalesce("top", "hub").alias("canon"), F.coalesce("top_n", "hub_n").alias("canon_n"))
-    return counts.join(final, ["role", "token"], "left").select("role", "token", F.coalesce("canon", "token").alias("canon"), F.coalesce("canon_n", "n").alias("n"))
+    return stored(counts.join(final, ["role", "token"], "left").select("role", "token", F.coalesce("canon", "token").alias("canon"), F.coalesce("canon_n", "n").alias("n")))
 
 
 def canonical_readings(rows: DataFrame, lexicon: DataFrame, nicknames: dict[str, str]) -> DataFrame:
