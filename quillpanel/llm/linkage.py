@@ -113,7 +113,8 @@ def vote_teachers(a: list[str], b: list[str]) -> int:
 
 
 VOTERS = ("given", "father", "family", "teacher", "place", "region")
-GROUPS = ((0,), (1,), (2,), (3, 4, 5))
+# names go together (siblings and namesakes share two of three), and so do the places of one school
+GROUPS = ((0, 1, 2), (3, 4, 5))
 
 
 def _start(pattern: Sequence[int]) -> float:
