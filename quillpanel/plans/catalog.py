@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillpanel.operators import drift, packed, timestamps
+from quillpanel.plans import survey_queries
 from quillpanel.session import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +62,6 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {"p1_found": p1_found, "p4_found": p4_found, "p4_table": p4_table, "p6_found": p6_found}
+QUERIES: dict[str, Query] = {**survey_queries.QUERIES, "p1_found": p1_found, "p4_found": p4_found, "p4_table": p4_table, "p6_found": p6_found}
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = dict(survey_queries.ORACLE)
