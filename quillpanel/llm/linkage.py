@@ -30,10 +30,11 @@ class LabelModel:
     """Two classes (match or not); functions vote small integers, 0 for abstention.
 
     groups: functions that depend on each other vote as one (their joint distribution is learned); groups are
-    independent given the class. Fitted by expectation maximisation from a majority-vote start."""
+    independent given the class. Fitted by expectation maximisation from a first guess, which also counts as
+    ``anchor`` observations of each pattern, so that few data don't drift away from it."""
 
-    def __init__(self, groups: Sequence[Sequence[int]], smoothing: float = 0.5, rounds: int = 200) -> None:
-        self.groups, self.smoothing, self.rounds = [tuple(g) for g in groups], smoothing, rounds
+    def __init__(self, groups: Sequence[Sequence[int]], smoothing: float = 0.05, anchor: float = 0.5, rounds: int = 200) -> None:
+        self.groups, self.smoothing, self.anchor, self.rounds = [tuple(g) for g in groups], smoothing, anchor, rounds
 
     def _cells(self, patterns: np.ndarray) -> None:
         self.codes, self.sizes = [], []
@@ -46,13 +47,14 @@ class LabelModel:
         """Posterior of each pattern. patterns: patterns x functions; start: first guess of the posteriors;
         ruled_out: patterns that cannot be matches, whatever else agrees."""
         self._cells(patterns)
-        post, weight = np.where(ruled_out, 0.0, start.astype(float)), counts.astype(float)
+        guess = np.where(ruled_out, 0.0, start.astype(float))
+        post, weight = guess, counts.astype(float)
         for _ in range(self.rounds):
             prior = float(np.clip((post * weight).sum() / weight.sum(), 1e-6, 1 - 1e-6))
             logit = np.full(len(patterns), np.log(prior / (1 - prior)))
             for code, size in zip(self.codes, self.sizes, strict=True):
-                yes = np.bincount(code, post * weight, size) + self.smoothing
-                no = np.bincount(code, (1 - post) * weight, size) + self.smoothing
+                yes = np.bincount(code, post * weight + guess * self.anchor, size) + self.smoothing
+                no = np.bincount(code, (1 - post) * weight + (1 - guess) * self.anchor, size) + self.smoothing
                 logit += (np.log(yes / yes.sum()) - np.log(no / no.sum()))[code]
             new = np.where(ruled_out, 0.0, 1 / (1 + np.exp(-np.clip(logit, -500, 500))))
             if np.abs(new - post).max() < 1e-6:

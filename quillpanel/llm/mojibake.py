@@ -96,23 +96,25 @@ def suspicious_pattern() -> str:
 
 
 def _spans(text: str) -> list[tuple[int, int, dict[Chain, str]]]:
+    """Matches, leftmost and longest. One made of signs that correct Arabic text has as well counts only in a token
+    that is garbled throughout, in a text with less doubtful damage of the same encoding."""
     found = [(end - len(s) + 1, end + 1, origins) for end, (s, origins) in _automaton().iter_long(text)]
-    return [m for m in found if _stands(text, m)]
-
-
-def _stands(text: str, match: tuple[int, int, dict[Chain, str]]) -> bool:
-    """A match of signs that correct Arabic text has as well counts only in a token garbled throughout."""
-    start, end, _ = match
-    if not _ARABIC_OWN.match(text[start:end]):
-        return True
-    left, right = start, end
-    while left > 0 and not text[left - 1].isspace():
-        left -= 1
-    while right < len(text) and not text[right].isspace():
-        right += 1
-    token = text[left:right]
-    covered = sum(e - len(s) + 1 >= 0 and len(s) for e, (s, _) in _automaton().iter_long(token))
-    return covered == sum(ord(c) > 127 for c in token) and any(not _ARABIC_OWN.match(c) for c in token if ord(c) > 127)
+    doubtful = [bool(_ARABIC_OWN.match(text[start:end])) for start, end, _ in found]
+    if not any(doubtful):
+        return found
+    sure = set().union(*(origins for (_, _, origins), d in zip(found, doubtful, strict=True) if not d))
+    covered = bytearray(len(text))
+    for start, end, _ in found:
+        covered[start:end] = b"\x01" * (end - start)
+
+    def alone(start: int, end: int) -> bool:
+        while start > 0 and text[start - 1] not in " \t\r\n":
+            start -= 1
+        while end < len(text) and text[end] not in " \t\r\n":
+            end += 1
+        return all(covered[i] or text[i] < "\x80" for i in range(start, end))
+
+    return [m for m, d in zip(found, doubtful, strict=True) if not d or (sure & set(m[2]) and alone(m[0], m[1]))]
 
 
 def _holes(text: str, spans: list[tuple[int, int, dict[Chain, str]]]) -> bool:
