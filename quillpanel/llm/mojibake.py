@@ -2,7 +2,7 @@
 
 The sequences that correct characters turn into are computed beforehand for every pair of (UTF-8, wrong encoding),
 once and twice over, and matched with a multi-pattern automaton. Only matched spans are replaced, so correct text
-between them stays as it is. A text whose damage has lost characters (replacement characters, sequences whose
+between them stays as it is. Arabic words of the single-byte encoding that were read as Latin are matched as words. A text whose damage has lost characters (replacement characters, sequences whose
 invisible members were dropped) is reported as lost.
 
 Texts without any sign that can start a garbled sequence are told apart JVM-side; only the rest goes to Python.
@@ -90,9 +90,10 @@ def _leads() -> frozenset[str]:
 
 def suspicious_pattern() -> str:
     """A Java pattern that every damaged text matches: a sign that starts a garbled sequence, followed by another
-    non-ASCII sign, or a replacement character, or a lone Latin reading of a lead byte next to a C1 gap."""
+    non-ASCII sign, a Latin reading of a lead byte, or a replacement character."""
     starts = "".join(sorted({s[0] for s in sequences()}))
-    return f"[{re.escape(starts)}][^\\x00-\\x7f]|\\ufffd"
+    lone = "".join(sorted(_leads()))
+    return f"[{re.escape(starts)}][^\\x00-\\x7f]|[{re.escape(lone)}]|\\ufffd"
 
 
 def _spans(text: str) -> list[tuple[int, int, dict[Chain, str]]]:
@@ -117,40 +118,95 @@ def _spans(text: str) -> list[tuple[int, int, dict[Chain, str]]]:
     return [m for m, d in zip(found, doubtful, strict=True) if not d or (sure & set(m[2]) and alone(m[0], m[1]))]
 
 
+# What a text shows when the invisible half of a sequence was dropped. None of it is correct English
+# or French: a lead sign with part of its followers, a capital lead sign inside a word in small letters or at its
+# start, a lone lead sign, a dash, a quote or an apostrophe turned into a lone lead sign.
+_HOLES = re.compile(
+    "â[\u00a0-\u00bf]"
+    "|(?<=[a-zà-ÿ])[ÃÅÄÐÙÚ](?![A-Z])|(?<![^\\W\\d_])[ÃÅ](?=[a-z])|(?<!\\S)Ã(?=[ \\n][a-z])"
+    "|(?<!\\S)â(?!\\S)|[,.;:!?…»]â(?!\\w)|(?<!\\w)â\\w+â(?!\\w)"
+    "|(?<!\\w)(?:[cdjlmns]|qu|jusqu|lorsqu|puisqu)â(?=[aeiouyhéèêœAEIOUYHÉ])"
+)
+# the same at the end of a word in small letters; in texts without capitals a name can end so
+_END_HOLES = re.compile(_HOLES.pattern + "|(?<!\\w)[a-z]{2,}âs?(?!\\w)")
+
+
 def _holes(text: str, spans: list[tuple[int, int, dict[Chain, str]]]) -> bool:
-    """Whether a garbled text has incomplete sequences: lead signs whose followers were dropped."""
-    if not spans or _C1.search(text) or not any(c in origins for _, _, origins in spans for c in (("latin-1",), ("cp1252",))):
+    """Whether a text has incomplete sequences: lead signs whose invisible followers were dropped.
+
+    Besides what no correct text has, a lead sign counts in a sentence that has garbled sequences of the same
+    reading and no correct non-ASCII letter."""
+    if _C1.search(text):
         return False
     covered = bytearray(len(text))
     for start, end, _ in spans:
         covered[start:end] = b"\x01" * (end - start)
-    leads = _leads()
-    for p, c in enumerate(text):
-        if c not in leads or covered[p]:
-            continue
-        after = text[p + 1 : p + 2]
-        before = text[p - 1 : p]
-        if after and not covered[p + 1] and 0xA0 <= ord(after) <= 0xBF and c == "â":
-            return True  # a sequence of three lost its second or third
-        if c not in "âÂÊÎÔÛàéèêç" and c in "ÃÅÄÐÑØÙÚ":
-            return True
-        if (not before.isalpha() and not after.isalpha()) or (before and before in ",;:«" and not after.isalpha()):
-            return True  # a dash or quote by itself
-        start = max((m.end() for m in _SENTENCE_END.finditer(text, 0, p)), default=0)
-        stop = _SENTENCE_END.search(text, p)
-        stop = stop.start() if stop else len(text)
-        near = range(start, stop)
-        touched = any(covered[i] for i in near)
-        correct = any(ord(text[i]) > 127 and not covered[i] and text[i] not in leads for i in near)
-        if touched and not correct:
+    for m in (_HOLES if text == text.lower() else _END_HOLES).finditer(text):
+        if not any(covered[m.start() : m.end()]):
             return True
-        if re.match(r"(?:[cdjlmnstCDJLMNST]|qu)â[aeiouyhéèêœAEIOUYH]", text[max(0, p - 1) : p + 2]) and (p < 2 or not text[p - 2].isalpha()):
-            return True  # an apostrophe
-        if re.match(r"\wâs\b", text[max(0, p - 1) : p + 3]) or (not before.isalpha() and re.match(r"â\w+â(?!\w)", text[p : p + 40])):
+    if not any(c in origins for _, _, origins in spans for c in (("latin-1",), ("cp1252",))):
+        return False
+    leads = _leads()
+    ends = [m.end() for m in _SENTENCE_END.finditer(text)] + [len(text)]
+    start = 0
+    for stop in ends:
+        touched = correct = lone = False
+        for i in range(start, stop):
+            if covered[i]:
+                touched = True
+            elif text[i] in leads:
+                lone = True
+            elif text[i] > "\x7f":
+                correct = True
+        if touched and lone and not correct:
             return True
+        start = stop
     return False
 
 
+@lru_cache(1)
+def _arabic_bytes() -> dict[str, str]:
+    """Latin reading of each letter of the Arabic single-byte encoding to that letter (and of its three marks)."""
+    out = {}
+    for b in range(0xA1, 0x100):
+        letter, latin = bytes([b]).decode("cp1256"), bytes([b]).decode("cp1252")
+        if "\u0621" <= letter <= "\u0652" or letter in "،؛؟":
+            out[latin] = letter
+    return out
+
+
+_TOKEN = re.compile(r"\S+")
+
+
+def _single_byte_arabic(text: str) -> str | None:
+    """The text with its Arabic words back that were written in the single-byte encoding and read as Latin; None
+    without such words. A word counts if all its letters are readings of Arabic ones and at least two are; the text
+    counts if at least two of its words have the commonest letters."""
+    back = _arabic_bytes()
+    if not any(c in text for c in "Çá"):
+        return None
+    shared = "àâçèéêëîïôùûü"
+
+    def garbled_word(token: str) -> bool:
+        letters = [c for c in token if c.isalpha()]
+        return len(letters) >= 2 and all(c in back or c in shared for c in letters) and sum(c in back for c in letters) >= 2
+
+    words = [m for m in _TOKEN.finditer(text) if garbled_word(m[0])]
+    if sum("Ç" in m[0] or "á" in m[0] for m in words) < 2:
+        return None
+    whole = {m.start() for m in words}
+    out, at, near = [], 0, False
+    for m in _TOKEN.finditer(text):
+        if m.start() in whole:
+            near = True
+        elif not (near and len([c for c in m[0] if c.isalpha()]) <= 1 and all(c in back or not c.isalpha() for c in m[0])):
+            near = False
+        if near:
+            out += [text[at : m.start()], "".join(back.get(c, c) for c in m[0])]
+            at = m.end()
+    return "".join([*out, text[at:]])
+
+
 def restore(text: str | None) -> str | None:
     """The text before the damage; ``LOST`` if a character cannot be had back; None for an undamaged text.
 
@@ -160,11 +216,14 @@ def restore(text: str | None) -> str | None:
         return None
     if "�" in text:
         return LOST
+    arabic = _single_byte_arabic(text)
+    if arabic is not None:
+        return arabic
     spans = _spans(text)
-    if not spans:
-        return None
     if _holes(text, spans):
         return LOST
+    if not spans:
+        return None
     votes: Counter[Chain] = Counter()
     for _, _, origins in spans:
         votes.update(origins.keys())
