@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillpanel.llm.names import allowed, bare_family, canonical_readings, nickname_of, osa, plain, read_rows, sounded, spelling_lexicon
+from quillpanel.llm.names import allowed, bare_family, canonical_readings, name_uses, nickname_of, osa, plain, read_rows, sounded, spelling_lexicon
 from quillpanel.session import stored
 
 # Words for kinds of places, in English and French, and initials they are shortened to.
@@ -91,7 +91,7 @@ def vote_names(a: str, b: str, nick: bool = False) -> int:
     if len(a) == 1 or len(b) == 1:
         return 1 if a[0] == b[0] else -1
     a, b = bare_family(a), bare_family(b)
-    k = 2 if min(len(a), len(b)) >= 5 else allowed(a, b)
+    k = allowed(a, b)
     if osa(a, b, k) <= k or (nick and (nickname_of(a, b) or nickname_of(b, a))):
         return 1
     return -1
@@ -145,8 +145,7 @@ def link_without_keys(
     a_facts = a.select(F.col("intake_id").cast("long").alias("row"), "teacher_name", F.coalesce("lname", "location_name").alias("place_name"), F.when(region.isin("A", "B", "S"), region).alias("region"))
     b_facts = master.select(F.col("master_row").cast("long").alias("row"), "teacher_name", F.col("location_name").alias("place_name"), F.upper(F.substring(F.trim("student_id"), 1, 1)).alias("region"), "student_id")
     rows = stored(read_rows(intake, "intake", "intake_id", "student_name", None, None).unionByName(read_rows(master, "master", "master_row", "student_name", "father_name", None)))
-    uses = rows.filter("reading_no = 0").select(F.explode(F.array(*(F.struct(F.lit(r).alias("role"), F.col(c).alias("token")) for r, c in (("G", "given"), ("G", "father"), ("S", "family"))))).alias("t")).select("t.*")
-    people = stored(canonical_readings(rows, spelling_lexicon(uses), nicknames).drop("place", "given_n"))
+    people = stored(canonical_readings(rows, spelling_lexicon(name_uses(rows)), nicknames).select("tbl", "row", "given", "father", "family"))
 
     known = lambda c: F.length(c) > 1
     key = lambda tag, *cs: F.when(known(cs[0]) & known(cs[1]), F.concat_ws("|", F.lit(tag), *cs))

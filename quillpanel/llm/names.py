@@ -30,11 +30,13 @@ _TOKEN = re.compile(r"[^\W\d_]+|,")
 
 class Reading(NamedTuple):
     """One way to read a row: spelling of the given, the father's and the family name; '' where missing, one
-    letter where only an initial is known."""
+    letter where only an initial is known. The last two are the father's own spellings of his names."""
 
     given: str
     father: str
     family: str
+    father_own: str = ""
+    family_own: str = ""
 
 
 @lru_cache(200_000)
@@ -77,7 +79,7 @@ def osa(a: str, b: str, most: int) -> int:
 def allowed(a: str, b: str) -> int:
     """How many edits two spellings of one name may differ by."""
     shorter = min(len(a), len(b))
-    return 0 if shorter < 3 else 1 if shorter < 7 else 2
+    return 0 if shorter < 3 else 1 if shorter < 5 else 2
 
 
 def closeness(a: str, b: str) -> float:
@@ -147,18 +149,28 @@ def readings(student: str | None, father: str | None) -> list[Reading]:
     for i, (g, f, s) in enumerate(students):
         for j, (ff, fs) in enumerate(fathers):
             score = closeness(f, ff) + closeness(s, fs) - 0.1 * i - 0.05 * j - (0.5 if len(g) == 1 else 0)
-            reading = Reading(g, f if len(f) > 1 or not ff else ff if len(ff) > 1 or not f else f, s or fs)
+            reading = Reading(g, f, s, ff, fs)
             scored[reading] = max(score, scored.get(reading, -99.0))
     best = sorted(scored, key=lambda r: -scored[r])
     return [r for r in best[:2] if scored[r] > scored[best[0]] - 0.5]
 
 
-def nickname_of(short: str, given: str) -> bool:
-    """Whether a short form follows from a given name: its beginning, with or without an ending of vowels."""
-    if not short or len(short) < 3 or len(short) >= len(given) + 1:
-        return False
+def shortness(short: str, given: str) -> int:
+    """How many letters of a given name a short form shares with its beginning; 0 if it is none.
+
+    A short form is a beginning of at least three letters, with or without an ending of vowels."""
+    if len(short) < 3 or len(short) > len(given) or short == given:
+        return 0
+    if given.startswith(short):
+        return len(short)
     stem = re.sub(r"[AEIOU]{1,2}$", "", short)
-    return given.startswith(short) or (len(stem) >= 3 and given.startswith(stem)) or (len(stem) == 2 and given.startswith(short[:3]))
+    if len(stem) >= 3 and given.startswith(stem):
+        return len(stem)
+    return 3 if len(stem) == 2 and given.startswith(short[:3]) else 0
+
+
+def nickname_of(short: str, given: str) -> bool:
+    return shortness(short, given) > 0
 
 
 def bare_family(token: str) -> str:
@@ -182,7 +194,8 @@ def lexicon_edits(a: str, b: str) -> int:
 
 
 def read_rows(df: DataFrame, label: str, key: str, student: str, father: str | None, place: str | None) -> DataFrame:
-    """(tbl, row, place, reading_no, given, father, family): up to two readings of each row with a name."""
+    """(tbl, row, place, reading_no, given, father, family, father_own, family_own): up to two readings of each row
+    with a name."""
     null = F.lit(None).cast("string")
     rows = df.select(
         F.lit(label).alias("tbl"),
@@ -198,17 +211,18 @@ def read_rows(df: DataFrame, label: str, key: str, student: str, father: str | N
             for tbl, row, at, s, f in batch.itertuples(index=False):
                 for i, r in enumerate(readings(s, f if isinstance(f, str) else None)):
                     out.append((tbl, row, at, i, *r))
-            yield pd.DataFrame(out, columns=["tbl", "row", "place", "reading_no", "given", "father", "family"])
+            yield pd.DataFrame(out, columns=["tbl", "row", "place", "reading_no", *Reading._fields])
 
-    return rows.mapInPandas(work, "tbl string, row long, place string, reading_no int, given string, father string, family string")
+    return rows.mapInPandas(work, "tbl string, row long, place string, reading_no int, " + ", ".join(f"{f} string" for f in Reading._fields))
 
 
 def spelling_lexicon(tokens: DataFrame, ratio: int = 3, least: int = 3, short: int = 6, short_least: int = 20, short_ratio: int = 10) -> DataFrame:
     """(role, token, canon, n): the usual spelling of each token and how often that is used.
 
     tokens: (role, token), one row for each use. A spelling belongs to the nearest one within ``lexicon_edits``
-    that is used at least ``least`` times and ``ratio`` times as often (tokens of fewer than ``short`` letters, which
-    may be short forms of other names, need more evidence); the commoner of equally near ones. Pairs
+    that is used at least ``least`` times and ``ratio`` times as often; the commoner of equally near ones. Tokens
+    of fewer than ``short`` letters need more evidence; such given names are left as they are (they may be short forms
+    of other names, and are compared row by row). Pairs
     meet through common deletions (two tokens within k edits share a string that k deletions make of both), first
     one, then two for what is left. Everything is counted and joined distributedly; each step is a written table, so
     its readers share it."""
@@ -244,7 +258,7 @@ def spelling_lexicon(tokens: DataFrame, ratio: int = 3, least: int = 3, short: i
     def nearest(rare: DataFrame, most: int) -> DataFrame:
         left = keyed(rare, most)
         right = keyed(hubs, most).select("role", "del", F.col("token").alias("hub"), F.col("n").alias("hub_n"))
-        pairs = left.join(right, ["role", "del"]).filter((F.col("hub") != F.col("token")) & (F.col("hub_n") >= ratio * F.col("n")) & ((F.length("token") >= short) | ((F.col("hub_n") >= short_least) & (F.col("hub_n") >= short_ratio * F.col("n"))))).select("role", "token", "n", "hub", "hub_n").distinct()
+        pairs = left.join(right, ["role", "del"]).filter((F.col("hub") != F.col("token")) & (F.col("hub_n") >= ratio * F.col("n")) & ((F.length("token") >= short) | ((F.col("role") != "G") & (F.col("hub_n") >= short_least) & (F.col("hub_n") >= short_ratio * F.col("n"))))).select("role", "token", "n", "hub", "hub_n").distinct()
         near = pairs.withColumn("d", edits("token", "hub")).filter(F.col("d") <= 2)
         return near.groupBy("role", "token").agg(F.min_by(F.struct("hub", "hub_n"), F.struct("d", -F.col("hub_n"), "hub")).alias("best"))
 
@@ -258,23 +272,33 @@ def spelling_lexicon(tokens: DataFrame, ratio: int = 3, least: int = 3, short: i
     return stored(counts.join(final, ["role", "token"], "left").select("role", "token", F.coalesce("canon", "token").alias("canon"), F.coalesce("canon_n", "n").alias("n")))
 
 
+def name_uses(rows: DataFrame) -> DataFrame:
+    """(role, token): every use of a name in the likeliest readings; G given, F father's, S family name."""
+    uses = (("G", "given"), ("F", "father"), ("F", "father_own"), ("S", "family"), ("S", "family_own"))
+    said = F.array(*(F.struct(F.lit(role).alias("role"), F.col(c).alias("token")) for role, c in uses))
+    return rows.filter("reading_no = 0").select(F.explode(said).alias("t")).select("t.*").filter("token <> ''")
+
+
 def canonical_readings(rows: DataFrame, lexicon: DataFrame, nicknames: dict[str, str]) -> DataFrame:
-    """(tbl, row, place, given, father, family, given_n): the likeliest reading of each row in usual spellings.
-
-    Of two readings the one whose tokens are commoner in their roles is taken. nicknames: sounded short form to
-    sounded given name (a fixed, small table)."""
-    g = lexicon.filter("role = 'G'").select(F.col("token").alias("gt"), F.col("canon").alias("gc"), F.col("n").alias("gn"))
-    f = lexicon.filter("role = 'G'").select(F.col("token").alias("ft"), F.col("canon").alias("fc"), F.col("n").alias("fn"))
-    s = lexicon.filter("role = 'S'").select(F.col("token").alias("st"), F.col("canon").alias("sc"), F.col("n").alias("sn"))
-    joined = rows.join(g, F.col("given") == F.col("gt"), "left").join(f, F.col("father") == F.col("ft"), "left").join(s, F.col("family") == F.col("st"), "left")
-    weight = F.log1p(F.coalesce("gn", F.lit(0))) + F.log1p(F.coalesce("sn", F.lit(0))) + F.lit(0.5) * F.log1p(F.coalesce("fn", F.lit(0))) - F.lit(0.5) * F.col("reading_no")
-    given: Column = F.coalesce("gc", "given")
+    """(tbl, row, place, given, father, family, given_n, father_n, family_n): the likeliest reading of each row in usual
+    spellings, and how often those are used.
+
+    Of two readings the one whose tokens are commoner in their roles is taken, of two spellings of the father's or
+    family name the commoner. nicknames: sounded short form to sounded given name (a fixed, small table)."""
+    joined = rows
+    for role, column in (("G", "given"), ("F", "father"), ("F", "father_own"), ("S", "family"), ("S", "family_own")):
+        own = lexicon.filter(F.col("role") == role).select(F.col("token").alias(f"{column}_t"), F.col("canon").alias(f"{column}_c"), F.col("n").alias(f"{column}_n"))
+        joined = joined.join(own, F.col(column) == F.col(f"{column}_t"), "left").drop(f"{column}_t")
+    told = lambda c: F.struct(F.coalesce(f"{c}_n", F.lit(0)).alias("n"), F.length(c).alias("l"), F.coalesce(f"{c}_c", c).alias("x"))
+    given: Column = F.coalesce("given_c", "given")
     if nicknames:
         given = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in nicknames.items() for x in kv]), given), given)
-    reading = F.struct(given.alias("given"), F.coalesce("fc", "father").alias("father"), F.coalesce("sc", "family").alias("family"), F.coalesce("gn", F.lit(0)).alias("given_n"))
-    return joined.groupBy("tbl", "row").agg(F.max_by(F.struct("place", reading.alias("r")), F.struct(weight, -F.col("reading_no"))).alias("b")).select(
-        "tbl", "row", F.col("b.place").alias("place"), "b.r.*"
-    )
+    best = joined.select(
+        "tbl", "row", "place", "reading_no", given.alias("given"), F.coalesce("given_n", F.lit(0)).alias("given_n"), F.greatest(told("father"), told("father_own")).alias("f"), F.greatest(told("family"), told("family_own")).alias("s")
+    )
+    weight = F.log1p("given_n") + F.log1p("s.n") + F.lit(0.5) * F.log1p("f.n") - F.lit(0.5) * F.col("reading_no")
+    reading = F.struct("place", "given", F.col("f.x").alias("father"), F.col("s.x").alias("family"), "given_n", F.col("f.n").alias("father_n"), F.col("s.n").alias("family_n"))
+    return best.groupBy("tbl", "row").agg(F.max_by(reading, F.struct(weight, -F.col("reading_no"))).alias("b")).select("tbl", "row", "b.*")
 
 
 def nickname_table(df: DataFrame, short: str, given: str, most: int = 10_000) -> dict[str, str]:

@@ -12,7 +12,7 @@ yields one edge to the leader for each member, never all pairs.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterable, Iterator, Mapping
 from typing import NamedTuple
 
 import pandas as pd
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillpanel.llm.components import connected_components
-from quillpanel.llm.names import allowed, canonical_readings, nickname_of, osa, read_rows, spelling_lexicon
+from quillpanel.llm.names import allowed, canonical_readings, name_uses, osa, read_rows, shortness, spelling_lexicon
 from quillpanel.session import durable, stored
 
 
@@ -30,6 +30,7 @@ class Profile(NamedTuple):
     fathers: tuple[str, ...]
     families: tuple[str, ...]
     places: tuple[str, ...]
+    sure: frozenset[str]
     weight: int
 
     @property
@@ -41,29 +42,29 @@ class Profile(NamedTuple):
         return {f for f in self.fathers if len(f) == 1}
 
 
-def _alike(a: tuple[str, ...] | list[str], b: tuple[str, ...] | list[str]) -> bool:
-    """Whether any two spellings are equal or a typing error apart."""
+def _alike(a: Iterable[str], b: Iterable[str], sure: frozenset[str]) -> bool:
+    """Whether any two spellings are equal or a typing error apart. Two established names (``sure``) are not."""
     if set(a) & set(b):
         return True
-    return any(len(x) > 2 and len(y) > 2 and osa(x, y, allowed(x, y)) <= allowed(x, y) for x in a for y in b)
+    return any(len(x) > 2 and len(y) > 2 and not (x in sure and y in sure) and osa(x, y, allowed(x, y)) <= allowed(x, y) for x in a for y in b)
 
 
-def _short(a: tuple[str, ...], b: tuple[str, ...]) -> bool:
-    return any(nickname_of(x, y) or nickname_of(y, x) for x in a for y in b)
+def _short(a: tuple[str, ...], b: tuple[str, ...]) -> int:
+    return max((max(shortness(x, y), shortness(y, x)) for x in a for y in b), default=0)
 
 
 def _fathers_agree(a: Profile, b: Profile) -> bool:
     """Full names must be alike; an initial must begin the other's name; unknown agrees with anything."""
     fa, fb = a.full_fathers, b.full_fathers
     if fa and fb:
-        return _alike(fa, fb)
+        return _alike(fa, fb, a.sure | b.sure)
     known, other = (a, b) if fa else (b, a)
     begins = {f[0] for f in known.fathers if f}
     return not begins or not other.initials or bool(begins & other.initials)
 
 
-def match_block(kind: str, members: list[Profile]) -> Iterator[tuple[str, str]]:
-    """Edges of one block, each member to the leader of its group.
+def match_block(kind: str, members: list[Profile]) -> Iterator[tuple[str, str, int]]:
+    """Edges of one block, each member to the leader of its group, and how loose each is (0: both fathers are known).
 
     kind F: father and family are equal; G: given and family; B: given and father; P: family and the beginning of
     the given name. Members with a full father are grouped first, then the others find the only group that fits."""
@@ -73,14 +74,14 @@ def match_block(kind: str, members: list[Profile]) -> Iterator[tuple[str, str]]:
     by_given: dict[str, list[Profile]] = {}
     for m in members:
         if kind == "F":
-            home = next((by_given[g] for g in m.givens if g in by_given), None) or next((x for x in groups if _alike(m.givens, x[0].givens)), None)
+            home = next((by_given[g] for g in m.givens if g in by_given), None) or next((x for x in groups if _alike(m.givens, x[0].givens, m.sure | x[0].sure)), None)
         elif not m.full_fathers:
             waiting.append(m)
             continue
         elif kind == "G":
-            home = next((x for x in groups if _alike(m.full_fathers, x[0].full_fathers)), None)
+            home = next((x for x in groups if _alike(m.full_fathers, x[0].full_fathers, m.sure | x[0].sure)), None)
         elif kind == "B":
-            home = next((x for x in groups if _alike(m.families, x[0].families)), None)
+            home = next((x for x in groups if _alike(m.families, x[0].families, m.sure | x[0].sure)), None)
         else:
             home = next((x for x in groups if set(m.givens) & set(x[0].givens) and _fathers_agree(m, x[0])), None)
         if home is None:
@@ -90,33 +91,40 @@ def match_block(kind: str, members: list[Profile]) -> Iterator[tuple[str, str]]:
         for g in m.givens:
             by_given.setdefault(g, home)
     if kind == "F":
-        # short forms: the only fuller name of this father's children that begins so
-        for x in list(groups):
-            fits = [y for y in groups if y is not x and y[0].weight >= x[0].weight and any(nickname_of(s, full) for s in x[0].givens for full in y[0].givens)]
-            if len(fits) == 1:
-                yield x[0].pid, fits[0][0].pid
+        # short forms: of this father's children the only one whose name begins most like it
+        for x in groups:
+            strength = [(max(shortness(s, full) for s in x[0].givens for full in y[0].givens), y) for y in groups if y is not x]
+            most = max((k for k, _ in strength), default=0)
+            fits = [y for k, y in strength if k == most]
+            if most and len(fits) == 1:
+                yield x[0].pid, fits[0][0].pid, 0
     loose: list[list[Profile]] = []
     for m in waiting:
         if kind == "G":
             fits = [x for x in groups if _fathers_agree(m, x[0])]
         elif kind == "B":
             fits = []
+        elif any(set(m.givens) & set(x[0].givens) and _fathers_agree(m, x[0]) for x in groups):
+            continue  # the whole name is there: the block of given and family name decides
         else:
-            fits = [x for x in groups if _fathers_agree(m, x[0]) and _short(m.givens, x[0].givens)]
+            strength = [(_short(m.givens, x[0].givens), x) for x in groups if _fathers_agree(m, x[0])]
+            most = max((k for k, _ in strength), default=0)
+            fits = [x for k, x in strength if k == most and most]
         if len(fits) > 1 and m.places:
             near = [x for x in fits if any(set(m.places) & set(y.places) for y in x)]
             fits = near if len(near) == 1 else fits
         if len(fits) == 1:
-            yield m.pid, fits[0][0].pid
+            yield m.pid, fits[0][0].pid, 1 if kind == "G" else 2
         elif not fits and kind == "G":
             home = next((x for x in loose if all(_fathers_agree(m, y) for y in x)), None)
             if home is None:
                 loose.append([m])
             else:
                 home.append(m)
-    for group in [*groups, *loose]:
-        for m in group[1:]:
-            yield m.pid, group[0].pid
+    for looseness, found in ((0, groups), (3, loose)):
+        for group in found:
+            for m in group[1:]:
+                yield m.pid, group[0].pid, looseness
 
 
 def _blocks(profiles: DataFrame) -> DataFrame:
@@ -133,69 +141,74 @@ def _blocks(profiles: DataFrame) -> DataFrame:
         F.flatten(F.transform(known("givens"), lambda g: F.transform(gf, lambda k: F.concat(F.lit("B|"), g, F.lit("|"), k)))),
         cross("P", F.transform(known("givens"), lambda g: F.substring(g, 1, 3)), known("families")),
     )
-    return profiles.select(F.explode(F.array_distinct(keys)).alias("key"), "pid", "givens", "fathers", "families", "places", "weight")
+    return profiles.select(F.explode(F.array_distinct(keys)).alias("key"), "pid", "givens", "fathers", "families", "places", "sure", "weight")
 
 
 def _matched(blocks: DataFrame) -> DataFrame:
-    """Edges of all blocks. A block alone in its key is dropped before the sort."""
+    """Edges of all blocks. A block alone in its key is dropped before the sort; a profile whose father isn't known
+    keeps one edge, the least loose, so that it never joins two persons."""
     crowded = blocks.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key")
     sorted_runs = blocks.join(crowded, "key", "left_semi").repartition("key").sortWithinPartitions("key", "pid")
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key, members = None, []
-        out: list[tuple[str, str]] = []
+        out: list[tuple[str, str, int]] = []
         for batch in batches:
-            for k, pid, givens, fathers, families, places, weight in batch.itertuples(index=False):
+            for k, pid, givens, fathers, families, places, sure, weight in batch.itertuples(index=False):
                 if k != key:
                     if len(members) > 1:
                         out += match_block(key[0], members)
                     key, members = k, []
-                members.append(Profile(pid, tuple(givens), tuple(fathers), tuple(families), tuple(places), weight))
-            yield pd.DataFrame(out, columns=["a", "b"])
+                members.append(Profile(pid, tuple(givens), tuple(fathers), tuple(families), tuple(places), frozenset(sure), weight))
+            yield pd.DataFrame(out, columns=["a", "b", "loose"])
             out = []
         if len(members) > 1:
             out += match_block(key[0], members)
-        yield pd.DataFrame(out, columns=["a", "b"])
+        yield pd.DataFrame(out, columns=["a", "b", "loose"])
 
-    return sorted_runs.mapInPandas(work, "a string, b string").distinct()
+    edges = durable(sorted_runs.mapInPandas(work, "a string, b string, loose int"))
+    firm = edges.filter("loose = 0").select("a", "b").distinct()
+    single = edges.filter("loose > 0").groupBy("a").agg(F.min_by("b", F.struct("loose", "b")).alias("b"))
+    return firm.unionByName(single)
 
 
-def resolve_people(tables: Mapping[str, tuple[DataFrame, str, str, str, str]], nicknames: dict[str, str], max_rounds: int = 20) -> DataFrame:
+def resolve_people(tables: Mapping[str, tuple[DataFrame, str, str, str, str]], nicknames: dict[str, str], established: int = 20, max_rounds: int = 20) -> DataFrame:
     """(tbl, row, entity): which person each row describes.
 
     tables: label to (table, key, student name, father's name, place). Rows without a student name are persons of
     their own and left out; NULL fathers and places are unknown; repeated rows are one profile; empty tables give
-    no row. ``max_rounds`` only guards against an endless loop: rounds end when nothing merges."""
+    no row. established: names used so often are never each other's misspelling. ``max_rounds`` only guards against an endless loop: rounds end when nothing merges."""
     parts = [read_rows(df, label, key, student, father, place) for label, (df, key, student, father, place) in tables.items()]
     rows = parts[0]
     for p in parts[1:]:
         rows = rows.unionByName(p)
     rows = stored(rows)
-    sure = rows.filter("reading_no = 0")
-    tokens = sure.select(F.explode(F.array(F.struct(F.lit("G").alias("role"), F.col("given").alias("token")), F.struct(F.lit("G").alias("role"), F.col("father").alias("token")), F.struct(F.lit("S").alias("role"), F.col("family").alias("token")))).alias("t")).select("t.*")
-    people = stored(canonical_readings(rows, spelling_lexicon(tokens), nicknames))
+    people = stored(canonical_readings(rows, spelling_lexicon(name_uses(rows)), nicknames))
     incomplete = F.length("father") < 2
     pid = F.concat_ws("|", "given", "father", "family", F.when(incomplete, F.coalesce("place", F.lit(""))))
     placed = people.withColumn("pid", pid)
+    known = F.array_compact(F.array(*(F.when(F.col(f"{c}_n") >= established, F.col(c)) for c in ("given", "father", "family"))))
     profiles = durable(
         placed.groupBy("pid").agg(
             F.collect_set("given").alias("givens"),
             F.collect_set(F.when(F.col("father") != "", F.col("father"))).alias("fathers"),
             F.collect_set(F.when(F.col("family") != "", F.col("family"))).alias("families"),
             F.collect_set("place").alias("places"),
+            F.array_distinct(F.flatten(F.collect_set(known))).alias("sure"),
             F.count("*").alias("weight"),
         )
     )
     membership = profiles.select(F.col("pid").alias("start"), F.col("pid").alias("entity"))
     for _ in range(max_rounds):
-        edges = durable(_matched(_blocks(profiles)))
+        edges = _matched(_blocks(profiles)).persist()
         if edges.limit(1).count() == 0:
             break
         components = connected_components(edges)
         moved = profiles.join(components, profiles["pid"] == components["node"], "left").withColumn("to", F.coalesce("component", "pid"))
         union = lambda c: F.array_distinct(F.flatten(F.collect_set(c))).alias(c)
         membership = durable(membership.join(components, membership["entity"] == components["node"], "left").select("start", F.coalesce("component", "entity").alias("entity")))
-        profiles = durable(moved.groupBy("to").agg(*(union(c) for c in ("givens", "fathers", "families", "places")), F.sum("weight").alias("weight")).withColumnRenamed("to", "pid"))
+        profiles = durable(moved.groupBy("to").agg(*(union(c) for c in ("givens", "fathers", "families", "places", "sure")), F.sum("weight").alias("weight")).withColumnRenamed("to", "pid"))
+        edges.unpersist()
     return placed.join(membership, placed["pid"] == membership["start"]).select("tbl", "row", "entity")
 
 
