@@ -219,14 +219,14 @@ def read_rows(df: DataFrame, label: str, key: str, student: str, father: str | N
 def spelling_lexicon(tokens: DataFrame, ratio: int = 3, least: int = 3, short: int = 6, short_least: int = 20, short_ratio: int = 10) -> DataFrame:
     """(role, token, canon, n): the usual spelling of each token and how often that is used.
 
-    tokens: (role, token), one row for each use. A spelling belongs to the nearest one within ``lexicon_edits``
+    tokens: (role, token, uses), any number of rows. A spelling belongs to the nearest one within ``lexicon_edits``
     that is used at least ``least`` times and ``ratio`` times as often; the commoner of equally near ones. Tokens
     of fewer than ``short`` letters need more evidence; such given names are left as they are (they may be short forms
     of other names, and are compared row by row). Pairs
     meet through common deletions (two tokens within k edits share a string that k deletions make of both), first
     one, then two for what is left. Everything is counted and joined distributedly; each step is a written table, so
     its readers share it."""
-    counts = stored(tokens.filter(F.length("token") > 1).groupBy("role", "token").agg(F.count("*").alias("n")))
+    counts = stored(tokens.filter(F.length("token") > 1).groupBy("role", "token").agg(F.sum("uses").alias("n")))
 
     def keyed(df: DataFrame, most: int) -> DataFrame:
         def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -258,7 +258,7 @@ def spelling_lexicon(tokens: DataFrame, ratio: int = 3, least: int = 3, short: i
     def nearest(rare: DataFrame, most: int) -> DataFrame:
         left = keyed(rare, most)
         right = keyed(hubs, most).select("role", "del", F.col("token").alias("hub"), F.col("n").alias("hub_n"))
-        pairs = left.join(right, ["role", "del"]).filter((F.col("hub") != F.col("token")) & (F.col("hub_n") >= ratio * F.col("n")) & ((F.length("token") >= short) | ((F.col("role") != "G") & (F.col("hub_n") >= short_least) & (F.col("hub_n") >= short_ratio * F.col("n"))))).select("role", "token", "n", "hub", "hub_n").distinct()
+        pairs = left.join(right, ["role", "del"]).filter((F.col("hub") != F.col("token")) & (F.col("hub_n") > F.col("n")) & (F.col("hub_n") >= ratio * F.col("n")) & ((F.length("token") >= short) | ((F.col("role") != "G") & (F.col("hub_n") >= short_least) & (F.col("hub_n") >= short_ratio * F.col("n"))))).select("role", "token", "n", "hub", "hub_n").distinct()
         near = pairs.withColumn("d", edits("token", "hub")).filter(F.col("d") <= 2)
         return near.groupBy("role", "token").agg(F.min_by(F.struct("hub", "hub_n"), F.struct("d", -F.col("hub_n"), "hub")).alias("best"))
 
@@ -273,10 +273,11 @@ def spelling_lexicon(tokens: DataFrame, ratio: int = 3, least: int = 3, short: i
 
 
 def name_uses(rows: DataFrame) -> DataFrame:
-    """(role, token): every use of a name in the likeliest readings; G given, F father's, S family name."""
+    """(role, token, uses): names in all readings, 1 for each use in a likeliest one, 0 in another; G given, F father's,
+    S family name."""
     uses = (("G", "given"), ("F", "father"), ("F", "father_own"), ("S", "family"), ("S", "family_own"))
     said = F.array(*(F.struct(F.lit(role).alias("role"), F.col(c).alias("token")) for role, c in uses))
-    return rows.filter("reading_no = 0").select(F.explode(said).alias("t")).select("t.*").filter("token <> ''")
+    return rows.select(F.explode(said).alias("t"), (F.col("reading_no") == 0).cast("int").alias("uses")).select("t.*", "uses").filter("token <> ''")
 
 
 def canonical_readings(rows: DataFrame, lexicon: DataFrame, nicknames: dict[str, str]) -> DataFrame:
