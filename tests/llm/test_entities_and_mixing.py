@@ -60,7 +60,7 @@ def test_blocks_yield_edges_to_leaders_not_pairs():
 
 def test_lexicon(spark):
     uses = [("G", "KLAIRINVE")] * 30 + [("G", "KLAIRIVNE"), ("G", "KLAIRNVEX"), ("G", "DETHUM"), ("S", "SITAKVA")] + [("S", "SITAKVA")] * 9 + [("S", "BENSITAKVA")]
-    got = {(r.role, r.token): r.canon for r in names.spelling_lexicon(spark.createDataFrame(uses, "role string, token string")).collect()}
+    got = {(r.role, r.token): r.canon for r in names.spelling_lexicon(spark.createDataFrame([(*u, 1) for u in uses], "role string, token string, uses int")).collect()}
     assert got[("G", "KLAIRIVNE")] == got[("G", "KLAIRNVEX")] == "KLAIRINVE" and got[("G", "DETHUM")] == "DETHUM" and got[("S", "BENSITAKVA")] == "SITAKVA"
 
 
