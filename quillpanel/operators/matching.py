@@ -8,8 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillpanel.functions.text import close_names, contains_either
-from quillpanel.session import qcol
+from quillpanel.functions.text import close_names, contains_either, without_blanks
+from quillpanel.session import let, qcol
 
 
 @dataclass(frozen=True)
@@ -38,14 +38,82 @@ def region_block(country: str, region: Column) -> Column:
     return F.when(code.startswith("A") | (code == "1"), F.lit("A")).when(code.startswith("B") | (code == "2"), F.lit("B"))
 
 
-def _matched_ids(survey: DataFrame, master: DataFrame, spec: RetrievalSpec, value: str, name: str, ident: str, tolerance: float | None) -> DataFrame:
-    """(row, ids): the master's ``ident`` values that a survey value fits, each distinct master entry compared once
-    within its block."""
-    entries = master.select("__block", qcol(ident).alias("__i"), qcol(name).alias("__n")).filter("__i IS NOT NULL").distinct()
-    values = survey.select("__block", qcol(value).alias("__v")).filter("__v IS NOT NULL").distinct()
-    near = close_names(F.col("__v"), F.col("__n"), tolerance) if tolerance is not None else F.coalesce(contains_either(F.col("__v"), F.col("__n")) | contains_either(F.col("__v"), F.col("__i")), F.lit(False))
-    hits = values.join(entries, "__block").filter((F.trim("__v") != "") & near)
-    return hits.groupBy("__block", "__v").agg(F.collect_set("__i").alias("__ids"))
+_PREFIX = 6
+
+
+def _segment(n: Column, parts: Column, i: Column) -> tuple[Column, Column]:
+    """Start and length of the i-th of ``parts`` even segments of a text of length n; the last ones are the longer."""
+    base, extra = F.floor(n / parts).cast("int"), n % parts
+    start = 1 + (i - 1) * base + F.greatest(F.lit(0), i - 1 - (parts - extra))
+    return start, base + F.when(i > parts - extra, 1).otherwise(0)
+
+
+def _most_edits(n: Column, tolerance: float, blanks: int) -> Column:
+    """An upper bound of the edits allowed between a stripped text of length n and any partner, whose raw length can
+    be the edits and ``blanks`` longer."""
+    return F.floor((F.lit(tolerance) * (n + blanks) + 1) / (1 - tolerance) + F.lit(1e-9)).cast("int")
+
+
+def close_pairs(left: DataFrame, right: DataFrame, tolerance: float) -> DataFrame:
+    """(block, v, n): all pairs of a block for which ``close_names(v, n, tolerance)`` holds, and no others.
+
+    left: (block, v), right: (block, n); tolerance below 0.5. Exact without comparing all pairs. Two texts within k
+    edits share one of any k + 1 segments of either, at a place shifted by no more than the edits before or after it
+    allow; a text within another begins with one of the other's substrings. Both are equi-joins on keys whose
+    number depends on a text's length only; candidates are then compared. Texts too short for k + 1 segments are
+    keyed by length: there are few of them. NULL and blank texts match nothing; repeated rows count once."""
+    v = left.select("block", "v").filter("block IS NOT NULL AND trim(v) <> ''").distinct().withColumn("x", without_blanks(F.col("v"))).filter("x <> ''")
+    n = right.select("block", "n").filter("block IS NOT NULL AND trim(n) <> ''").distinct().withColumn("y", without_blanks(F.col("n"))).filter("y <> ''")
+    spare = lambda df, raw, bare: df.agg(F.max(F.length(raw) - F.length(bare))).first()[0] or 0
+    blanks = max(spare(v, "v", "x"), spare(n, "n", "y"))
+    lx, ly = F.length("x"), F.length("y")
+    edits = lambda size: _most_edits(size, tolerance, blanks)
+    tag = lambda kind, *parts: F.concat_ws("|", F.lit(kind), *(p.cast("string") for p in parts))
+
+    def own_segments(k: Column) -> Column:
+        def key(i: Column) -> Column:
+            start, size = _segment(ly, k + 1, i)
+            return tag("s", ly, i, F.substring("y", start, size))
+
+        return F.when(k + 1 > ly, F.array(tag("l", ly))).otherwise(F.transform(F.sequence(F.lit(1), k + 1), key))
+
+    def other_segments(size: Column) -> Column:
+        def of(k: Column) -> Column:
+            shift = lx - size
+
+            def places(i: Column) -> Column:
+                start, length = _segment(size, k + 1, i)
+                low = F.greatest(F.lit(1), start - (i - 1), start + shift - (k + 1 - i))
+                high = F.least(lx - length + 1, start + (i - 1), start + shift + (k + 1 - i))
+                return F.when(low <= high, F.transform(F.sequence(low, high), lambda p: tag("s", size, i, F.substring("x", p, length)))).otherwise(F.array().cast("array<string>"))
+
+            return F.when(F.abs(shift) > k, F.array().cast("array<string>")).when(k + 1 > size, F.array(tag("l", size))).otherwise(F.flatten(F.transform(F.sequence(F.lit(1), k + 1), places)))
+
+        return let(edits(size), of)
+
+    reach = _most_edits(lx + _most_edits(lx * 2, tolerance, blanks), tolerance, blanks)
+    sizes = F.sequence(F.greatest(F.lit(1), lx - reach), lx + reach)
+    grams = lambda c: F.flatten(F.transform(F.sequence(F.lit(1), F.least(F.lit(_PREFIX), F.length(c))), lambda g: F.transform(F.sequence(F.lit(1), F.length(c) - g + 1), lambda p: F.lower(F.substring(c, p, g)))))
+    start = lambda c: F.lower(F.substring(c, 1, _PREFIX))
+    keyed_v = v.select("block", "v", F.explode(F.array_distinct(F.concat(F.flatten(F.transform(sizes, other_segments)), F.transform(grams(F.col("x")), lambda g: tag("c", g)), F.array(tag("d", start("x")))))).alias("key"))
+    keyed_n = n.select("block", "n", F.explode(F.array_distinct(F.concat(own_segments(edits(ly)), F.transform(grams(F.col("y")), lambda g: tag("d", g)), F.array(tag("c", start("y")))))).alias("key"))
+    candidates = keyed_v.join(keyed_n, ["block", "key"]).select("block", "v", "n").distinct()
+    return candidates.filter(close_names(F.col("v"), F.col("n"), tolerance))
+
+
+def _matched_ids(survey: DataFrame, master: DataFrame, value: str, name: str, ident: str, tolerance: float | None) -> DataFrame:
+    """(block, v, ids): the master's ``ident`` values that a survey value fits, each distinct value compared once.
+
+    Without a tolerance a value fits a name or an id that it holds or that holds it."""
+    entries = master.select("block", qcol(ident).alias("i"), qcol(name).alias("n")).filter("i IS NOT NULL")
+    values = survey.select("block", qcol(value).alias("v"))
+    if tolerance is not None:
+        pairs = close_pairs(values, entries.select("block", "n"), tolerance)
+    else:
+        either = entries.select("block", "n").unionByName(entries.select("block", F.col("i").alias("n")))
+        pairs = close_pairs(values, either, 0.0).filter(contains_either(F.col("v"), F.col("n")))
+        entries = entries.unionByName(entries.withColumn("n", F.col("i")))
+    return pairs.join(entries.distinct(), ["block", "n"]).groupBy("block", "v").agg(F.collect_set("i").alias("ids"))
 
 
 def _narrow(rows: DataFrame, flag: str, column: str, ids: str) -> DataFrame:
@@ -59,30 +127,29 @@ def retrieve_ids(survey: DataFrame, master: DataFrame, spec: RetrievalSpec, bloc
     """(row, retrieved, VAR1_FLAG, VAR2_FLAG, NO_MATCH, MULTIPLE_MATCH, DUPLICATE_FLAG).
 
     retrieved: the candidates' ids in order, |-joined, NULL without any. Names match within the first tolerance;
-    rows without a match get the second. A flag says that location or teacher matched but no candidate has it.
+    rows without a match get the second. Location and teacher narrow several candidates; a flag says that one matched
+    but no candidate has it.
     DUPLICATE_FLAG: another row retrieved the same. Rows without a block match nothing; repeated names are compared
-    once; names meet only within a block (an equi-join)."""
-    s = survey.withColumn("__block", block)
-    m = master.withColumn("__block", master_block).filter("__block IS NOT NULL")
-    candidate = F.struct(qcol(spec.master_id).alias("id"), qcol(spec.master_var1_id).alias("v1"), qcol(spec.master_var2_id).alias("v2"))
-    entries = m.select("__block", qcol(spec.master_name).alias("__n"), candidate.alias("__c")).filter("__c.id IS NOT NULL").groupBy("__block", "__n").agg(F.collect_set("__c").alias("__cs"))
-    wanted = s.select("__block", qcol(spec.name).alias("__v")).filter("__v IS NOT NULL AND trim(__v) <> ''").distinct()
-    pairs = wanted.join(entries, "__block").filter(close_names(F.col("__v"), F.col("__n"), spec.second_tolerance))
-    first = close_names(F.col("__v"), F.col("__n"), spec.first_tolerance)
-    hits = pairs.groupBy("__block", "__v").agg(F.flatten(F.collect_list(F.when(first, F.col("__cs")))).alias("one"), F.flatten(F.collect_list("__cs")).alias("two"))
-    hits = hits.select("__block", "__v", F.when(F.size("one") > 0, F.col("one")).otherwise(F.col("two")).alias("candidates"))
-    rows = s.select(qcol(spec.row), "__block", qcol(spec.name).alias("__v"), qcol(spec.var1).alias("__v1"), qcol(spec.var2).alias("__v2"))
-    one = _matched_ids(s, m, spec, spec.var1, spec.master_var1, spec.master_var1_id, None).select(F.col("__block").alias("__b1"), F.col("__v").alias("__k1"), F.col("__ids").alias("__ids1"))
-    two = _matched_ids(s, m, spec, spec.var2, spec.master_var2, spec.master_var2_id, spec.first_tolerance).select(F.col("__block").alias("__b2"), F.col("__v").alias("__k2"), F.col("__ids").alias("__ids2"))
+    once, and only where ``close_pairs`` finds that they can match. Other columns are not read, so they can't clash."""
+    s = survey.select(block.alias("block"), qcol(spec.row).alias("__row"), qcol(spec.name).alias("v"), qcol(spec.var1).alias("__v1"), qcol(spec.var2).alias("__v2"))
+    named = (("id", spec.master_id), ("n", spec.master_name), ("n1", spec.master_var1), ("v1", spec.master_var1_id), ("n2", spec.master_var2), ("v2", spec.master_var2_id))
+    m = master.select(master_block.alias("block"), *(qcol(c).alias(a) for a, c in named)).filter("block IS NOT NULL")
+    entries = m.filter("id IS NOT NULL").groupBy("block", "n").agg(F.collect_set(F.struct("id", "v1", "v2")).alias("cs"))
+    pairs = close_pairs(s.select("block", "v"), entries.select("block", "n"), spec.second_tolerance)
+    first = close_names(F.col("v"), F.col("n"), spec.first_tolerance)
+    hits = pairs.join(entries, ["block", "n"]).groupBy("block", "v").agg(F.flatten(F.collect_list(F.when(first, F.col("cs")))).alias("one"), F.flatten(F.collect_list("cs")).alias("two"))
+    hits = hits.select("block", "v", F.when(F.size("one") > 0, F.col("one")).otherwise(F.col("two")).alias("candidates"))
+    one = _matched_ids(s, m, "__v1", "n1", "v1", None).select(F.col("block").alias("__b1"), F.col("v").alias("__k1"), F.col("ids").alias("__ids1"))
+    two = _matched_ids(s, m, "__v2", "n2", "v2", spec.first_tolerance).select(F.col("block").alias("__b2"), F.col("v").alias("__k2"), F.col("ids").alias("__ids2"))
     wide = (
-        rows.join(hits, ["__block", "__v"], "left")
-        .join(one, (F.col("__block") == F.col("__b1")) & (F.col("__v1") == F.col("__k1")), "left")
-        .join(two, (F.col("__block") == F.col("__b2")) & (F.col("__v2") == F.col("__k2")), "left")
+        s.join(hits, ["block", "v"], "left")
+        .join(one, (F.col("block") == F.col("__b1")) & (F.col("__v1") == F.col("__k1")), "left")
+        .join(two, (F.col("block") == F.col("__b2")) & (F.col("__v2") == F.col("__k2")), "left")
     )
     narrowed = _narrow(_narrow(wide, "VAR2_FLAG", "v2", "__ids2"), "VAR1_FLAG", "v1", "__ids1")
     ids = F.array_sort(F.array_distinct(F.transform("candidates", lambda c: c["id"])))
-    found = narrowed.select(qcol(spec.row), F.nullif(F.array_join(ids, "|"), F.lit("")).alias("retrieved"), "VAR1_FLAG", "VAR2_FLAG", (F.size(ids) > 1).alias("__several"))
+    found = narrowed.select(F.col("__row"), F.nullif(F.array_join(ids, "|"), F.lit("")).alias("retrieved"), "VAR1_FLAG", "VAR2_FLAG", (F.size(ids) > 1).alias("__several"))
     counts = found.filter("retrieved IS NOT NULL").groupBy("retrieved").agg(F.count(F.lit(1)).alias("__n"))
     return found.join(counts, "retrieved", "left").select(
-        qcol(spec.row), "retrieved", "VAR1_FLAG", "VAR2_FLAG", F.col("retrieved").isNull().alias("NO_MATCH"), F.coalesce("__several", F.lit(False)).alias("MULTIPLE_MATCH"), F.coalesce(F.col("__n") > 1, F.lit(False)).alias("DUPLICATE_FLAG")
+        F.col("__row").alias(spec.row), "retrieved", "VAR1_FLAG", "VAR2_FLAG", F.col("retrieved").isNull().alias("NO_MATCH"), F.coalesce("__several", F.lit(False)).alias("MULTIPLE_MATCH"), F.coalesce(F.col("__n") > 1, F.lit(False)).alias("DUPLICATE_FLAG")
     )

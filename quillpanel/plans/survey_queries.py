@@ -109,16 +109,19 @@ def n_issues_rollup(spark: Spark, d: str) -> DataFrame:
 
 
 def name_mismatch_osa(spark: Spark, d: str) -> DataFrame:
-    parts = read_table(spark, d, "part").select("p_brand", "p_name").distinct()
-    pairs = parts.join(parts.withColumnsRenamed({"p_name": "other"}), "p_brand").filter("p_name < other")
-    compared = pairs.select("p_name", "other").distinct()  # equal pairs of different brands are compared once
-    return pairs.join(compared.withColumn("mismatch", text.name_mismatch(F.col("p_name"), F.col("other"), 0.4)), ["p_name", "other"])
+    """Two sources' names of one customer: equal, two letters swapped (one edit by alignment), two letters wrong, unknown."""
+    c = read_table(spark, d, "customer")
+    k = F.pmod("c_custkey", F.lit(4))
+    other = F.when(k == 0, F.lower("c_name")).when(k == 1, F.regexp_replace("c_name", "^Cu", "uC")).when(k == 2, F.regexp_replace("c_name", "^Cu", "XY"))
+    return c.select("c_custkey", text.name_mismatch(F.col("c_name"), other, 0.1).alias("mismatch"))
 
 
 def name_similarity_lev(spark: Spark, d: str) -> DataFrame:
-    parts = read_table(spark, d, "part").select("p_brand", "p_name").distinct()
-    pairs = parts.join(parts.withColumnsRenamed({"p_name": "other"}), "p_brand").filter("p_name < other")
-    return pairs.filter(text.close_names(F.col("p_name"), F.col("other"), 0.3)).select("p_brand", "p_name", "other")
+    """Each distinct part name with the other names of its brand that are close to it: pairs of representatives, found
+    by shared segments and not by comparing all."""
+    parts = read_table(spark, d, "part").select(F.col("p_brand").alias("block"), F.col("p_name").alias("n")).distinct()
+    pairs = matching.close_pairs(parts.withColumnRenamed("n", "v"), parts, 0.3).filter("v < n")
+    return pairs.select(F.col("block").alias("p_brand"), F.col("v").alias("p_name"), F.col("n").alias("other"))
 
 
 def id_retrieval(spark: Spark, d: str) -> DataFrame:
@@ -464,6 +467,7 @@ ORACLE = {
         i AS (SELECT k, coalesce(b > base + 20000, false) OR coalesce(c > base + 20000, false) AS V_ISSUE,
                      coalesce(floor(b / 100000) <> floor(base / 100000), false) OR coalesce(floor(c / 100000) <> floor(base / 100000), false) AS W_ISSUE FROM e)
         SELECT k, V_ISSUE, W_ISSUE, CAST(V_ISSUE AS INT) + CAST(W_ISSUE AS INT) AS N_ISSUES FROM i WHERE V_ISSUE OR W_ISSUE""",
+    "name_mismatch_osa": "SELECT c_custkey, c_custkey % 4 = 2 AS mismatch FROM customer",
     "name_similarity_lev": """
         WITH p AS (SELECT DISTINCT p_brand, p_name FROM part)
         SELECT a.p_brand, a.p_name, b.p_name AS other FROM p a JOIN p b ON a.p_brand = b.p_brand AND a.p_name < b.p_name

@@ -80,3 +80,25 @@ def test_retrieval(spark):
     got = {r.row: (r.retrieved, r.NO_MATCH, r.MULTIPLE_MATCH) for r in out.collect()}
     assert got == {"s1": ("A1", False, False), "s2": ("A3", False, False), "s3": (None, True, False), "s4": ("A1|A2", False, True), "s5": (None, True, False), "s6": (None, True, False)}
     assert matching.retrieve_ids(survey.limit(0), master, spec, matching.region_block("x", F.col("region")), F.lit("S")).count() == 0
+
+
+def test_close_pairs_against_all_pairs(spark):
+    import random
+
+    from quillpanel.functions.text import close_names
+
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abc ") for _ in range(rng.randrange(0, 14)))
+    left = [("x", word()) for _ in range(80)] + [(None, "a"), ("x", None), ("y", "abcabc")]
+    right = [("x", word()) for _ in range(60)]
+    for _, v in left[:40]:
+        if v:
+            letters = list(v)
+            for _ in range(rng.randrange(4)):
+                letters.insert(rng.randrange(len(letters) + 1), rng.choice("abcd "))
+            right.append(("x", "".join(letters)))
+    lo, ro = spark.createDataFrame(left, "block string, v string"), spark.createDataFrame(right, "block string, n string")
+    for tolerance in (0.0, 0.2, 0.45):
+        every = lo.distinct().join(ro.distinct(), "block").filter("trim(v) <> '' AND trim(n) <> ''").filter(close_names(F.col("v"), F.col("n"), tolerance))
+        assert {(r.v, r.n) for r in matching.close_pairs(lo, ro, tolerance).collect()} == {(r.v, r.n) for r in every.collect()}
+    assert matching.close_pairs(lo.limit(0), ro, 0.2).count() == 0
