@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 
 from quillpanel.operators.clean import drop_variables, order_by_codebook
-from quillpanel.plans.dsl import Cell, Context, DslError, Node, compile_cell, parse_cell
+from quillpanel.plans.dsl import Cell, Context, DslError, Node, compile_cell, parse_cell, with_groups
 from quillpanel.plans.mapping import Issue, subgroup_table
 from quillpanel.session import qcol
 
@@ -124,12 +124,19 @@ def apply_codebook(
                 warn=lambda m: issues.append(Issue("warn", group, when, str(end), m)),  # noqa: B023
             )
             try:
-                value = compile_cell(cell, context)
+                value, groups = compile_cell(cell, context)
             except (DslError, IndexError) as x:
                 err(str(x))
                 continue
-            if cell.mode == "group":
+            if groups.aggregates or groups.modes:
                 flush()
+                before = current.columns
+                joined = with_groups(current, groups, ids, time).withColumn(end, value)
+                current = joined.select(*map(qcol, dict.fromkeys([*before, end])))
+                done.add(end)
+                known.add(end)
+                final += [end] if end not in final else []
+                continue
         level[end] = value
         done.add(end)
         known.add(end)

@@ -11,9 +11,8 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from pathlib import Path
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window, WindowSpec
 
 from quillpanel.operators.clean import or_known
 from quillpanel.session import qcol
@@ -205,9 +204,24 @@ def _words(args: Sequence[tuple[str | None, Node]]) -> list[str]:
     return out
 
 
+@dataclass
+class GroupPlan:
+    """What a grouped cell needs of its ids: aggregates by name, and modes (name, value, rows that count, NULLs dropped).
+    The cell's column refers to them by name; ``with_groups`` adds them to a table."""
+
+    aggregates: dict[str, Column] = field(default_factory=dict)
+    modes: list[tuple[str, Column, Column | None, bool]] = field(default_factory=list)
+
+
 class Compiler:
     def __init__(self, context: Context, grouped: bool) -> None:
         self.c, self.grouped = context, grouped
+        self.plan = GroupPlan()
+
+    def of_group(self, aggregate: Column) -> Column:
+        name = f"__group_{len(self.plan.aggregates)}"
+        self.plan.aggregates[name] = aggregate
+        return F.col(name)
 
     # -- values
     def column(self, value: Value) -> Column:
@@ -363,46 +377,42 @@ class Compiler:
             raise DslError(f"unknown operator {op}")
         return table[op](x, y)
 
-    def over(self) -> WindowSpec:
-        return Window.partitionBy(*map(qcol, self.c.ids)).orderBy(qcol(self.c.time).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-
     def aggregate(self, name: str, args: Sequence[tuple[str | None, Node]]) -> Column:
-        """A grouped function: over all rows of the id. With na.rm FALSE any unknown value makes it unknown."""
+        """A grouped function: over all rows of the id. With na.rm FALSE any unknown value makes it unknown.
+
+        All are partial aggregates (first and last by time, unknown times last), so an id of any size fits."""
         drop_na = bool(self.named(args, "na.rm", False))
         plain = [a for n, a in args if n is None]
         v = self.value(plain[0])
         keep = v.keep if isinstance(v, Masked) else None
         x = v.value if isinstance(v, Masked) else self.column(v)
         seen = F.when(keep, x) if keep is not None else x
-        w = self.over()
-        rows = F.count(F.when(keep, 1)).over(w) if keep is not None else F.count(F.lit(1)).over(w)
+        rows = lambda: self.of_group(F.count(F.when(keep, 1)) if keep is not None else F.count(F.lit(1)))
         if name == "length":
-            return rows
+            return rows()
         if name in ("first", "last"):
-            ordered = F.collect_list(F.when(keep, F.struct(x.alias("x"))) if keep is not None else F.struct(x.alias("x"))).over(w)
-            return F.get(ordered, F.lit(0) if name == "first" else F.size(ordered) - 1)["x"]
+            by = F.struct(qcol(self.c.time).isNull().alias("n"), qcol(self.c.time).alias("t"), x.alias("x"))
+            pick = F.min_by if name == "first" else F.max_by
+            return self.of_group(pick(x, F.when(keep, by) if keep is not None else by))
         if name == "MODE":
-            wrapped = F.struct(x.alias("x"))
-            kept = F.when(keep, wrapped) if keep is not None else wrapped
-            values = F.collect_list(kept if not drop_na else F.when(seen.isNotNull(), wrapped)).over(w)
-            return mode_of(values)
+            mode = f"__mode_{len(self.plan.modes)}"
+            self.plan.modes.append((mode, x, keep, drop_na))
+            return F.col(mode)
         if name == "unique":
-            values = F.array_distinct(F.collect_list(seen).over(w))
-            return F.when(F.size(values) <= 1, F.get(values, F.lit(0)))
+            low, high = self.of_group(F.min(seen)), self.of_group(F.max(seen))
+            return F.when(low == high, low)
         plans: dict[str, Callable[[Column], Column]] = {"mean": F.avg, "sum": F.sum, "SUM": F.sum, "min": F.min, "max": F.max, "any": lambda c: F.bool_or(c.cast("boolean")), "all": lambda c: F.bool_and(c.cast("boolean")), "sd": F.stddev_samp, "median": F.median}
-        out = plans[name](seen).over(w)
-        known = F.count(seen).over(w)
-        if name == "SUM":
-            return F.coalesce(out, F.lit(0))
-        if name == "sum":
+        out = self.of_group(plans[name](seen))
+        if name in ("SUM", "sum"):
             out = F.coalesce(out, F.lit(0))
-        if drop_na:
+        if drop_na or name == "SUM":
             return out
+        whole = self.of_group(F.count(seen)) == rows()
         if name == "any":
-            return F.when(F.coalesce(out, F.lit(False)), True).when(known == rows, out)
+            return F.when(F.coalesce(out, F.lit(False)), True).when(whole, out)
         if name == "all":
-            return F.when(~F.coalesce(out, F.lit(True)), False).when(known == rows, out)
-        return F.when(known == rows, out)
+            return F.when(~F.coalesce(out, F.lit(True)), False).when(whole, out)
+        return F.when(whole, out)
 
     def call(self, name: str, args: Sequence[tuple[str | None, Node]]) -> Value:
         if name.startswith("."):
@@ -563,9 +573,37 @@ SCALAR_FUNCTIONS: dict[str, Callable[..., Column]] = {
 }
 
 
-def compile_cell(cell: Cell, context: Context) -> Column:
-    """The column of a row or group reduction. Raises DslError for what it cannot mean."""
+def compile_cell(cell: Cell, context: Context) -> tuple[Column, GroupPlan]:
+    """The column of a row or group reduction, and what it needs of its groups (nothing for a row reduction).
+    Raises DslError for what it cannot mean."""
     if cell.tree is None:
         raise DslError("nothing to compute")
     compiler = Compiler(context, cell.mode == "group")
-    return compiler.column(compiler.value(cell.tree))
+    return compiler.column(compiler.value(cell.tree)), compiler.plan
+
+
+def with_groups(df: DataFrame, plan: GroupPlan, ids: Sequence[str], time: str) -> DataFrame:
+    """``df`` with the plan's columns: each id's aggregates joined back to its rows (NULL ids are one id).
+
+    A mode is counted by id and value first, so neither an id nor a value is ever collected."""
+    keys = [qcol(i).alias(f"__id_{n}") for n, i in enumerate(ids)]
+    names = [f"__id_{n}" for n in range(len(ids))]
+
+    def back(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> DataFrame:
+        on = F.lit(True)
+        for i, n in zip(ids, names, strict=True):
+            on = on & qcol(i).eqNullSafe(F.col(n))
+        joined = left.join(right, on, "left")
+        return joined.select(*(qcol(c) for c in left.columns), *columns)
+
+    if plan.aggregates:
+        df = back(df, df.groupBy(*keys).agg(*(a.alias(n) for n, a in plan.aggregates.items())), list(plan.aggregates))
+    for name, x, keep, drop_na in plan.modes:
+        part = df.filter(keep) if keep is not None else df
+        part = part.filter(x.isNotNull()) if drop_na else part
+        seen = F.struct(qcol(time).isNull().alias("n"), qcol(time).alias("t"))
+        counted = part.groupBy(*keys, x.alias("__x")).agg(F.count(F.lit(1)).alias("__n"), F.min(seen).alias("__first"))
+        # the most frequent, then the first seen: the least of (-count, first time, value)
+        best = counted.groupBy(*names).agg(F.min_by("__x", F.struct((-F.col("__n")).alias("c"), "__first", "__x")).alias(name))
+        df = back(df, best, [name])
+    return df
