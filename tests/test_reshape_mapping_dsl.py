@@ -199,3 +199,16 @@ def test_report(spark, rows):
     text = report.codebook_markdown(df, meta)
     assert "| 4 | 1.0 | 4.0 | 3.0 | 3.56 | 9.0 |" in text and "| a | X |" in text and "not in database" in text and "## d" not in text
     assert report.resolve_name("v", ["v_BY1"], "BY1") == "v_BY1" and report.resolve_name("v", ["v_x_EGRA"], None, "EGRA") == "v_x_EGRA"
+
+
+def test_medians_are_exact(spark):
+    import random
+    from statistics import median
+
+    rng = random.Random(1)
+    data = [(rng.gauss(0, 1), float(rng.randrange(3)), None if i % 3 else i / 7, 5.0, None) for i in range(997)]
+    df = spark.createDataFrame(data, "a double, b double, c double, d double, e double")
+    expected = {c: median(v) if (v := [r[i] for r in data if r[i] is not None]) else None for i, c in enumerate("abcde")}
+    for few in (1, 50, 10_000):
+        assert report.medians(df, list("abcde"), bins=8, few=few) == pytest.approx(expected)
+    assert report.medians(df.limit(0), ["a"]) == {"a": None}
