@@ -64,4 +64,44 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {**survey_queries.QUERIES, "p1_found": p1_found, "p4_found": p4_found, "p4_table": p4_table, "p6_found": p6_found}
 
-ORACLE: dict[str, str] = dict(survey_queries.ORACLE)
+_QUOTED = r"""(?:"(?:[^"]|"")*"|“[^”]*”|«[^»]*»|'[^']*')"""
+_SIGNS = r",;|\t\n\r，；｜、،؛"
+_P1_SQL = rf"""
+    WITH c AS (
+        SELECT fix_id, 'what' AS field, regexp_replace(regexp_replace(trim(what), '\s+(et|and|-)\s+', ',', 'gi'), '[/&+]', ',', 'g') AS t FROM corrections
+        UNION ALL SELECT fix_id, 'fix_database', regexp_replace(regexp_replace(regexp_replace(trim(fix_database), '\s+(et|and|-)\s+', ',', 'gi'), ' *[/&+{_SIGNS}] *', ',', 'g'), ' +', ',', 'g') FROM corrections
+        UNION ALL SELECT fix_id, 'change_to', trim(change_to, ' ') FROM corrections),
+    s AS (SELECT fix_id, field, regexp_extract_all(t || ',', '((?:{_QUOTED.replace("'", "''")}|[^{_SIGNS}])*)[{_SIGNS}]', 1) AS l FROM c WHERE t IS NOT NULL),
+    u AS (SELECT fix_id, field, unnest(l) AS x, unnest(range(1, len(l) + 1)) AS pos FROM s),
+    v AS (SELECT fix_id, field, pos, trim(x, ' ' || chr(9) || chr(10) || chr(13)) AS x FROM u),
+    w AS (SELECT fix_id, field, pos, CASE WHEN x LIKE '"%"' AND len(x) > 1 THEN replace(x[2:-2], '""', '"') WHEN len(x) > 1 AND (x LIKE '“%”' OR x LIKE '«%»' OR x LIKE '''%''') THEN x[2:-2] ELSE x END AS item FROM v)
+    SELECT fix_id, field, pos, trim(item) AS item FROM w WHERE trim(item) <> '' QUALIFY count(*) OVER (PARTITION BY fix_id, field) >= 2"""
+_P4_SQL = r"""
+    WITH names AS (
+        SELECT assess_group AS g, lower(regexp_replace(n, '[^\p{L}\p{N}]', '', 'g')) AS k, min(upper(trim(homogenized_name))) AS field
+        FROM (SELECT assess_group, homogenized_name, unnest([name_by1, name_my1, name_ey1, name_by2]) AS n FROM mapping_sheet)
+        WHERE assess_group IS NOT NULL AND trim(homogenized_name) <> '' AND n IS NOT NULL GROUP BY 1, 2),
+    lists AS (
+        SELECT assess_group AS g, upper(trim(homogenized_name)) AS field, c.w AS wave, regexp_extract_all(c.t, 'c\(([^()]*)\)', 1) AS l
+        FROM (SELECT *, unnest([{'w': 1, 't': code_by1}, {'w': 2, 't': code_my1}, {'w': 3, 't': code_ey1}, {'w': 4, 't': code_by2}]) AS c FROM mapping_sheet)
+        WHERE assess_group IS NOT NULL AND c.t IS NOT NULL),
+    pairs AS (
+        SELECT DISTINCT g, field, wave, trim(u.v) || '=' || upper(trim(replace(u.d, '"', ''))) AS p
+        FROM (SELECT g, field, wave, unnest(list_transform(range(1, len(string_split(l[1], ',')) + 1), lambda i: {'v': string_split(l[1], ',')[i], 'd': string_split(l[2], ',')[i]})) AS u FROM lists)),
+    codes AS (SELECT g, field, wave, string_agg(p, ';' ORDER BY p) AS codes FROM pairs GROUP BY ALL),
+    long AS (SELECT site_no, assess_group, file_no, wave, payload, unnest(json_keys(payload)) AS raw FROM wave_records),
+    typed AS (
+        SELECT long.*, coalesce(n.field, raw) AS field,
+               CASE json_type(payload, '$."' || raw || '"') WHEN 'UBIGINT' THEN 'whole' WHEN 'BIGINT' THEN 'whole' WHEN 'DOUBLE' THEN 'decimal' WHEN 'VARCHAR' THEN 'text' WHEN 'BOOLEAN' THEN 'boolean' END AS kind
+        FROM long LEFT JOIN names n ON n.g = assess_group AND n.k = lower(regexp_replace(raw, '[^\p{L}\p{N}]', '', 'g'))),
+    cat AS (
+        SELECT t.site_no, t.assess_group, t.file_no, t.field, string_agg(DISTINCT raw, chr(1) ORDER BY raw) AS raws, string_agg(DISTINCT kind, ',' ORDER BY kind) AS kinds, min(c.codes) AS codes
+        FROM typed t LEFT JOIN codes c ON c.g = t.assess_group AND c.field = t.field AND c.wave = t.wave GROUP BY ALL),
+    files AS (SELECT site_no, assess_group, file_no, lag(file_no) OVER (PARTITION BY site_no, assess_group ORDER BY min(received_at), file_no) AS prev FROM wave_records GROUP BY 1, 2, 3),
+    cur AS (SELECT c.*, f.prev FROM cat c JOIN files f USING (site_no, assess_group, file_no) WHERE prev IS NOT NULL),
+    old AS (SELECT f.site_no, f.assess_group, f.file_no, c.field, c.raws, c.kinds, c.codes FROM files f JOIN cat c ON c.site_no = f.site_no AND c.assess_group = f.assess_group AND c.file_no = f.prev),
+    j AS (SELECT site_no, assess_group, file_no, field, a.raws AS r1, b.raws AS r0, a.kinds AS k1, b.kinds AS k0, a.codes AS c1, b.codes AS c0 FROM cur a FULL JOIN old b USING (site_no, assess_group, file_no, field)),
+    x AS (SELECT site_no, assess_group, file_no, field, unnest([CASE WHEN r0 IS NULL THEN 'added' END, CASE WHEN r1 IS NULL THEN 'removed' END, CASE WHEN r1 <> r0 THEN 'renamed' END, CASE WHEN k1 <> k0 THEN 'retyped' END, CASE WHEN r1 IS NOT NULL AND r0 IS NOT NULL AND c1 <> c0 THEN 'recoded' END]) AS change_kind FROM j)
+    SELECT * FROM x WHERE change_kind IS NOT NULL"""
+
+ORACLE: dict[str, str] = {**survey_queries.ORACLE, "p1_found": _P1_SQL, "p4_found": _P4_SQL}

@@ -391,12 +391,101 @@ def codebook_frequencies(spark: Spark, d: str) -> DataFrame:
     return report.frequencies(read_table(spark, d, "orders"), ["o_orderstatus", "o_orderpriority"])
 
 
+# ---------------------------------------------------------------- more of the same operators
+def cross_source_names(spark: Spark, d: str) -> DataFrame:
+    """Three sources' names: a swap in one, a longer name in another, two wrong letters in some."""
+    c = read_table(spark, d, "customer")
+    k = F.pmod("c_custkey", F.lit(5))
+    one = c.select(F.col("c_custkey").alias("ID"), F.col("c_name").alias("NAME"))
+    two = c.filter(k != 3).select(F.col("c_custkey").alias("ID"), F.when(k == 1, F.regexp_replace("c_name", "^Cu", "uC")).when(k == 2, F.regexp_replace("c_name", "^Cu", "XY")).otherwise(F.col("c_name")).alias("NAME"))
+    three = c.select(F.col("c_custkey").alias("ID"), F.when(k == 4, F.concat("c_name", F.lit(" the older"))).alias("NAME"))
+    out = verify.cross_source_issues({"B": two, "C": three}, ("A", one), "ID", names=["NAME"], tolerance={".others": 0.1})
+    return out.select("ID", "NAME_ISSUE", "N_ISSUES")
+
+
+def long_set_issues(spark: Spark, d: str) -> DataFrame:
+    li = read_table(spark, d, "lineitem").select(F.col("l_orderkey").alias("ID"), F.col("l_linenumber").alias("t"), "l_quantity")
+    out = verify.long_set_issues(li, "ID", "t", "LINE", [1, 2, 3], checks={"many": lambda x: F.col("l_quantity") > 48})
+    parts = [df.withColumn("set_name", F.lit(n)) for n, df in out.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def apply_multi_fixes(spark: Spark, d: str) -> DataFrame:
+    s = read_table(spark, d, "supplier")
+    key = F.concat(F.lit("S"), F.col("s_suppkey").cast("string"))
+    base = s.select(key.alias("uid"), key.alias("id"), F.col("s_nationkey").alias("NATION"), F.col("s_name").alias("TITLE"))
+    sheet = s.filter("s_suppkey % 4 = 0").select(key.alias("uid"), key.alias("id"), F.lit("ONE|two").alias("database"), F.lit("NATION,TITLE|title").alias("what"), F.concat(F.lit("99, T"), F.col("s_suppkey").cast("string"), F.lit("|U")).alias("change_to"))
+    out = corrections.apply_multi_fixes({"ONE": base, "TWO": base}, sheet, "uid", "id")
+    return out["ONE"].df.withColumn("tbl", F.lit("ONE")).unionByName(out["TWO"].df.withColumn("tbl", F.lit("TWO")))
+
+
+def apply_long_fixes(spark: Spark, d: str) -> DataFrame:
+    li = read_table(spark, d, "lineitem").filter("l_linenumber <= 3")
+    long = li.groupBy(F.concat(F.lit("K"), F.col("l_orderkey").cast("string")).alias("uid"), F.col("l_linenumber").alias("t")).agg(F.max("l_quantity").alias("qty")).withColumn("id", F.col("uid"))
+    keys = long.select("uid").distinct().filter(F.pmod(F.substring("uid", 2, 20).cast("bigint"), F.lit(10)) == 0)
+    sheet = keys.select("uid", F.col("uid").alias("id"), F.lit("LINE_2").alias("database"), F.lit("QTY").alias("what"), F.lit("-1.5").alias("change_to"))
+    return corrections.apply_long_fixes(long, sheet, "LINE", "id", "t", "uid").df.select("uid", "t", "qty")
+
+
+def legacy_clean(spark: Spark, d: str) -> DataFrame:
+    o = read_table(spark, d, "orders")
+    k = F.col("o_orderkey")
+    raw = o.select(
+        F.when(k % 10 == 0, "-99").otherwise(F.concat(F.lit(" o "), k.cast("string"))).alias("ORDER_ID"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("DAY"),
+        F.when(k % 6 == 0, "see n/a").otherwise(F.lower("o_orderpriority")).alias("PRI"), k.cast("string").alias("NUM"), F.lit("").alias("NOTE"),
+    )
+    out = clean.legacy_clean(raw, date_col="DAY", begin_date="1996-01-01")
+    return out.select("ORDER_ID", F.date_format("DAY", "yyyy-MM-dd").alias("DAY"), "PRI", "NUM")
+
+
+def permute_tags(spark: Spark, d: str) -> DataFrame:
+    wide = read_table(spark, d, "orders").groupBy(F.col("o_custkey").alias("ID")).agg(F.count(F.lit(1)).alias("N_ALL_1"), F.max("o_totalprice").alias("TOP_2_FIN"))
+    return reshape.permute_tags(wide, ["ALL", "FIN"])
+
+
+def spread_force_unite(spark: Spark, d: str) -> DataFrame:
+    ev = read_table(spark, d, "events")
+    panel = ev.groupBy(F.col("user_id").alias("id"), F.dayofmonth("ts").alias("t")).agg(F.max("value").alias("V"), F.min("event_type").alias("KIND")).filter("t <= 5")
+    return reshape.spread(panel, ["id"], "t", split=["V"], force_unite=["KIND"], times=[1, 2, 3, 4, 5], drop_empty=False)
+
+
+def keep_first_of_key(spark: Spark, d: str) -> DataFrame:
+    li = read_table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    return reshape.keep_first(li, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey"])
+
+
+def three_valued_or(spark: Spark, d: str) -> DataFrame:
+    o = read_table(spark, d, "orders")
+    k = F.col("o_orderkey")
+    a, b = F.when(k % 3 != 0, k % 2 == 0), F.when(k % 5 != 0, k % 7 == 0)
+    return o.select(k, clean.or_known(a, b).alias("either"))
+
+
+def yes_no_columns(spark: Spark, d: str) -> DataFrame:
+    o = read_table(spark, d, "orders")
+    k = F.col("o_orderkey")
+    return clean.yesno_to_boolean(o.select(k, F.when(k % 4 == 0, "Y").when(k % 4 != 1, "n").alias("flag"), F.when(k % 2 == 0, "Y").otherwise("x").alias("kept")))
+
+
+def mapping_recodes(spark: Spark, d: str) -> DataFrame:
+    from quillpanel.operators import drift
+
+    codes = {1: "code_by1", 2: "code_my1", 3: "code_ey1", 4: "code_by2"}
+    return drift.recode_map(read_table(spark, d, "mapping_sheet"), "assess_group", codes, "final_coding", "homogenized_name")
+
+
+def table_contents(spark: Spark, d: str) -> DataFrame:
+    bundle = {"SURVEY": {1: read_table(spark, d, "assessments"), 2: None}, "PLACES": {1: read_table(spark, d, "locations")}}
+    return spark.createDataFrame(verify.content_summary(bundle), "`grp` string, `wave` int, variable string")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         dup_flag_all_members, single_set_issues, id_pattern_bad, weird_or_duplicated, only_in_data, only_in_reference, value_mismatch_equal, value_mismatch_upper, value_mismatch_lower, value_mismatch_both,
         merge_sources_full_outer, dup_provenance, n_issues_rollup, name_mismatch_osa, name_similarity_lev, id_retrieval, clear_artifacts, strip_99_codes, id_whitespace_strip, remove_accents_fr, date_floor_filter,
         drop_empty_rows, clean_table, patch99_nonresponse, typecast_text, verify_fixes_flags, apply_corrections, explode_multi_fix, recode_simultaneous, homogenize_waves, clean_databases, reduction_rows,
+        cross_source_names, long_set_issues, apply_multi_fixes, apply_long_fixes, legacy_clean, permute_tags, spread_force_unite, keep_first_of_key, three_valued_or, yes_no_columns, mapping_recodes, table_contents,
         grouped_reduction, coalesce_long, mode_first_tie, merge_databases_collision, merge_times_union, spread_times, auto_split_vars, gather_times, codebook_descriptives, codebook_histogram, codebook_frequencies,
     )
 }
@@ -436,6 +525,30 @@ _PANEL = """
 _SPREAD_CELLS = ", ".join(f"max(CASE WHEN t = {t} THEN qty END) AS QTY_{t}, max(CASE WHEN t = {t} THEN flag END) AS flag_{t}" for t in range(1, 8))
 
 ORACLE = {
+    "cross_source_names": "SELECT c_custkey AS ID, true AS NAME_ISSUE, 1 AS N_ISSUES FROM customer WHERE c_custkey % 5 = 2",
+    "long_set_issues": """
+        WITH x AS (SELECT l_orderkey AS ID, l_linenumber AS t, l_quantity, count(*) OVER (PARTITION BY l_orderkey, l_linenumber) > 1 AS d FROM lineitem WHERE l_linenumber <= 3)
+        SELECT ID, t, l_quantity, concat_ws(', ', CASE WHEN d THEN 'duplicated_id' END, CASE WHEN l_quantity > 48 THEN 'many' END) AS ISSUE, 'LINE_' || t AS set_name FROM x WHERE d OR l_quantity > 48""",
+    "apply_multi_fixes": """
+        SELECT 'S' || s_suppkey AS uid, 'S' || s_suppkey AS id, CASE WHEN s_suppkey % 4 = 0 THEN 99 ELSE s_nationkey END AS NATION, CASE WHEN s_suppkey % 4 = 0 THEN 'T' || s_suppkey ELSE s_name END AS TITLE, 'ONE' AS tbl FROM supplier
+        UNION ALL SELECT 'S' || s_suppkey, 'S' || s_suppkey, s_nationkey, CASE WHEN s_suppkey % 4 = 0 THEN 'U' ELSE s_name END, 'TWO' FROM supplier""",
+    "apply_long_fixes": "SELECT 'K' || l_orderkey AS uid, l_linenumber AS t, CASE WHEN l_linenumber = 2 AND l_orderkey % 10 = 0 THEN -1.5 ELSE max(l_quantity) END AS qty FROM lineitem WHERE l_linenumber <= 3 GROUP BY l_orderkey, l_linenumber",
+    "legacy_clean": "SELECT CASE WHEN o_orderkey % 10 <> 0 THEN 'O' || o_orderkey END AS ORDER_ID, strftime(o_orderdate, '%Y-%m-%d') AS DAY, CASE WHEN o_orderkey % 6 <> 0 THEN upper(o_orderpriority) END AS PRI, o_orderkey AS NUM FROM orders WHERE CAST(o_orderdate AS DATE) >= DATE '1996-01-01'",
+    "permute_tags": "SELECT o_custkey AS ID, count(*) AS N_1_ALL, max(o_totalprice) AS TOP_FIN_2 FROM orders GROUP BY 1",
+    "spread_force_unite": """
+        WITH p AS (SELECT user_id AS id, day(ts) AS t, max(value) AS v, min(event_type) AS k FROM events WHERE day(ts) <= 5 GROUP BY 1, 2),
+        m AS (SELECT id, k, row_number() OVER (PARTITION BY id ORDER BY count(*) DESC, k) AS r FROM p GROUP BY 1, 2)
+        SELECT p.id, any_value(m.k) AS KIND, max(v) FILTER (t = 1) AS V_1, max(v) FILTER (t = 2) AS V_2, max(v) FILTER (t = 3) AS V_3, max(v) FILTER (t = 4) AS V_4, max(v) FILTER (t = 5) AS V_5 FROM p JOIN m ON m.id = p.id AND r = 1 GROUP BY p.id""",
+    "keep_first_of_key": "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) = 1",
+    "three_valued_or": "SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 AND o_orderkey % 5 = 0 THEN NULL ELSE coalesce(CASE WHEN o_orderkey % 3 <> 0 THEN o_orderkey % 2 = 0 END, false) OR coalesce(CASE WHEN o_orderkey % 5 <> 0 THEN o_orderkey % 7 = 0 END, false) END AS either FROM orders",
+    "yes_no_columns": "SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN true WHEN o_orderkey % 4 <> 1 THEN false END AS flag, CASE WHEN o_orderkey % 2 = 0 THEN 'Y' ELSE 'x' END AS kept FROM orders",
+    "mapping_recodes": r"""
+        WITH l AS (SELECT assess_group, upper(trim(homogenized_name)) AS field, regexp_extract_all(final_coding, 'c\(([^()]*)\)', 1) AS f, c.w AS wave, regexp_extract_all(c.t, 'c\(([^()]*)\)', 1) AS w
+                   FROM (SELECT *, unnest([{'w': 1, 't': code_by1}, {'w': 2, 't': code_my1}, {'w': 3, 't': code_ey1}, {'w': 4, 't': code_by2}]) AS c FROM mapping_sheet) WHERE assess_group IS NOT NULL AND c.t IS NOT NULL AND final_coding IS NOT NULL),
+        a AS (SELECT assess_group, field, wave, trim(unnest(string_split(w[1], ','))) AS value, trim(unnest(string_split(w[2], ','))) AS d FROM l),
+        b AS (SELECT DISTINCT assess_group, field, trim(unnest(string_split(f[1], ','))) AS final_value, trim(unnest(string_split(f[2], ','))) AS d FROM l)
+        SELECT DISTINCT assess_group, field, wave, value, final_value FROM a JOIN b USING (assess_group, field, d)""",
+    "table_contents": "SELECT CASE table_name WHEN 'assessments' THEN 'SURVEY' ELSE 'PLACES' END AS grp, 1 AS wave, column_name AS variable FROM information_schema.columns WHERE table_name IN ('assessments', 'locations')",
     "dup_flag_all_members": "SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, count(*) OVER (PARTITION BY l_orderkey, l_linenumber) > 1 AS duplicated FROM lineitem",
     "single_set_issues": """
         WITH x AS (SELECT 'O' || l_orderkey AS order_id, l_linenumber, l_partkey, l_quantity, count(*) OVER (PARTITION BY l_orderkey) > 1 AS dup,
