@@ -107,4 +107,11 @@ ORACLE = {
         SELECT min(row_id) AS first_row_id, count(*) AS n_copies FROM p
         GROUP BY s, tablet, regexp_extract(r, '[0-9]+'), regexp_extract(r, '[A-Z]+'), assess_group, wave, age, grade, q11, q12, q1_99, score
         HAVING count(*) >= 2""",
+    "p8_found": r"""
+    WITH w AS (
+        SELECT 'd' AS src, doc_id AS id, regexp_extract_all(lower(strip_accents(text)), '[\p{L}\p{N}]+') AS w FROM documents WHERE text IS NOT NULL
+        UNION ALL SELECT 'i', item_id, regexp_extract_all(lower(strip_accents(item_text)), '[\p{L}\p{N}]+') FROM exam_items),
+    g AS (SELECT src, id, w, unnest(range(1, len(w) - 10)) AS p FROM w WHERE len(w) >= 12),
+    s AS (SELECT DISTINCT src, id, array_to_string(w[p:p + 11], ' ') AS s FROM g)
+    SELECT DISTINCT d.id AS doc_id, i.id AS item_id FROM s d JOIN s i ON d.src = 'd' AND i.src = 'i' AND d.s = i.s""",
 }
