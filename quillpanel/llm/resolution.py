@@ -71,25 +71,23 @@ def match_block(kind: str, members: list[Profile]) -> Iterator[tuple[str, str, i
     members = sorted(members, key=lambda m: (not m.full_fathers, -m.weight, m.pid))
     groups: list[list[Profile]] = []
     waiting: list[Profile] = []
-    by_given: dict[str, list[Profile]] = {}
+    by_name: dict[str, list[Profile]] = {}
+    names = {"F": lambda m: m.givens, "G": lambda m: m.full_fathers, "B": lambda m: m.families}.get(kind)
     for m in members:
-        if kind == "F":
-            home = next((by_given[g] for g in m.givens if g in by_given), None) or next((x for x in groups if _alike(m.givens, x[0].givens, m.sure | x[0].sure)), None)
-        elif not m.full_fathers:
+        if kind != "F" and not m.full_fathers:
             waiting.append(m)
             continue
-        elif kind == "G":
-            home = next((x for x in groups if _alike(m.full_fathers, x[0].full_fathers, m.sure | x[0].sure)), None)
-        elif kind == "B":
-            home = next((x for x in groups if _alike(m.families, x[0].families, m.sure | x[0].sure)), None)
+        if names is not None:
+            # an equal name is looked up; only new spellings are compared with the groups' leaders
+            home = next((by_name[x] for x in names(m) if x in by_name), None) or next((x for x in groups if _alike(names(m), names(x[0]), m.sure | x[0].sure)), None)
         else:
             home = next((x for x in groups if set(m.givens) & set(x[0].givens) and _fathers_agree(m, x[0])), None)
         if home is None:
             home = []
             groups.append(home)
         home.append(m)
-        for g in m.givens:
-            by_given.setdefault(g, home)
+        for x in names(m) if names is not None else ():
+            by_name.setdefault(x, home)
     if kind == "F":
         # short forms: of this father's children the only one whose name begins most like it
         for x in groups:
