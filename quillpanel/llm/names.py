@@ -79,7 +79,7 @@ def osa(a: str, b: str, most: int) -> int:
 def allowed(a: str, b: str) -> int:
     """How many edits two spellings of one name may differ by."""
     shorter = min(len(a), len(b))
-    return 0 if shorter < 3 else 1 if shorter < 5 else 2
+    return 0 if shorter < 3 else 1 if shorter < 6 else 2
 
 
 def closeness(a: str, b: str) -> float:

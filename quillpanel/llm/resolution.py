@@ -42,11 +42,24 @@ class Profile(NamedTuple):
         return {f for f in self.fathers if len(f) == 1}
 
 
-def _alike(a: Iterable[str], b: Iterable[str], sure: frozenset[str]) -> bool:
-    """Whether any two spellings are equal or a typing error apart. Two established names (``sure``) are not."""
+def _alike(a: Iterable[str], b: Iterable[str], sure: frozenset[str], beside: Iterable[str] = ()) -> bool:
+    """Whether any two spellings are equal or a typing error apart. Two established names (``sure``) are not.
+
+    Five letters may hide two errors if one spelling is established and the other is no short form of a name
+    ``beside`` them."""
     if set(a) & set(b):
         return True
-    return any(len(x) > 2 and len(y) > 2 and not (x in sure and y in sure) and osa(x, y, allowed(x, y)) <= allowed(x, y) for x in a for y in b)
+
+    def near(x: str, y: str) -> bool:
+        if len(x) < 3 or len(y) < 3 or (x in sure and y in sure):
+            return False
+        k = allowed(x, y)
+        if osa(x, y, k) <= k:
+            return True
+        rare = x if y in sure else y if x in sure else ""
+        return bool(rare) and min(len(x), len(y)) == 5 and osa(x, y, 2) <= 2 and not any(shortness(rare, z) for z in beside)
+
+    return any(near(x, y) for x in a for y in b)
 
 
 def _short(a: tuple[str, ...], b: tuple[str, ...]) -> int:
@@ -72,6 +85,7 @@ def match_block(kind: str, members: list[Profile]) -> Iterator[tuple[str, str, i
     groups: list[list[Profile]] = []
     waiting: list[Profile] = []
     by_name: dict[str, list[Profile]] = {}
+    beside = {g for m in members for g in m.givens} if kind == "F" else ()
     names = {"F": lambda m: m.givens, "G": lambda m: m.full_fathers, "B": lambda m: m.families}.get(kind)
     for m in members:
         if kind != "F" and not m.full_fathers:
@@ -79,7 +93,7 @@ def match_block(kind: str, members: list[Profile]) -> Iterator[tuple[str, str, i
             continue
         if names is not None:
             # an equal name is looked up; only new spellings are compared with the groups' leaders
-            home = next((by_name[x] for x in names(m) if x in by_name), None) or next((x for x in groups if _alike(names(m), names(x[0]), m.sure | x[0].sure)), None)
+            home = next((by_name[x] for x in names(m) if x in by_name), None) or next((x for x in groups if _alike(names(m), names(x[0]), m.sure | x[0].sure, beside)), None)
         else:
             home = next((x for x in groups if set(m.givens) & set(x[0].givens) and _fathers_agree(m, x[0])), None)
         if home is None:
