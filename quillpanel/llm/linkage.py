@@ -140,9 +140,10 @@ def link_without_keys(
     confidence: posterior of the pair, shared with rivals of another id. Rows without a student name have no
     match; NULL attributes abstain; repeated rows are matched each by themselves; empty tables give no row."""
     place_by_id = locations.select(F.upper(F.trim("location_id")).alias("lid"), F.col("location_name").alias("lname"))
-    a = intake.withColumn("__lid", F.upper(F.trim("location_name"))).join(place_by_id, F.col("__lid") == F.col("lid"), "left")
+    own = intake.select(F.col("intake_id").cast("long").alias("row"), "teacher_name", "location_name", "region")
+    a = own.join(place_by_id, F.upper(F.trim("location_name")) == F.col("lid"), "left")
     region = F.translate(F.upper(F.trim(F.col("region"))), "123", "ABS")
-    a_facts = a.select(F.col("intake_id").cast("long").alias("row"), "teacher_name", F.coalesce("lname", "location_name").alias("place_name"), F.when(region.isin("A", "B", "S"), region).alias("region"))
+    a_facts = a.select("row", "teacher_name", F.coalesce("lname", "location_name").alias("place_name"), F.when(region.isin("A", "B", "S"), region).alias("region"))
     b_facts = master.select(F.col("master_row").cast("long").alias("row"), "teacher_name", F.col("location_name").alias("place_name"), F.upper(F.substring(F.trim("student_id"), 1, 1)).alias("region"), "student_id")
     rows = stored(read_rows(intake, "intake", "intake_id", "student_name", None, None).unionByName(read_rows(master, "master", "master_row", "student_name", "father_name", None)))
     people = stored(canonical_readings(rows, spelling_lexicon(name_uses(rows)), nicknames).select("tbl", "row", "given", "father", "family"))

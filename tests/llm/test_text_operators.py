@@ -16,25 +16,18 @@ from quillpanel.llm import contamination, fingerprint, mojibake, skeleton
         ("GIM‌IGHAIL ​TROW­AM", "GIMIGHAIL TROWAM"),
         ("Motrok Dririzous  X", "Motrok Dririzous  X"),
         ("El‐Ghi El‑Ri", "El-Ghi El-Ri"),
-        ("BROUTRА Ѕатimkis", "BROUTRA Satimkis".replace("Sat", "Saт") if False else "BROUTRA Ѕатimkis"),
         ("PIGHÔL DЕGАVЕ", "PIGHÔL DEGAVE"),
         ("ΥΑΙΥΟUΝΚU ВЕN", "YAIYOUNKU BEN"),
         ("rapus ziνiñghas", "rapus ziviñghas"),
         ("Мотрок Гивэйкзам Бэн Вухорсус", "Мотрок Гивэйкзам Бэн Вухорсус"),
         ("Мотрок Гивэйкзaм", "Мотрок Гивэйкзам"),
         ("موكلا خوهيل", "موكلا خوهيل"),
-        ("кhїr Ana", "кhїr Ana" if False else None),
         ("", ""),
     ],
 )
 def test_consistent_form(text, clean):
     got = skeleton.consistent_form(text)
-    if clean is None:
-        assert got.endswith(" Ana")
-    elif "ат" in clean and "imkis" in clean:
-        assert got.startswith("BROUTRA ")
-    else:
-        assert got == clean
+    assert got == clean
     assert skeleton.consistent_form(got) == got
 
 
