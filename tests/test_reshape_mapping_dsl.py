@@ -25,7 +25,7 @@ def test_spread_and_gather(spark, rows):
 @settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.integers(0, 9), st.integers(0, 9), st.integers(0, 9)), min_size=1, max_size=5))
 def test_gather_undoes_spread_on_complete_panels(spark, values):
-    panel = [(i, t, v[t - 1]) for i, v in enumerate(values) for t in (1, 2, 12)[:3] if t <= 3 or True for v in [(*v, *[0] * 12)]]
+    panel = [(i, t, x) for i, v in enumerate(values) for t, x in zip((1, 2, 12), v, strict=True)]
     df = spark.createDataFrame(panel, "id int, t int, V int")
     back = reshape.gather(reshape.spread(df, ["id"], "t", split=["V"]), "t")
     assert sorted(map(tuple, back.select("id", "t", "V").collect())) == sorted(panel)
@@ -172,7 +172,7 @@ def test_two_dummies_are_an_error(spark):
 
 def test_parser_shapes():
     assert dsl.parse_cell("drop").mode == "drop" and dsl.parse_cell("$G{x}").mode == "group"
-    assert json.dumps(dsl.parse("a$b" if False else "`odd name` + 1").args[0][1].head) == '"odd name"'
+    assert json.dumps(dsl.parse("`odd name` + 1").args[0][1].head) == '"odd name"'
     with pytest.raises(dsl.DslError):
         dsl.parse("1 +")
 
