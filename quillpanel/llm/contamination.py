@@ -3,7 +3,9 @@
 Windows as long as the passages searched for are fingerprinted with SimHash over their five-word shingles. The
 fingerprints are indexed in radius + 1 blocks of bits, so two within the radius agree in at least one block
 (pigeonhole): no window within the radius is missed. Candidates are verified exactly: by the words themselves, or
-by weighted-shingle similarity.
+by weighted-shingle similarity. Equal windows have equal fingerprints, but no small radius follows from a similarity
+below 1: such windows are found by the shingles they share, so that none is missed either (prefix filter: without its
+rarest shingles, that weigh more than 1 - similarity of it, a window could not be similar enough).
 
 The test items are a stated query set, compared with all documents in one pass: their fingerprints go to every
 executor in blocks of a checked size, the documents are never shuffled before results, and long documents are
@@ -90,6 +92,27 @@ def window_fingerprints(shingles: np.ndarray, span: int) -> np.ndarray:
     return np.packbits(sign, axis=1, bitorder="little").view("<u8").reshape(-1)
 
 
+def _before(shingles: np.ndarray) -> np.ndarray:
+    """Where each shingle last occurred before, -1 if nowhere."""
+    order = np.argsort(shingles, kind="stable")
+    again = np.append(False, shingles[order][1:] == shingles[order][:-1])[: len(order)]
+    out = np.full(len(shingles), -1, dtype=np.int64)
+    out[order[again]] = order[np.nonzero(again)[0] - 1]
+    return out
+
+
+def _window_sums(weight: np.ndarray, before: np.ndarray, span: int) -> np.ndarray:
+    """The weight of the different shingles of each run of ``span``, by where the run begins."""
+    if len(weight) < span:
+        return np.zeros(0)
+    views = np.lib.stride_tricks.sliding_window_view
+    out = np.zeros(len(weight) - span + 1)
+    for rows in np.array_split(np.arange(len(out)), len(out) // 20_000 + 1):
+        new = views(before, span)[rows] < rows[:, None]
+        out[rows] = np.where(new, views(weight, span)[rows], 0.0).sum(axis=1)
+    return out
+
+
 @dataclass
 class ItemIndex:
     """Windows of the test items: their fingerprints in radius + 1 sorted blocks, their words' hashes, their items."""
@@ -100,6 +123,8 @@ class ItemIndex:
     words: np.ndarray  # windows x window
     item: np.ndarray
     weights: dict[int, float]
+    shingles: np.ndarray | None = None  # of all items, one after the other
+    start: np.ndarray | None = None  # of each window among them
 
     @property
     def shifts(self) -> list[tuple[int, int]]:
@@ -114,6 +139,76 @@ class ItemIndex:
             self.tables.append((shift, width, key[order], order))
         return self
 
+    def prepare_similar(self) -> ItemIndex:
+        """For ``similar``: the items' shingles numbered, where each occurs, and each window's weight."""
+        self.span = self.window - SHINGLE + 1
+        flat = np.zeros(0, np.uint64) if self.shingles is None else self.shingles
+        self.start = np.zeros(0, np.int64) if self.start is None else self.start
+        self.known, self.number = np.unique(flat, return_inverse=True)
+        self.common = float(np.log1p(1))
+        self.weight = np.array([self.weights.get(h, self.common) for h in self.known.tolist()] + [self.common])  # the last: of unknown ones
+        self.places = np.argsort(self.number, kind="stable")
+        self.first = np.searchsorted(self.number[self.places], np.arange(len(self.known) + 1))
+        self.before = _before(flat)
+        self.total = _window_sums(self.weight[self.number], self.before, self.span)[self.start]
+        return self
+
+    def similar(self, shingles: np.ndarray, at: np.ndarray, least: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(document window, item window, similarity) of all pairs that are at least so similar, each once, in pieces
+        of bounded size. at: where windows begin in the document's shingles."""
+        if not len(self.known) or not len(at):
+            return
+        slack = 1e-9
+        spot = np.minimum(np.searchsorted(self.known, shingles), len(self.known) - 1)
+        number = np.where(self.known[spot] == shingles, spot, -1)
+        before = _before(shingles)
+        weight = self.weight[number]
+        total = _window_sums(weight, before, self.span)
+        shared = _window_sums(np.where(number >= 0, weight, 0.0), before, self.span)
+        at = at[shared[at] >= least * total[at] - slack]
+        uses = np.append(np.diff(self.first), 0)
+        steps = np.arange(self.span)
+        for rows in np.array_split(at, len(at) // 20_000 + 1):
+            cells = rows[:, None] + steps
+            new = before[cells] < rows[:, None]
+            w = np.where(new, weight[cells], 0.0)
+            order = np.argsort(uses[number[cells]], axis=1, kind="stable")
+            w = np.take_along_axis(w, order, axis=1)
+            passed = np.cumsum(w, axis=1) - w
+            prefix = (w > 0) & (passed <= (1 - least) * total[rows][:, None] + slack)
+            n = np.take_along_axis(number[cells], order, axis=1)
+            row, column = np.nonzero(prefix & (n >= 0))
+            n = n[row, column]
+            cost = np.cumsum(uses[n] * self.span)
+            # a document's window is never split over pieces, so that each of its pairs comes once
+            cuts = np.searchsorted(cost, np.arange(1_000_000, int(cost[-1]) if len(cost) else 0, 1_000_000))
+            for piece in np.split(np.arange(len(row)), np.unique(np.searchsorted(row, row[cuts]))):
+                if len(piece):
+                    yield from self._verified(rows, row[piece], n[piece], number, before, weight, total, least - slack)
+
+    def _verified(self, rows, row, n, number, before, weight, total, least: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        count = self.first[n + 1] - self.first[n]
+        offset = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        place = self.places[np.repeat(self.first[n], count) + offset]
+        # the windows that hold this place: they begin up to span - 1 shingles before it
+        low, high = np.searchsorted(self.start, place - self.span + 1, "left"), np.searchsorted(self.start, place, "right")
+        size = high - low
+        window = np.repeat(low, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        pairs = np.unique(np.repeat(np.repeat(row, count), size) * np.int64(len(self.start)) + window)
+        doc, item = rows[pairs // len(self.start)], pairs % len(self.start)
+        steps = np.arange(self.span)
+        for a, b in zip(np.array_split(doc, len(doc) // 20_000 + 1), np.array_split(item, len(doc) // 20_000 + 1), strict=True):
+            left = a[:, None] + steps
+            right = self.number[self.start[b][:, None] + steps]
+            held = np.zeros(left.shape, dtype=bool)
+            ours = number[left]
+            for k in range(self.span):
+                held |= ours == right[:, k : k + 1]
+            both = np.where(held & (before[left] < a[:, None]), weight[left], 0.0).sum(axis=1)
+            score = both / (total[a] + self.total[b] - both)
+            good = score >= least
+            yield a[good], b[good], np.minimum(score[good], 1.0)
+
     def candidates(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All (document window, item window) pairs within the radius, each once."""
         out_d, out_i = [], []
@@ -138,6 +233,7 @@ class ItemIndex:
 def index_items(items: list[tuple[int, list[str]]], window: int, radius: int) -> ItemIndex:
     """Items shorter than the window cannot be held by it and have no windows."""
     prints, words, owner, frequency = [], [], [], Counter()
+    runs, start, length = [], [], 0
     for item, tokens in items:
         hashes = word_hashes(tokens)
         if len(hashes) < window:
@@ -146,13 +242,16 @@ def index_items(items: list[tuple[int, list[str]]], window: int, radius: int) ->
         frequency.update(set(shingles.tolist()))
         fp = window_fingerprints(shingles, window - SHINGLE + 1)
         prints.append(fp)
+        runs.append(shingles)
+        start.append(length + np.arange(len(fp)))
+        length += len(shingles)
         words.append(np.lib.stride_tricks.sliding_window_view(hashes, window).copy())
         owner.append(np.full(len(fp), item, dtype=np.int64))
     if not prints:
         return ItemIndex(window, radius, np.zeros(0, np.uint64), np.zeros((0, window), np.uint64), np.zeros(0, np.int64), {})
     n = max(1, len(items))
     weights = {s: float(np.log1p(n / c)) for s, c in frequency.items()}
-    return ItemIndex(window, radius, np.concatenate(prints), np.concatenate(words), np.concatenate(owner), weights)
+    return ItemIndex(window, radius, np.concatenate(prints), np.concatenate(words), np.concatenate(owner), weights, np.concatenate(runs), np.concatenate(start))
 
 
 def _similarity(a: np.ndarray, b: np.ndarray, weights: dict[int, float], common: float) -> float:
@@ -172,7 +271,7 @@ def find_leaks(
     item_text: str,
     *,
     window: int = 12,
-    radius: int = 3,
+    radius: int | None = None,
     min_similarity: float = 1.0,
     max_block_windows: int = 1_000_000,
     max_items: int = 1_000_000,
@@ -180,8 +279,9 @@ def find_leaks(
 ) -> DataFrame:
     """(doc, item, n_windows, similarity): each document with each item that it holds a window of.
 
-    min_similarity 1.0: only windows whose words are all equal, in order. Below: windows within ``radius`` bits
-    whose weighted five-word shingles are that similar. NULL and short texts hold nothing; repeated rows of a key
+    min_similarity 1.0: only windows whose words are all equal, in order. Below: all windows whose weighted five-word
+    shingles are that similar. A ``radius`` narrows the search to fingerprints that differ in so many bits; without it
+    no window is missed. NULL and short texts hold nothing; repeated rows of a key
     are one document; empty tables give no row. The items are the query set: they come to the driver (a ValueError
     beyond ``max_items``) and go out in blocks of at most ``max_block_windows`` windows; each block is one pass."""
     if window < SHINGLE:
@@ -189,6 +289,10 @@ def find_leaks(
     rows = items.select(qcol(item_key).cast("long"), qcol(item_text)).filter(qcol(item_key).isNotNull() & qcol(item_text).isNotNull()).limit(max_items + 1).collect()
     if len(rows) > max_items:
         raise ValueError(f"more than {max_items} items")
+    if min_similarity <= 0:
+        raise ValueError("windows that share nothing are not searched for")
+    complete = radius is None and min_similarity < 1.0
+    bits = 3 if radius is None else radius
     spark = documents.sparkSession
     blocks, block, size = [], [], 0
     for item, text in sorted((r[0], r[1]) for r in rows):
@@ -202,13 +306,13 @@ def find_leaks(
     docs = documents.select(qcol(doc_key).cast("long").alias("doc"), qcol(doc_text).alias("t")).filter(F.length("t") >= 2 * window - 1)
     found = None
     for one in blocks:
-        shared = spark.sparkContext.broadcast(index_items(one, window, radius))
-        part = docs.mapInPandas(_searcher(shared, window, min_similarity, piece_words), "doc long, item long, n_windows long, similarity double")
+        shared = spark.sparkContext.broadcast(index_items(one, window, bits))
+        part = docs.mapInPandas(_searcher(shared, window, min_similarity, piece_words, complete), "doc long, item long, n_windows long, similarity double")
         found = part if found is None else found.unionByName(part)
     return found.groupBy("doc", "item").agg(F.max("n_windows").alias("n_windows"), F.max("similarity").alias("similarity"))
 
 
-def _searcher(shared, window: int, min_similarity: float, piece_words: int):
+def _searcher(shared, window: int, min_similarity: float, piece_words: int, complete: bool):
     def pieces(batch: pd.DataFrame) -> Iterator[tuple[int, np.ndarray]]:
         for doc, text in zip(batch["doc"], batch["t"], strict=True):
             hashes = word_hashes(words_of(text))
@@ -221,10 +325,19 @@ def _searcher(shared, window: int, min_similarity: float, piece_words: int):
         span = window - SHINGLE + 1
         hashes = np.concatenate([p for _, p in group])
         ends = np.cumsum([len(p) for _, p in group])
+        begins = np.arange(len(hashes) - window + 1)
+        owner = np.searchsorted(ends, begins, "right")
+        at = np.nonzero(begins + window <= ends[owner])[0]
+        hits: dict[tuple[int, int], list] = {}
+        if complete:
+            for doc_at, item_window, score in index.similar(shingle_hashes(hashes), at, min_similarity):
+                for d, i, s in zip(owner[doc_at].tolist(), index.item[item_window].tolist(), score.tolist(), strict=True):
+                    hit = hits.setdefault((group[d][0], i), [0, 0.0])
+                    hits[group[d][0], i] = [hit[0] + 1, max(hit[1], s)]
+            for (doc, item), (n, most) in hits.items():
+                yield int(doc), item, n, most
+            return
         fp = window_fingerprints(shingle_hashes(hashes), span)
-        owner = np.searchsorted(ends, np.arange(len(fp)), "right")
-        inside = np.arange(len(fp)) + window <= ends[owner]
-        at = np.nonzero(inside)[0]
         doc_window, item_window = index.candidates(fp[at])
         views = np.lib.stride_tricks.sliding_window_view(hashes, window)[at[doc_window]]
         same = (views == index.words[item_window]).all(axis=1)
@@ -233,7 +346,6 @@ def _searcher(shared, window: int, min_similarity: float, piece_words: int):
             common = float(np.log1p(1))
             for i in np.nonzero(~same)[0]:
                 score[i] = _similarity(views[i], index.words[item_window[i]], index.weights, common)
-        hits: dict[tuple[int, int], list[float]] = {}
         for d, i, s in zip(owner[at[doc_window]], index.item[item_window], score, strict=True):
             if s >= min_similarity:
                 hits.setdefault((group[d][0], int(i)), []).append(float(s))
@@ -241,7 +353,7 @@ def _searcher(shared, window: int, min_similarity: float, piece_words: int):
             yield int(doc), item, len(scores), max(scores)
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        index = shared.value.prepare()
+        index = shared.value.prepare_similar() if complete else shared.value.prepare()
         for batch in batches:
             out, group, size = [], [], 0
             for piece in pieces(batch):

@@ -1,3 +1,4 @@
+import random
 import unicodedata
 
 import pytest
@@ -135,6 +136,40 @@ def test_near_windows_and_index_guarantee(spark):
     assert found == every and len(every) >= 160
 
 
+def test_near_windows_of_25_words_are_all_found(spark):
+    rng = random.Random(4)
+    vocabulary = [f"w{i}" for i in range(60)]
+    phrase = rng.choices(vocabulary, k=30)
+    items = [(i, rng.choices(vocabulary, k=40)) for i in range(8)]
+    items += [(8, [*phrase, *items[0][1]]), (9, [*phrase, *items[1][1]]), (10, vocabulary[:3] * 14)]
+    documents = []
+    for d in range(120):
+        words = list(items[d % 11][1])
+        at = rng.randrange(len(words) - 27)
+        words = words[at : at + rng.randrange(25, 28)]
+        if d % 4:
+            words[rng.choice([0, 1, 2, 12, -3, -2, -1])] = "other"  # one word at an edge leaves the window similar
+        documents.append((d, [*rng.choices(vocabulary, k=rng.randrange(9)), *words, *rng.choices(vocabulary, k=9)]))
+    index = contamination.index_items(items, 25, 3)
+    common = float(contamination.np.log1p(1))
+    every, changed = {}, set()
+    for d, words in documents:
+        hashes = contamination.word_hashes(words)
+        for at in range(len(hashes) - 24):
+            for window, item in zip(index.words, index.item.tolist(), strict=True):
+                s = contamination._similarity(hashes[at : at + 25], window, index.weights, common)
+                if s >= 0.8 - 1e-9:
+                    n, most = every.get((d, item), (0, 0.0))
+                    every[d, item] = (n + 1, max(most, s))
+    changed = [k for k, (_, most) in every.items() if most < 1]
+    docs, tests = (spark.createDataFrame([(k, " ".join(w)) for k, w in x], "k long, body string") for x in (documents, items))
+    for how in ({}, {"piece_words": 26}):
+        found = contamination.find_leaks(docs, "k", "body", tests, "k", "body", window=25, min_similarity=0.8, **how).collect()
+        got = {(r.doc, r.item): (r.n_windows, pytest.approx(r.similarity)) for r in found}
+        assert set(got) == set(every) and len(changed) >= 30
+        assert how or got == every
+
+
 # ---------------------------------------------------------------- problem 10
 FRENCH = "L’équipe est arrivée à l’école Şulim — « prête » à 9 €…"
 ARABIC = "وصل الفريق إلى المدرسة، وقال: نعم؟"
