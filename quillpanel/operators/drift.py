@@ -1,8 +1,8 @@
 """Problem 4: schemas that drift between files.
 
 Rescue-column ingestion. Every record's fields are looked up in a mapping sheet; a value that is known and fits
-the target type goes to its typed column, everything else (unknown fields, uncastable values) is kept as JSON in
-one rescue column, so nothing is lost. Approved fields can be promoted later and are replayed from the rescue
+the target type without loss goes to its typed column, everything else (unknown fields, values that don't fit,
+second values of a field, payloads that can't be read) is kept as JSON in one rescue column, so nothing is lost. Approved fields can be promoted later and are replayed from the rescue
 column. The changes between successive files of one source are read off the same ingested entries.
 
 The sheet is metadata: one map per group, joined by group. Records are worked on row by row; only the catalogue
@@ -21,6 +21,7 @@ from quillpanel.functions.coding import code_pairs, code_set
 from quillpanel.session import fresh, let, qcol
 
 RESCUE = "_rescued"
+UNPARSED = "_unparsed"  # in the rescue column: a payload that can't be read, as text
 
 
 def field_key(name: Column) -> Column:
@@ -43,63 +44,108 @@ def sheet_codes(sheet: DataFrame, group: str, code_columns: Mapping[int, str], t
     return long.groupBy(F.col("__g").alias(group), F.col("__f").alias("field"), F.col("__e.wave").alias("wave")).agg(F.min("__e.codes").alias("codes")).filter(F.col("codes").isNotNull())
 
 
+def json_kind(value: Column) -> Column:
+    """whole, decimal, text, boolean, other; NULL for a JSON null."""
+    shape = F.schema_of_variant(value)
+    return (
+        F.when(shape.isin("BIGINT", "INT", "SMALLINT", "TINYINT"), "whole")
+        .when(shape.startswith("DECIMAL") | shape.isin("DOUBLE", "FLOAT"), "decimal")
+        .when(shape == "STRING", "text")
+        .when(shape == "BOOLEAN", "boolean")
+        .when(shape == "VOID", F.lit(None))
+        .otherwise(F.when(value.isNotNull(), "other"))
+    )
+
+
+def lossless(value: Column, kind: Column, target: str) -> Column:
+    """Whether the value can be had back from what it becomes as ``target`` (bigint, double, boolean or string).
+
+    Numbers must stay equal, so a fraction is no bigint; texts must be the number as it is usually written; truth
+    values are no numbers, but 0 and 1, yes and no are truth values."""
+    cast, text = F.try_variant_get(value, "$", target), F.try_variant_get(value, "$", "string")
+    number = (kind != "boolean") & (kind != "other")
+    if target == "bigint":
+        fits = F.when(kind == "whole", True).when(number & text.rlike(r"^-?(0|[1-9]\d*)(\.0+)?$"), True).otherwise((kind == "decimal") & text.contains("E") & (cast.cast("double") == F.try_variant_get(value, "$", "double")) & cast.between(-(2**53), 2**53))
+    elif target == "double":
+        digits = F.length(F.regexp_replace(F.regexp_replace(text, r"[-.]", ""), "^0+", ""))
+        same = cast.cast("string").try_cast("decimal(38,18)") == text.try_cast("decimal(38,18)")
+        plain = text.rlike(r"^-?(0|[1-9]\d*)(\.\d+)?$")
+        fits = F.when(kind == "whole", cast.try_cast("bigint") == F.try_variant_get(value, "$", "bigint")).when((kind == "decimal") & text.contains("E"), True).otherwise(number & plain & ((digits <= 15) | ((digits <= 19) & same)))
+    elif target == "boolean":
+        fits = (kind == "boolean") | (kind.isin("whole", "text") & text.isin("0", "1", "true", "false", "yes", "no"))
+    elif target == "string":
+        fits = kind.isNotNull()
+    else:
+        raise ValueError(f"no rule for values as {target}")
+    return F.coalesce(cast.isNotNull() & fits, F.lit(False))
+
+
 def ingest(records: DataFrame, names: DataFrame, *, group: str, payload: str) -> DataFrame:
     """``records`` with ``__entries``: array<struct<field, raw, kind, value>> of what each record holds.
 
     field: the sheet's field, or the raw name where the sheet has none. kind: whole, decimal, text, boolean, other,
     or NULL for a JSON null. A NULL, broken or non-object payload gives an empty array; the raw text stays where it
-    was. Groups the sheet doesn't know keep their own names."""
+    was, and a payload that can't be read as a whole is in ``__unparsed``. Groups the sheet doesn't know keep their own names."""
     by_group = names.groupBy(qcol(group).alias("__sheet_group")).agg(F.map_from_entries(F.collect_list(F.struct("name_key", "field"))).alias("__sheet"))
     parsed = records.withColumn("__map", F.from_json(qcol(payload), T.MapType(T.StringType(), T.VariantType())))
     joined = parsed.join(by_group, qcol(group) == F.col("__sheet_group"), "left")
 
     def entry(e: Column) -> Column:
-        shape = F.schema_of_variant(e["value"])
-        kind = (
-            F.when(shape.isin("BIGINT", "INT", "SMALLINT", "TINYINT"), "whole")
-            .when(shape.startswith("DECIMAL") | shape.isin("DOUBLE", "FLOAT"), "decimal")
-            .when(shape == "STRING", "text")
-            .when(shape == "BOOLEAN", "boolean")
-            .when(shape == "VOID", F.lit(None))
-            .otherwise(F.when(e["value"].isNotNull(), "other"))
-        )
         field = F.coalesce(F.try_element_at(F.col("__sheet"), field_key(e["key"])), e["key"])
-        return F.struct(field.alias("field"), e["key"].alias("raw"), kind.alias("kind"), e["value"].alias("value"))
+        return F.struct(field.alias("field"), e["key"].alias("raw"), json_kind(e["value"]).alias("kind"), e["value"].alias("value"))
 
     entries = F.transform(F.map_entries(F.col("__map")), entry)
-    return joined.withColumn("__entries", F.coalesce(entries, F.array().cast("array<struct<field:string,raw:string,kind:string,value:variant>>"))).drop("__map", "__sheet", "__sheet_group")
+    unread = F.when((F.trim(qcol(payload)) != "") & (F.col("__map").isNull() | F.try_parse_json(qcol(payload)).isNull()), qcol(payload))
+    return joined.withColumn("__entries", F.coalesce(entries, F.array().cast("array<struct<field:string,raw:string,kind:string,value:variant>>"))).withColumn("__unparsed", unread).drop("__map", "__sheet", "__sheet_group")
 
 
 def typed_table(ingested: DataFrame, target: Mapping[str, str], keep: Sequence[str], recode: Mapping[tuple[str, int, str], Mapping[str, str]] | None = None) -> DataFrame:
-    """``keep`` columns, one typed column for each field of ``target``, and ``_rescued``: a JSON object of all
-    fields that the target doesn't have or whose value doesn't fit its type (under their raw names)."""
-
-    def fitting(field: str, kind: str) -> Column:
-        held = F.filter(F.col("__entries"), lambda e: (e["field"] == field) & F.try_variant_get(e["value"], "$", kind).isNotNull())
-        return F.try_variant_get(F.get(held, F.lit(0))["value"], "$", kind)
+    """``keep`` columns, one typed column for each field of ``target``, and ``_rescued``: a JSON object (under their
+    raw names) of all fields that the target doesn't have, all values that don't fit their type without loss, and all
+    but the first fitting value of a field; a payload that can't be read is there as text, as ``_unparsed``."""
 
-    def unfit(e: Column) -> Column:
+    def mark(e: Column) -> Column:
         fits = F.lit(False)
         for field, kind in target.items():
-            fits = F.when(e["field"] == field, F.try_variant_get(e["value"], "$", kind).isNotNull()).otherwise(fits)
-        return ~fits & e["kind"].isNotNull()
+            fits = F.when(e["field"] == field, lossless(e["value"], e["kind"], kind)).otherwise(fits)
+        return F.struct(e["field"].alias("field"), e["raw"].alias("raw"), e["kind"].alias("kind"), e["value"].alias("value"), fits.alias("fits"))
+
+    marked = ingested.withColumn("__entries", F.transform("__entries", mark))
+    marked = marked.withColumn("__fitting", F.transform("__entries", lambda e: F.when(e["fits"], e["field"])))
+    place = lambda f: F.array_position("__fitting", f)  # noqa: E731  of a field's first fitting value, from 1
+
+    def fitting(field: str, kind: str) -> Column:
+        return F.try_variant_get(F.get("__entries", place(F.lit(field)).cast("int") - 1)["value"], "$", kind)
+
+    def left(e: Column, i: Column) -> Column:
+        return e["kind"].isNotNull() & ~F.coalesce(e["fits"] & (place(e["field"]) == i + 1), F.lit(False))
+
+    rest = F.transform(F.filter("__entries", left), lambda e: F.struct(e["raw"].alias("key"), e["value"].alias("value")))
+    unread = F.when(F.col("__unparsed").isNotNull(), F.array(F.struct(F.lit(UNPARSED).alias("key"), F.variant_get(F.to_variant_object(F.array("__unparsed")), "$[0]", "variant").alias("value"))))
+    whole = F.concat(_once(rest), F.coalesce(unread, F.array().cast("array<struct<key:string,value:variant>>")))
+    return marked.select(*map(qcol, keep), *(fitting(f, k).alias(f) for f, k in target.items()), let(whole, lambda r: F.when(F.size(r) > 0, F.to_json(F.map_from_entries(r)))).alias(RESCUE))
+
 
-    rest = let(F.filter(F.col("__entries"), unfit), lambda r: F.when(F.size(r) > 0, F.to_json(F.map_from_entries(F.transform(r, lambda e: F.struct(e["raw"], e["value"]))))))
-    return ingested.select(*map(qcol, keep), *(fitting(f, k).alias(f) for f, k in target.items()), rest.alias(RESCUE))
+def _once(entries: Column) -> Column:
+    """The first entry of each key; a payload that repeats a key isn't valid and is kept whole besides."""
+    return let(entries, lambda r: let(F.transform(r, lambda e: e["key"]), lambda keys: F.filter(r, lambda e, i: F.array_position(keys, e["key"]) == i + 1)))
 
 
 def promote(table: DataFrame, approved: Mapping[str, str]) -> DataFrame:
     """Replay approved fields out of the rescue column into typed columns; what still doesn't fit stays rescued.
 
-    approved: raw name to type. A column that exists already is filled where it is NULL."""
+    approved: raw name to type. A column that exists already is filled where it is NULL, elsewhere the value stays
+    rescued."""
     as_map = F.from_json(qcol(RESCUE), T.MapType(T.StringType(), T.VariantType()))
 
     def replay(m: Column) -> Column:
-        fits = lambda k, v: F.lit(False)
+        taken = lambda k, v: F.lit(False)
         for name, kind in approved.items():
-            fits = (lambda n, t, before: lambda k, v: ((k == n) & F.try_variant_get(v, "$", t).isNotNull()) | before(k, v))(name, kind, fits)
-        left = F.map_filter(m, lambda k, v: ~fits(k, v))
-        values = [F.try_variant_get(F.try_element_at(m, F.lit(n)), "$", t).alias(f"f{i}") for i, (n, t) in enumerate(approved.items())]
+            free = qcol(name).isNull() if name in table.columns else F.lit(True)
+            taken = (lambda n, t, o, before: lambda k, v: ((k == n) & o & lossless(v, json_kind(v), t)) | before(k, v))(name, kind, free, taken)
+        left = F.map_filter(m, lambda k, v: ~taken(k, v))
+        value = lambda n, t: let(F.try_element_at(m, F.lit(n)), lambda v: F.when(lossless(v, json_kind(v), t), F.try_variant_get(v, "$", t)))
+        values = [value(n, t).alias(f"f{i}") for i, (n, t) in enumerate(approved.items())]
         return F.struct(F.when(F.size(left) > 0, F.to_json(left)).alias("left"), *values)
 
     slot = fresh(table, "__replayed")

@@ -63,6 +63,25 @@ def test_rescue_and_promotion(spark, sheet):
     assert (promoted.flag, promoted.note, json.loads(promoted._rescued)) == (True, None, {"sex": "?", "note": "n"})
 
 
+def test_values_that_would_change_are_rescued(spark, sheet):
+    names = drift.sheet_names(sheet, "g", ["n1", "n2"], "h")
+    payloads = [{"age": 8.5}, {"age": "8.7"}, {"age": True}, {"age": 8.0}, {"age": "012"}, {"age": 7, "Age-Years": 9}, '{"age": 1', '[5]', '{"age": 3, "age": 4}', {"age": None}, '{"age": 1e3}', {"age": {"y": 1}}, "", None, {"age": 2**60}]
+    ingested = drift.ingest(records(spark, [(1, 1, 1, p) for p in payloads]), names, group="g", payload="payload")
+    got = {r.rec: (r.AGE, json.loads(r._rescued) if r._rescued else None) for r in drift.typed_table(ingested, {"AGE": "bigint"}, ["rec"]).collect()}
+    assert [got[i] for i in range(6)] == [(None, {"age": 8.5}), (None, {"age": "8.7"}), (None, {"age": True}), (8, None), (None, {"age": "012"}), (7, {"Age-Years": 9})]
+    assert [got[i] for i in (6, 7)] == [(None, {"_unparsed": '{"age": 1'}), (None, {"_unparsed": "[5]"})]
+    assert got[8][0] in (3, 4) and got[8][1]["_unparsed"] == '{"age": 3, "age": 4}'
+    assert [got[i] for i in range(9, 15)] == [(None, None), (1000, None), (None, {"age": {"y": 1}}), (None, None), (None, None), (2**60, None)]
+    got = {r.rec: (r.AGE, json.loads(r._rescued) if r._rescued else None) for r in drift.typed_table(ingested, {"AGE": "double"}, ["rec"]).collect()}
+    assert [got[i] for i in (0, 1, 2, 3, 14)] == [(8.5, None), (8.7, None), (None, {"age": True}), (8.0, None), (2.0**60, None)]
+
+
+def test_promotion_keeps_what_it_does_not_take(spark):
+    table = spark.createDataFrame([(1, None, '{"a": 8.5, "b": 2, "c": "yes"}'), (2, 5, '{"a": 6}'), (3, None, '{"a": 6}')], "k long, a long, _rescued string")
+    got = {r.k: (r.a, r.b, r.c, json.loads(r._rescued) if r._rescued else None) for r in drift.promote(table, {"a": "bigint", "b": "boolean", "c": "boolean"}).collect()}
+    assert got == {1: (None, None, True, {"a": 8.5, "b": 2}), 2: (5, None, None, {"a": 6}), 3: (6, None, None, None)}
+
+
 def test_codes_to_final_coding(spark, sheet):
     got = {(r.wave, r.value): r.final_value for r in drift.recode_map(sheet, "g", {1: "c1", 2: "c2"}, "fin", "h").collect()}
     assert got == {(1, "1"): "0", (1, "2"): "1", (2, "2"): "0", (2, "1"): "1"}
