@@ -272,6 +272,27 @@ def spelling_lexicon(tokens: DataFrame, ratio: int = 3, least: int = 3, short: i
     return stored(counts.join(final, ["role", "token"], "left").select("role", "token", F.coalesce("canon", "token").alias("canon"), F.coalesce("canon_n", "n").alias("n")))
 
 
+def outnumbered_givens(lexicon: DataFrame, ratio: int = 5, short: int = 6) -> DataFrame:
+    """(token): short given names of ``lexicon`` that have a spelling one edit away that is used ``ratio`` times as often.
+
+    Pairs meet through common deletions."""
+    names = lexicon.filter((F.col("role") == "G") & F.length("token").between(3, short)).select("token", "n")
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = [(d, token, n) for token, n in batch.itertuples(index=False) for d in _deletions(token, 1)]
+            yield pd.DataFrame(out, columns=["del", "token", "n"])
+
+    @F.pandas_udf("boolean")
+    def close(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([osa(x, y, 1) <= 1 for x, y in zip(a, b, strict=True)], dtype="bool")
+
+    keys = names.mapInPandas(work, "del string, token string, n long").distinct()
+    commoner = keys.select("del", F.col("token").alias("hub"), F.col("n").alias("hub_n"))
+    pairs = keys.filter(F.length("token") < short).join(commoner, "del").filter((F.col("hub") != F.col("token")) & (F.col("hub_n") >= ratio * F.greatest("n", F.lit(1)))).select("token", "hub").distinct()
+    return pairs.filter(close("token", "hub")).select("token").distinct()
+
+
 def name_uses(rows: DataFrame) -> DataFrame:
     """(role, token, uses): names in all readings, 1 for each use in a likeliest one, 0 in another; G given, F father's,
     S family name."""

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillpanel.llm.components import connected_components
-from quillpanel.llm.names import allowed, canonical_readings, name_uses, osa, read_rows, shortness, spelling_lexicon
+from quillpanel.llm.names import allowed, canonical_readings, name_uses, osa, outnumbered_givens, read_rows, shortness, spelling_lexicon
 from quillpanel.session import durable, stored
 
 
@@ -184,22 +184,29 @@ def _matched(blocks: DataFrame) -> DataFrame:
     return firm.unionByName(single)
 
 
-def resolve_people(tables: Mapping[str, tuple[DataFrame, str, str, str, str]], nicknames: dict[str, str], established: int = 20, max_rounds: int = 20) -> DataFrame:
+def resolve_people(tables: Mapping[str, tuple[DataFrame, str, str, str, str]], nicknames: dict[str, str], established: float = 0.0004, max_rounds: int = 20) -> DataFrame:
     """(tbl, row, entity): which person each row describes.
 
     tables: label to (table, key, student name, father's name, place). Rows without a student name are persons of
     their own and left out; NULL fathers and places are unknown; repeated rows are one profile; empty tables give
-    no row. established: names used so often are never each other's misspelling. ``max_rounds`` only guards against an endless loop: rounds end when nothing merges."""
+    no row. established: names with this share of the uses in their role (and more than one use) are never each other's
+    misspelling, unless a close given name is five times commoner; so a larger table of the same kind decides alike. ``max_rounds`` only guards against an endless loop: rounds end when nothing merges."""
     parts = [read_rows(df, label, key, student, father, place) for label, (df, key, student, father, place) in tables.items()]
     rows = parts[0]
     for p in parts[1:]:
         rows = rows.unionByName(p)
     rows = stored(rows)
-    people = stored(canonical_readings(rows, spelling_lexicon(name_uses(rows)), nicknames))
+    uses = name_uses(rows).filter(F.length("token") > 1)
+    lexicon = spelling_lexicon(uses)
+    rare = outnumbered_givens(lexicon).select(F.col("token").alias("given"), F.lit(True).alias("given_rare"))
+    people = stored(canonical_readings(rows, lexicon, nicknames).join(rare, "given", "left"))
+    total = {r["role"]: r["n"] for r in uses.groupBy("role").agg(F.sum("uses").alias("n")).collect()}
+    sure = lambda c, role: (F.col(f"{c}_n") >= max(2.0, established * total.get(role, 0)))
     incomplete = F.length("father") < 2
     pid = F.concat_ws("|", "given", "father", "family", F.when(incomplete, F.coalesce("place", F.lit(""))))
     placed = people.withColumn("pid", pid)
-    known = F.array_compact(F.array(*(F.when(F.col(f"{c}_n") >= established, F.col(c)) for c in ("given", "father", "family"))))
+    firm = {"given": sure("given", "G") & F.col("given_rare").isNull(), "father": sure("father", "F"), "family": sure("family", "S")}
+    known = F.array_compact(F.array(*(F.when(is_sure, F.col(c)) for c, is_sure in firm.items())))
     profiles = durable(
         placed.groupBy("pid").agg(
             F.collect_set("given").alias("givens"),

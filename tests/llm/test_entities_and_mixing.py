@@ -53,6 +53,17 @@ def test_resolution(spark):
     assert resolution.resolve_people({"t": (df.limit(0), "k", "s", "f", "p")}, {}).count() == 0
 
 
+def test_resolution_decides_alike_on_a_table_and_its_tenfold(spark):
+    people = [("WUSUM", 30, "GIKISID FUYARSAIR"), ("WSUM", 3, "GIKISID FUYARSAIR"), ("DALIM", 30, "ZOUTRO MIWINDRAR"), ("DALIN", 30, "ZOUTRO MIWINDRAR")]
+    for times in (1, 10):
+        rows = [(given, rest) for given, n, rest in people for _ in range(n * times)]
+        df = spark.createDataFrame([(i, f"{g} {r}", r, "L1") for i, (g, r) in enumerate(rows)], "k long, s string, f string, p string")
+        who: dict[str, set] = {}
+        for r in resolution.resolve_people({"t": (df, "k", "s", "f", "p")}, {}).collect():
+            who.setdefault(rows[r.row][0], set()).add(r.entity)
+        assert who["WUSUM"] == who["WSUM"] and not who["DALIM"] & who["DALIN"] and all(len(x) == 1 for x in who.values())
+
+
 def test_blocks_yield_edges_to_leaders_not_pairs():
     members = [resolution.Profile(f"p{i}", ("ANA",), ("LEO",), ("ROSS",), (), frozenset(), 1) for i in range(500)]
     assert len(list(resolution.match_block("F", members))) == 499
