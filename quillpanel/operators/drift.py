@@ -99,15 +99,29 @@ def ingest(records: DataFrame, names: DataFrame, *, group: str, payload: str) ->
     return joined.withColumn("__entries", F.coalesce(entries, F.array().cast("array<struct<field:string,raw:string,kind:string,value:variant>>"))).withColumn("__unparsed", unread).drop("__map", "__sheet", "__sheet_group")
 
 
-def typed_table(ingested: DataFrame, target: Mapping[str, str], keep: Sequence[str], recode: Mapping[tuple[str, int, str], Mapping[str, str]] | None = None) -> DataFrame:
+def typed_table(ingested: DataFrame, target: Mapping[str, str], keep: Sequence[str], recode: DataFrame | None = None, *, group: str = "assess_group", wave: str = "wave") -> DataFrame:
     """``keep`` columns, one typed column for each field of ``target``, and ``_rescued``: a JSON object (under their
     raw names) of all fields that the target doesn't have, all values that don't fit their type without loss, and all
-    but the first fitting value of a field; a payload that can't be read is there as text, as ``_unparsed``."""
+    but the first fitting value of a field; a payload that can't be read is there as text, as ``_unparsed``.
+
+    recode: ``recode_map``'s rows, joined by ``group`` and ``wave``. A field with any in its group is coded: its values
+    are translated, and one that its wave's code list doesn't translate is rescued, so that codes never mix."""
+    if recode is not None:
+        one = recode.groupBy(qcol(group).alias("__rg"), F.col("wave").alias("__rw"), F.concat_ws("=", "field", "value").alias("k")).agg(F.min("final_value").alias("v"))
+        codes = one.groupBy("__rg", "__rw").agg(F.map_from_entries(F.collect_list(F.struct("k", "v"))).alias("__codes"))
+        coded = recode.groupBy(qcol(group).alias("__cg")).agg(F.collect_set("field").alias("__coded"))
+        ingested = ingested.join(coded, qcol(group) == F.col("__cg"), "left").join(codes, (qcol(group) == F.col("__rg")) & (qcol(wave) == F.col("__rw")), "left")
+
+    is_coded = lambda f: F.coalesce(F.array_contains("__coded", f), F.lit(False)) if recode is not None else F.lit(False)
+    final = lambda f, v: F.try_element_at(F.col("__codes"), F.concat_ws("=", f, F.try_variant_get(v, "$", "string")))
 
     def mark(e: Column) -> Column:
         fits = F.lit(False)
         for field, kind in target.items():
-            fits = F.when(e["field"] == field, lossless(e["value"], e["kind"], kind)).otherwise(fits)
+            held = lossless(e["value"], e["kind"], kind)
+            if recode is not None:
+                held = F.when(is_coded(F.lit(field)), final(e["field"], e["value"]).try_cast(kind).isNotNull()).otherwise(held)
+            fits = F.when(e["field"] == field, held).otherwise(fits)
         return F.struct(e["field"].alias("field"), e["raw"].alias("raw"), e["kind"].alias("kind"), e["value"].alias("value"), fits.alias("fits"))
 
     marked = ingested.withColumn("__entries", F.transform("__entries", mark))
@@ -115,7 +129,9 @@ def typed_table(ingested: DataFrame, target: Mapping[str, str], keep: Sequence[s
     place = lambda f: F.array_position("__fitting", f)  # noqa: E731  of a field's first fitting value, from 1
 
     def fitting(field: str, kind: str) -> Column:
-        return F.try_variant_get(F.get("__entries", place(F.lit(field)).cast("int") - 1)["value"], "$", kind)
+        value = F.get("__entries", place(F.lit(field)).cast("int") - 1)["value"]
+        plain = F.try_variant_get(value, "$", kind)
+        return F.when(is_coded(F.lit(field)), final(F.lit(field), value).try_cast(kind)).otherwise(plain) if recode is not None else plain
 
     def left(e: Column, i: Column) -> Column:
         return e["kind"].isNotNull() & ~F.coalesce(e["fits"] & (place(e["field"]) == i + 1), F.lit(False))

@@ -40,7 +40,8 @@ TARGET = {
 
 def p4_table(spark: SparkSession, d: str) -> DataFrame:
     records, _ = _ingested(spark, d)
-    table = drift.typed_table(records, TARGET, ["rec_id", "site_no", "assess_group", "wave", "file_no"])
+    codes = drift.recode_map(read_table(spark, d, "mapping_sheet"), "assess_group", {k: f"code_{w}" for k, w in WAVES.items()}, "final_coding", "homogenized_name")
+    table = drift.typed_table(records, TARGET, ["rec_id", "site_no", "assess_group", "wave", "file_no"], codes)
     return drift.promote(table, {"audit_flag": "boolean", "form_build": "string"})
 
 

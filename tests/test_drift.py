@@ -82,6 +82,15 @@ def test_promotion_keeps_what_it_does_not_take(spark):
     assert got == {1: (None, None, True, {"a": 8.5, "b": 2}), 2: (5, None, None, {"a": 6}), 3: (6, None, None, None)}
 
 
+def test_table_is_in_final_coding(spark, sheet):
+    names = drift.sheet_names(sheet, "g", ["n1", "n2"], "h")
+    codes = drift.recode_map(sheet, "g", {1: "c1", 2: "c2"}, "fin", "h")
+    files = [(1, 1, 1, {"sex": 1, "age": 1}), (1, 1, 1, {"sex": "2"}), (2, 2, 2, {"sex": 1}), (2, 2, 2, {"sex": 2}), (2, 2, 2, {"sex": 7}), (3, 3, 3, {"sex": 1}), (2, 2, 2, {"sex": None})]
+    ingested = drift.ingest(records(spark, files), names, group="g", payload="payload")
+    got = {r.rec: (r.AGE, r.SEX, r._rescued) for r in drift.typed_table(ingested, {"AGE": "bigint", "SEX": "bigint"}, ["rec"], codes, group="g", wave="w").collect()}
+    assert got == {0: (1, 0, None), 1: (None, 1, None), 2: (None, 1, None), 3: (None, 0, None), 4: (None, None, '{"sex":7}'), 5: (None, None, '{"sex":1}'), 6: (None, None, None)}
+
+
 def test_codes_to_final_coding(spark, sheet):
     got = {(r.wave, r.value): r.final_value for r in drift.recode_map(sheet, "g", {1: "c1", 2: "c2"}, "fin", "h").collect()}
     assert got == {(1, "1"): "0", (1, "2"): "1", (2, "2"): "0", (2, "1"): "1"}
