@@ -263,7 +263,7 @@ def spelling_lexicon(tokens: DataFrame, ratio: int = 3, least: int = 3, short: i
         return near.groupBy("role", "token").agg(F.min_by(F.struct("hub", "hub_n"), F.struct("d", -F.col("hub_n"), "hub")).alias("best"))
 
     one = stored(nearest(counts, 1))
-    rest = counts.filter((F.length("token") >= 7) & (F.col("n") < 1000)).join(one, ["role", "token"], "left_anti")
+    rest = counts.filter(F.length("token") >= 7).join(one, ["role", "token"], "left_anti")
     two = nearest(rest, 2)
     best = stored(one.unionByName(two)).select("role", "token", F.col("best.hub").alias("hub"), F.col("best.hub_n").alias("hub_n"))
     # a hub may itself be a misspelling of a commoner one

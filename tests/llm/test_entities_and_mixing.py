@@ -75,6 +75,13 @@ def test_lexicon(spark):
     assert got[("G", "KLAIRIVNE")] == got[("G", "KLAIRNVEX")] == "KLAIRINVE" and got[("G", "DETHUM")] == "DETHUM" and got[("S", "BENSITAKVA")] == "SITAKVA"
 
 
+def test_lexicon_decides_by_ratio_at_any_size(spark):
+    for times in (1, 1000):
+        uses = [("G", "KLAIRINVE", 30 * times), ("G", "KLOIRINVU", 2 * times)]
+        got = {r.token: r.canon for r in names.spelling_lexicon(spark.createDataFrame(uses, "role string, token string, uses long")).collect()}
+        assert got["KLOIRINVU"] == "KLAIRINVE"
+
+
 # ---------------------------------------------------------------- linkage
 def test_label_model_learns_accuracies():
     rng = np.random.default_rng(0)
