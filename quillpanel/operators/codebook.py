@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 
 from quillpanel.operators.clean import drop_variables, order_by_codebook
 from quillpanel.plans.dsl import Cell, Context, DslError, Node, compile_cell, parse_cell, with_groups
-from quillpanel.plans.mapping import Issue, subgroup_table
+from quillpanel.plans.mapping import Issue, mapping_column, subgroup_table
 from quillpanel.session import qcol
 
 
@@ -43,6 +43,12 @@ def _reads(node: Node | None) -> set[str]:
     return out
 
 
+def _present(row: Mapping[str, object], when: int | None, generated: str, waves: Sequence[str] | None) -> bool:
+    names = {m[1]: v for c, v in row.items() if (m := mapping_column(c, waves)) and m[0] == "Name"}
+    marked = row.get(generated) is True or str(row.get(generated) or "").upper() in ("TRUE", "T", "Y", "1")
+    return when is None or marked or not any(names.values()) or bool(names.get(when))
+
+
 def apply_codebook(
     df: DataFrame,
     codebook: Sequence[Mapping[str, object]],
@@ -54,15 +60,17 @@ def apply_codebook(
     when: int | None = None,
     key: str = "merged",
     origins: Mapping[str, Sequence[str]] | None = None,
+    waves: Sequence[str] | None = None,
 ) -> Applied:
     """``df`` after the codebook. Rows of ``codebook`` are mappings by the names in ``cols``.
 
     A row without a reduction, or with 99DUMMY, renames its initial variable; DROP removes it, after everything else;
     any other reduction makes the final variable (once for each final name where a subgroup is set). What a row cannot
     mean (parse errors, unknown names or functions, no final name, a missing variable) becomes an err issue and the
-    next row goes on. group: only rows of this group, or without one."""
+    next row goes on. group: only rows of this group, or without one. when: only rows that are present in this wave:
+    those that name a variable in its Name_<wave>, that name none in any wave, or that are marked as generated."""
     rows = [{k: (str(v).strip() or None) if v is not None and not isinstance(v, bool) else v for k, v in r.items()} for r in codebook]
-    rows = [r for r in rows if group is None or r.get(cols.group) in (None, group)]
+    rows = [r for r in rows if (group is None or r.get(cols.group) in (None, group)) and _present(r, when, cols.generated, waves)]
     name = lambda r: str(r[cols.initial]).upper() if r.get(cols.initial) and str(r[cols.initial]).upper() in known else r.get(cols.initial)
     known = set(df.columns)
     subgroups = subgroup_table([(r.get(cols.subgroup), name(r)) for r in rows if r.get(cols.initial)])

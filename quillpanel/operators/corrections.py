@@ -112,12 +112,13 @@ class Result:
 def apply_fixes(df: DataFrame, sheet: DataFrame, uid_col: str, id_col: str, *, cols: SheetColumns = SheetColumns(), force: bool = False) -> Result:
     """The corrected table, and the fixes that were not applied.
 
-    A fix is accepted if it has no issue, or by ``force``, and its state is not 'rejected'. Whole observations are
+    A fix is accepted if it has no issue, or by ``force``, and its state is not 'rejected'. Several new values for one
+    cell contradict each other; none of them is applied, by force neither. Whole observations are
     deleted; of rows that are IDENTICAL for an id one stays (the one whose key comes first by hash); other fixes set
     the cell of their key, cast to its type (a value that doesn't fit is left out and reported). The sheet is
     aggregated to one row for each key before it meets the table; untouched rows pass through."""
     checked = verify_fixes(sheet, df, uid_col, id_col, cols)
-    usable = (F.lit(True) if force else ~F.col("any_issue")) & (F.coalesce(F.col("state"), F.lit("")) != "rejected") & F.col("uid").isNotNull()
+    usable = (~F.col("multiple_conclusions") if force else ~F.col("any_issue")) & (F.coalesce(F.col("state"), F.lit("")) != "rejected") & F.col("uid").isNotNull()
     kinds = {c.upper(): (c, k) for c, k in df.dtypes}
     fits = F.lit(True)
     for upper, (_, kind) in kinds.items():
@@ -177,7 +178,7 @@ def apply_long_fixes(df: DataFrame, sheet: DataFrame, root: str, id_col: str, ti
     table isn't split. Rows without a unique id go; the rest is ordered by id and time by whoever writes it."""
     flat = explode_multi_fixes(sheet, database=database, what=cols.what, after=cols.after, keep=[cols.uid, cols.id])
     own = flat.filter(F.col("database").rlike(f"^{root.upper()}_")).select(
-        F.concat_ws("@", F.substring("database", len(root) + 2, 99), F.upper(F.trim(qcol(cols.uid)))).alias("uid"), qcol(cols.id).alias("id"), "what", "change_to"
+        F.concat_ws("@", F.substring("database", F.lit(len(root) + 2), F.length("database")), F.upper(F.trim(qcol(cols.uid)))).alias("uid"), qcol(cols.id).alias("id"), "what", "change_to"
     )
     key = fresh(df, "__row")
     keyed = df.filter(qcol(uid_col).isNotNull()).withColumn(key, F.concat_ws("@", qcol(time_col).cast("string"), F.upper(F.trim(qcol(uid_col).cast("string")))))

@@ -121,8 +121,8 @@ def resolve_name(name: str, columns: Sequence[str], wave: str | None = None, gro
     return None
 
 
-def codebook_markdown(df: DataFrame, metadata: Sequence[Mapping[str, object]], *, title: str = "Codebook", section: str | None = None, wave: str | None = None, group: str | None = None) -> str:
-    """The document: descriptives in one job, a value table for each coded variable (equal codings of a subgroup
+def codebook_markdown(df: DataFrame, metadata: Sequence[Mapping[str, object]], *, title: str = "Codebook", section: str | None = None, wave: str | None = None, group: str | None = None, bins: int = 30) -> str:
+    """The document: descriptives in one job, a histogram for each numeric variable, a value table for each coded variable (equal codings of a subgroup
     once), a notice for each variable the table lacks. Only summaries come to the driver."""
     rows = codebook_rows(metadata, section, wave)
     named = [(r, resolve_name(str(r["FINALNAMES"]), df.columns, wave, group)) for r in rows]
@@ -141,6 +141,9 @@ def codebook_markdown(df: DataFrame, metadata: Sequence[Mapping[str, object]], *
         if c in stats:
             s = stats[c]
             out += ["| n | min | mean | median | sd | max |", "|-|-|-|-|-|-|", f"| {s['n']} | {s['min']} | {s['mean']} | {s['median']} | {s['sd']} | {s['max']} |", ""]
+            bars = histogram(df, c, bins).orderBy("bin").collect()
+            most = max((b["n"] for b in bars), default=1)
+            out += ["| bin | n | |", "|-|-|-|", *(f"| {b['bin']} | {b['n']} | {'#' * max(1, round(20 * b['n'] / most))} |" for b in bars), ""]
         if r.get("CODING") and str(r.get("Type")) in CODED_KINDS:
             text = str(r["CODING"])
             mark = (r.get("SUBGROUP") or c, hashlib.md5(text.encode()).hexdigest())  # noqa: S324

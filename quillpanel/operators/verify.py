@@ -95,26 +95,32 @@ def weird_or_duplicated(df: DataFrame, id_col: str, pattern: str) -> DataFrame:
 
 
 def merge_sources(sources: Mapping[str, DataFrame], id_col: str, columns: Sequence[str], allow_duplicates: bool = True) -> DataFrame:
-    """Full outer join of all sources on the id (NULL ids match NULL ids), columns suffixed ``_<source>``.
+    """Full outer join of all sources on the id, columns suffixed ``_<source>``.
+
+    Rows without an id match nothing: they come after the join, one for each row of a source, so they neither
+    multiply nor meet in one task.
 
     Each source adds DUP_<source>: whether the row's id is repeated there. Ids repeated in two sources multiply; a
     ValueError names them if ``allow_duplicates`` is False (one aggregate for each source)."""
     merged: DataFrame | None = None
-    repeated = []
+    repeated: list[str] = []
+    nameless: list[DataFrame] = []
     for name, df in sources.items():
         flagged = flag_duplicates(df, [id_col], f"DUP_{name}")
         if not allow_duplicates and flagged.filter(f"`DUP_{name}`").limit(1).count():
             repeated.append(name)
-        one = flagged.select(qcol(id_col).alias(f"__id_{name}"), qcol(f"DUP_{name}"), *(qcol(c).alias(f"{c}_{name}") for c in columns if c in df.columns))
+        every = flagged.select(qcol(id_col).alias(f"__id_{name}"), qcol(f"DUP_{name}"), *(qcol(c).alias(f"{c}_{name}") for c in columns if c in df.columns))
+        nameless.append(every.filter(F.col(f"__id_{name}").isNull()).withColumnRenamed(f"__id_{name}", id_col))
+        one = every.filter(F.col(f"__id_{name}").isNotNull())
         if merged is None:
             merged = one.withColumnRenamed(f"__id_{name}", id_col)
             continue
-        both = merged.join(one, merged[f"`{id_col}`"].eqNullSafe(one[f"__id_{name}"]), "full")
+        both = merged.join(one, merged[f"`{id_col}`"] == one[f"__id_{name}"], "full")
         merged = both.select(F.coalesce(qcol(id_col), qcol(f"__id_{name}")).alias(id_col), *(qcol(c) for c in both.columns if c not in (id_col, f"__id_{name}")))
     if len(repeated) > 1:
         raise ValueError(f"ids repeated in {', '.join(repeated)}: their join would multiply rows")
     assert merged is not None
-    return merged
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), nameless, merged)
 
 
 def duplicate_provenance(names: Sequence[str]) -> Column:

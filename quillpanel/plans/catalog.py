@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillpanel.operators import drift, packed, timestamps
-from quillpanel.plans import survey_queries
+from quillpanel.plans import more_queries, survey_queries
 from quillpanel.session import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,7 +63,7 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {**survey_queries.QUERIES, "p1_found": p1_found, "p4_found": p4_found, "p4_table": p4_table, "p6_found": p6_found}
+QUERIES: dict[str, Query] = {**survey_queries.QUERIES, **more_queries.QUERIES, "p1_found": p1_found, "p4_found": p4_found, "p4_table": p4_table, "p6_found": p6_found}
 
 _QUOTED = r"""(?:"(?:[^"]|"")*"|“[^”]*”|«[^»]*»|'[^']*')"""
 _SIGNS = r",;|\t\n\r，；｜、،؛"
@@ -105,4 +105,4 @@ _P4_SQL = r"""
     x AS (SELECT site_no, assess_group, file_no, field, unnest([CASE WHEN r0 IS NULL THEN 'added' END, CASE WHEN r1 IS NULL THEN 'removed' END, CASE WHEN r1 <> r0 THEN 'renamed' END, CASE WHEN k1 <> k0 THEN 'retyped' END, CASE WHEN r1 IS NOT NULL AND r0 IS NOT NULL AND c1 <> c0 THEN 'recoded' END]) AS change_kind FROM j)
     SELECT * FROM x WHERE change_kind IS NOT NULL"""
 
-ORACLE: dict[str, str] = {**survey_queries.ORACLE, "p1_found": _P1_SQL, "p4_found": _P4_SQL}
+ORACLE: dict[str, str] = {**survey_queries.ORACLE, **more_queries.ORACLE, "p1_found": _P1_SQL, "p4_found": _P4_SQL}

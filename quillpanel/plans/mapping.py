@@ -119,7 +119,7 @@ def check_mapping(rows: Sequence[MapRow], waves: Sequence[str] | None = None) ->
     return good, issues
 
 
-def classify_row(r: MapRow, initial: str | None, final: str | None, reduction: str | None) -> str:
+def classify_row(initial: str | None, final: str | None, reduction: str | None) -> str:
     """What a codebook row does: drop, reduction, rename, or the reason it does nothing."""
     if reduction and reduction.strip().upper() in ("DROP", "NULL"):
         return "drop"

@@ -5,6 +5,10 @@ The driver's tables hold no NULLs, so queries that show NULL handling induce the
 
 from __future__ import annotations
 
+import unicodedata
+from functools import reduce
+from string import ascii_letters
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,8 +47,8 @@ def id_pattern_bad(spark: Spark, d: str) -> DataFrame:
 
 
 def weird_or_duplicated(spark: Spark, d: str) -> DataFrame:
-    li = read_table(spark, d, "lineitem").select(F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("pid"), "l_orderkey", "l_linenumber")
-    return verify.weird_or_duplicated(li.filter("l_linenumber = 7"), "pid", verify.id_pattern("P", "", (1, 3), "XN"))
+    li = read_table(spark, d, "lineitem").select(F.concat(F.lit("P"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string")).alias("pid"), "l_orderkey", "l_linenumber")
+    return verify.weird_or_duplicated(li, "pid", verify.id_pattern("P", "", (1, 5), "XN"))
 
 
 def only_in_data(spark: Spark, d: str) -> DataFrame:
@@ -95,7 +99,7 @@ def merge_sources_full_outer(spark: Spark, d: str) -> DataFrame:
 
 
 def dup_provenance(spark: Spark, d: str) -> DataFrame:
-    li = read_table(spark, d, "lineitem").filter("l_linenumber = 1").select(F.col("l_orderkey").alias("k"), "l_quantity")
+    li = read_table(spark, d, "lineitem").select(F.col("l_orderkey").alias("k"), "l_quantity")
     orders = read_table(spark, d, "orders").select(F.col("o_orderkey").alias("k"), "o_orderstatus")
     merged = verify.merge_sources({"LINE": li, "ORD": orders}, "k", ["l_quantity", "o_orderstatus"])
     return merged.select("k", F.col("l_quantity_LINE").alias("qty"), verify.duplicate_provenance(["LINE", "ORD"]).alias("dups"))
@@ -139,7 +143,7 @@ def id_retrieval(spark: Spark, d: str) -> DataFrame:
     )
     spec = matching.RetrievalSpec("row", "sname", "splace", "steacher", "sid", "name", "place", "place_id", "teacher", "teacher_id")
     block = F.when(F.col("nk") < 10, F.lit("A")).when(F.col("nk") < 20, F.lit("B")).otherwise(F.lit("S"))
-    return matching.retrieve_ids(survey, master, spec, block, block).select("row", "retrieved", "NO_MATCH", "MULTIPLE_MATCH", "DUPLICATE_FLAG")
+    return matching.retrieve_ids(survey, master, spec, block, block)
 
 
 # ---------------------------------------------------------------- cleaning
@@ -164,9 +168,8 @@ def id_whitespace_strip(spark: Spark, d: str) -> DataFrame:
 
 
 def remove_accents_fr(spark: Spark, d: str) -> DataFrame:
-    docs = read_table(spark, d, "documents").filter("lang = 'fr' AND text IS NOT NULL")
-    plain = F.regexp_replace("text", "[^ -~àâçèéêëîïôùûüÀÂÇÈÉÊËÎÏÔÙÛÜñÑ]", "")
-    return docs.select("doc_id", text.remove_accents(plain).alias("plain"))
+    """All documents, whole texts."""
+    return read_table(spark, d, "documents").select("doc_id", text.remove_accents(F.col("text")).alias("plain"))
 
 
 def date_floor_filter(spark: Spark, d: str) -> DataFrame:
@@ -207,19 +210,19 @@ def typecast_text(spark: Spark, d: str) -> DataFrame:
 
 # ---------------------------------------------------------------- corrections
 def _fix_sheet(spark: Spark, d: str) -> DataFrame:
+    """A fix of every order; the last digit of its key says of which kind."""
     o = read_table(spark, d, "orders")
     k = F.col("o_orderkey")
     uid = lambda c: F.concat(F.lit("u"), c.cast("string"))
     ident = F.concat(F.lit("c"), F.col("o_custkey").cast("string"))
-    kind = F.pmod(k, F.lit(97))
-    fixes = o.filter(kind < 8).select(
+    kind = F.pmod(k, F.lit(10))
+    return o.select(
         F.when(kind == 3, F.concat(uid(k), F.lit("z"))).otherwise(uid(k)).alias("uid"), ident.alias("id"),
-        F.when(kind == 0, "status").when(kind == 1, "whole observation").when(kind == 2, "height").when(kind == 4, "ident").when(kind == 6, "price").otherwise("Status").alias("what"),
-        F.lit("x").alias("change_from"), F.when(kind == 4, F.lit("c1")).when(kind == 5, F.lit(None)).when(kind == 6, F.lit("12.5")).when(kind != 1, F.lit("Z")).alias("change_to"),
+        F.when(kind == 0, "status").when(kind == 1, "whole observation").when(kind == 2, "height").when(kind.isin(4, 9), "ident").when(kind == 6, "price").otherwise("Status").alias("what"),
+        F.lit("x").alias("change_from"),
+        F.explode(F.when(kind == 8, F.array(F.lit("Z"), F.lit("Y"))).otherwise(F.array(F.when(kind == 4, F.lit("c1")).when(kind == 5, F.lit(None)).when(kind == 6, F.lit("12.5")).when(kind == 9, F.concat(F.lit("n"), k.cast("string"))).when(kind != 1, F.lit("Z"))))).alias("change_to"),
         F.when(kind == 7, "rejected").otherwise("accepted").alias("state"),
     )
-    again = o.filter(F.pmod(k, F.lit(291)) == 0).select(uid(k), ident, F.lit("STATUS"), F.lit("x"), F.lit("Y"), F.lit("accepted"))
-    return fixes.unionAll(again)
 
 
 def _fix_table(spark: Spark, d: str) -> DataFrame:
@@ -255,31 +258,39 @@ def recode_simultaneous(spark: Spark, d: str) -> DataFrame:
     return o.select("o_orderkey", homogenize.recode(F.col("o_orderstatus"), {"F": "O", "O": "F"}).alias("status"), homogenize.recode(F.col("o_orderpriority"), _PRIORITIES).alias("priority"))
 
 
+# line numbers 1 to 7 are the waves; the odd ones write the flag as text, the even ones as a number
+_LINES = dict(enumerate(("BY1", "MY1", "EY1", "BY2", "MY2", "EY2", "BY3"), 1))
+_FLAG_TEXT, _FLAG_NUMBER = 'cbind(c("A","N","R"),c("a","n","r"))', 'cbind(c(1,2,3),c("a","n","r"))'
 _WAVE_SHEET = [
-    {"Group": "LINE", "Name_BY1": "k", "Name_MY1": "key", "HomogenizedName": "LINE_KEY", "FinalNameDB3": "LINE_KEY"},
-    {"Group": "LINE", "Name_BY1": "flag", "Code_BY1": 'cbind(c("A","N","R"),c("a","n","r"))', "Name_MY1": "rflag", "Code_MY1": 'cbind(c(1,2,3),c("a","n","r"))', "HomogenizedName": "FLAG", "FinalCode": 'cbind(c(10,20,30),c("a","n","r"))', "FinalNameDB3": "FLAG"},
-    {"Group": "LINE", "Name_BY1": "qty", "Name_MY1": "qty", "HomogenizedName": "QTY", "FinalNameDB3": "QTY"},
+    {"Group": "LINE", **{f"Name_{w}": "k" if t % 2 else "key" for t, w in _LINES.items()}, "HomogenizedName": "LINE_KEY", "FinalNameDB3": "LINE_KEY"},
+    {"Group": "LINE", **{f"Name_{w}": "flag" if t % 2 else "rflag" for t, w in _LINES.items()}, **{f"Code_{w}": _FLAG_TEXT if t % 2 else _FLAG_NUMBER for t, w in _LINES.items()}, "HomogenizedName": "FLAG", "FinalCode": 'cbind(c(10,20,30),c("a","n","r"))', "FinalNameDB3": "FLAG"},
+    {"Group": "LINE", **{f"Name_{w}": "qty" for w in _LINES.values()}, "HomogenizedName": "QTY", "FinalNameDB3": "QTY"},
+    {"Group": "SHIP", **{f"Name_{w}": "k" for w in _LINES.values()}, "HomogenizedName": "LINE_KEY", "FinalNameDB3": "LINE_KEY"},
+    {"Group": "SHIP", **{f"Name_{w}": "status" for w in _LINES.values()}, "HomogenizedName": "STATE", "FinalNameDB3": "STATE"},
 ]
 
 
-def _waves(spark: Spark, d: str) -> dict[str, dict[int, DataFrame | None]]:
-    li = read_table(spark, d, "lineitem")
-    key = F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", F.col("l_quantity").cast("int"))
-    one = li.filter("l_linenumber = 1").select(key.alias("k"), F.col("l_returnflag").alias("flag"), F.col("l_quantity").alias("qty"))
-    two = li.filter("l_linenumber = 2").select(key.alias("key"), F.when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "N", 2).otherwise(3).alias("rflag"), F.col("l_quantity").alias("qty"))
-    return {"LINE": {1: one, 2: two}}
+def _waves(spark: Spark, d: str, key: Column) -> dict[str, dict[int, DataFrame | None]]:
+    out: dict[str, dict[int, DataFrame | None]] = {"LINE": {}, "SHIP": {}}
+    for t in _LINES:
+        li = read_table(spark, d, "lineitem").filter(F.col("l_linenumber") == t)
+        number = F.when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "N", 2).otherwise(3)
+        out["LINE"][t] = li.select(key.alias("k" if t % 2 else "key"), F.col("l_returnflag").alias("flag") if t % 2 else number.alias("rflag"), F.col("l_quantity").alias("qty"))
+        out["SHIP"][t] = li.groupBy(key.alias("k")).agg(F.max("l_linestatus").alias("status"))
+    return out
 
 
 def homogenize_waves(spark: Spark, d: str) -> DataFrame:
-    done = homogenize.homogenize(_WAVE_SHEET, _waves(spark, d))
+    key = F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", F.col("l_quantity").cast("int"))
+    done = homogenize.homogenize(_WAVE_SHEET, {"LINE": _waves(spark, d, key)["LINE"]})
     tables = {t: df.withColumn("wave", F.lit(t)) for t, df in done.bundle["LINE"].items() if df is not None}
     return reshape.merge_times(tables, ["wave"])
 
 
 def clean_databases(spark: Spark, d: str) -> DataFrame:
-    out = pipeline.clean_databases(_WAVE_SHEET, _waves(spark, d), ids=["LINE_KEY"], merge=False)
-    tables = {t: df.withColumn("wave", F.lit(t)) for t, df in out.bundle["LINE"].items() if df is not None}
-    return reshape.merge_times(tables, ["wave"]).groupBy("wave", "FLAG").agg(F.count(F.lit(1)).alias("n"), _dec(F.col("QTY")).cast("double").alias("qty"))
+    """The whole pipeline, merge and spread included: seven waves of two groups come out as one row for each order."""
+    out = pipeline.clean_databases(_WAVE_SHEET, _waves(spark, d, F.concat(F.lit("K"), F.col("l_orderkey").cast("string"))), ids=["LINE_KEY"], spread_times=True)
+    return out.wide.withColumnRenamed(".MERGE", "merge_id")
 
 
 def _reduced(spark: Spark, d: str, rows: list[dict], keep: list[str]) -> DataFrame:
@@ -336,13 +347,17 @@ def coalesce_long(spark: Spark, d: str) -> DataFrame:
 
 def mode_first_tie(spark: Spark, d: str) -> DataFrame:
     ev = read_table(spark, d, "events").select("user_id", "event_type", "event_id")
-    counted = ev.groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first"))
-    return counted.groupBy("user_id").agg(F.max_by("event_type", F.struct("n", -F.col("first"))).alias("mode"))
+    row = {"HomogenizedName": "event_type", "ReductionDB3": "$G{ MODE(.THIS) }", "FinalNameDB3": "mode"}
+    return codebook.apply_codebook(ev, [row], ids=["user_id"], time="event_id").df.select("user_id", "mode").distinct()
 
 
 # ---------------------------------------------------------------- merge, reshape
-def _yearly(spark: Spark, d: str, year: int) -> tuple[DataFrame, DataFrame]:
-    o = read_table(spark, d, "orders").filter(F.year("o_orderdate") == year)
+QUARTERS = (1, 2, 3, 4)
+
+
+def _quarterly(spark: Spark, d: str, quarter: int) -> tuple[DataFrame, DataFrame]:
+    """Orders by the quarter they fall into, so that the four waves hold every row."""
+    o = read_table(spark, d, "orders").filter(F.quarter("o_orderdate") == quarter)
     a = o.groupBy(F.col("o_custkey").alias("ID")).agg(F.count(F.lit(1)).alias("N"), F.max("o_totalprice").alias("TOP"))
     b = o.filter("o_orderstatus = 'F'").groupBy(F.col("o_custkey").alias("ID")).agg(F.count(F.lit(1)).alias("N"), F.min("o_totalprice").alias("LOW"))
     return a, b
@@ -350,17 +365,17 @@ def _yearly(spark: Spark, d: str, year: int) -> tuple[DataFrame, DataFrame]:
 
 def merge_databases_collision(spark: Spark, d: str) -> DataFrame:
     bundle: dict[str, dict[int, DataFrame | None]] = {"ALL": {}, "FIN": {}}
-    for t, year in enumerate((1994, 1995), 1):
-        bundle["ALL"][t], bundle["FIN"][t] = _yearly(spark, d, year)
+    for t in QUARTERS:
+        bundle["ALL"][t], bundle["FIN"][t] = _quarterly(spark, d, t)
     merged = reshape.merge_groups(bundle, ["ID"])
     long = reshape.merge_times(merged, [".MERGE", ".TIME"])
     return long.select(F.col("`.MERGE`").alias("merge_id"), F.col("`.TIME`").alias("time"), "N_ALL", "N_FIN", "TOP", "LOW")
 
 
 def merge_times_union(spark: Spark, d: str) -> DataFrame:
-    a, _ = _yearly(spark, d, 1994)
-    _, b = _yearly(spark, d, 1995)
-    return reshape.merge_times({1: a.withColumn("t", F.lit(1)), 2: b.withColumn("t", F.lit(2))}, ["ID", "t"])
+    """Waves whose columns differ: the odd ones lack LOW, the even ones TOP."""
+    waves = {t: _quarterly(spark, d, t)[(t + 1) % 2].withColumn("t", F.lit(t)) for t in QUARTERS}
+    return reshape.merge_times(waves, ["ID", "t"])
 
 
 def spread_times(spark: Spark, d: str) -> DataFrame:
@@ -380,7 +395,7 @@ def gather_times(spark: Spark, d: str) -> DataFrame:
 
 # ---------------------------------------------------------------- codebook
 def codebook_descriptives(spark: Spark, d: str) -> DataFrame:
-    return report.descriptives(read_table(spark, d, "lineitem"), ["l_quantity", "l_discount", "l_partkey"]).select("variable", "n", "min", "median", "sd", "max")
+    return report.descriptives(read_table(spark, d, "lineitem"), ["l_quantity", "l_discount", "l_partkey"])
 
 
 def codebook_histogram(spark: Spark, d: str) -> DataFrame:
@@ -405,25 +420,26 @@ def cross_source_names(spark: Spark, d: str) -> DataFrame:
 
 def long_set_issues(spark: Spark, d: str) -> DataFrame:
     li = read_table(spark, d, "lineitem").select(F.col("l_orderkey").alias("ID"), F.col("l_linenumber").alias("t"), "l_quantity")
-    out = verify.long_set_issues(li, "ID", "t", "LINE", [1, 2, 3], checks={"many": lambda x: F.col("l_quantity") > 48})
+    out = verify.long_set_issues(li, "ID", "t", "LINE", range(1, 8), checks={"many": lambda x: F.col("l_quantity") > 48})
     parts = [df.withColumn("set_name", F.lit(n)) for n, df in out.items()]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return reduce(DataFrame.unionByName, parts)
 
 
 def apply_multi_fixes(spark: Spark, d: str) -> DataFrame:
     s = read_table(spark, d, "supplier")
     key = F.concat(F.lit("S"), F.col("s_suppkey").cast("string"))
     base = s.select(key.alias("uid"), key.alias("id"), F.col("s_nationkey").alias("NATION"), F.col("s_name").alias("TITLE"))
-    sheet = s.filter("s_suppkey % 4 = 0").select(key.alias("uid"), key.alias("id"), F.lit("ONE|two").alias("database"), F.lit("NATION,TITLE|title").alias("what"), F.concat(F.lit("99, T"), F.col("s_suppkey").cast("string"), F.lit("|U")).alias("change_to"))
+    sheet = s.select(key.alias("uid"), key.alias("id"), F.lit("ONE|two").alias("database"), F.lit("NATION,TITLE|title").alias("what"), F.concat((F.col("s_suppkey") % 4).cast("string"), F.lit(", T"), F.col("s_suppkey").cast("string"), F.lit("|U")).alias("change_to"))
     out = corrections.apply_multi_fixes({"ONE": base, "TWO": base}, sheet, "uid", "id")
     return out["ONE"].df.withColumn("tbl", F.lit("ONE")).unionByName(out["TWO"].df.withColumn("tbl", F.lit("TWO")))
 
 
 def apply_long_fixes(spark: Spark, d: str) -> DataFrame:
-    li = read_table(spark, d, "lineitem").filter("l_linenumber <= 3")
+    """Every order has a fix of one of its lines; which one depends on its key."""
+    li = read_table(spark, d, "lineitem")
     long = li.groupBy(F.concat(F.lit("K"), F.col("l_orderkey").cast("string")).alias("uid"), F.col("l_linenumber").alias("t")).agg(F.max("l_quantity").alias("qty")).withColumn("id", F.col("uid"))
-    keys = long.select("uid").distinct().filter(F.pmod(F.substring("uid", 2, 20).cast("bigint"), F.lit(10)) == 0)
-    sheet = keys.select("uid", F.col("uid").alias("id"), F.lit("LINE_2").alias("database"), F.lit("QTY").alias("what"), F.lit("-1.5").alias("change_to"))
+    line = (F.pmod(F.substring("uid", 2, 20).cast("bigint"), F.lit(7)) + 1).cast("string")
+    sheet = long.select("uid").distinct().select("uid", F.col("uid").alias("id"), F.concat(F.lit("LINE_"), line).alias("database"), F.lit("QTY").alias("what"), F.lit("-1.5").alias("change_to"))
     return corrections.apply_long_fixes(long, sheet, "LINE", "id", "t", "uid").df.select("uid", "t", "qty")
 
 
@@ -445,8 +461,8 @@ def permute_tags(spark: Spark, d: str) -> DataFrame:
 
 def spread_force_unite(spark: Spark, d: str) -> DataFrame:
     ev = read_table(spark, d, "events")
-    panel = ev.groupBy(F.col("user_id").alias("id"), F.dayofmonth("ts").alias("t")).agg(F.max("value").alias("V"), F.min("event_type").alias("KIND")).filter("t <= 5")
-    return reshape.spread(panel, ["id"], "t", split=["V"], force_unite=["KIND"], times=[1, 2, 3, 4, 5], drop_empty=False)
+    panel = ev.groupBy(F.col("user_id").alias("id"), F.dayofmonth("ts").alias("t")).agg(F.max("value").alias("V"), F.min("event_type").alias("KIND"))
+    return reshape.spread(panel, ["id"], "t", split=["V"], force_unite=["KIND"], times=range(1, 32), drop_empty=False)
 
 
 def keep_first_of_key(spark: Spark, d: str) -> DataFrame:
@@ -497,15 +513,14 @@ _THREE = """
     e AS (SELECT *, coalesce(a, b, c) AS base FROM j)
 """
 _FIXES = """
-    WITH o AS (SELECT *, o_orderkey % 97 AS kind FROM orders),
+    WITH o AS (SELECT *, o_orderkey % 10 AS kind, unnest(CASE WHEN o_orderkey % 10 = 8 THEN ['Z', 'Y'] ELSE ['Z'] END) AS z FROM orders),
     t AS (SELECT 'U' || o_orderkey AS u, 'C' || o_custkey AS i, o_orderstatus AS status, o_totalprice AS price, 'u' || o_orderkey AS uid, 'c' || o_custkey AS ident FROM orders),
     sheet AS (
         SELECT 'U' || o_orderkey || CASE WHEN kind = 3 THEN 'Z' ELSE '' END AS uid, 'C' || o_custkey AS id,
-               CASE kind WHEN 0 THEN 'STATUS' WHEN 1 THEN 'WHOLE OBSERVATION' WHEN 2 THEN 'HEIGHT' WHEN 4 THEN 'IDENT' WHEN 6 THEN 'PRICE' ELSE 'STATUS' END AS what,
-               'x' AS change_from, CASE WHEN kind = 4 THEN 'c1' WHEN kind = 5 THEN NULL WHEN kind = 6 THEN '12.5' WHEN kind <> 1 THEN 'Z' END AS change_to,
+               CASE kind WHEN 0 THEN 'STATUS' WHEN 1 THEN 'WHOLE OBSERVATION' WHEN 2 THEN 'HEIGHT' WHEN 4 THEN 'IDENT' WHEN 9 THEN 'IDENT' WHEN 6 THEN 'PRICE' ELSE 'STATUS' END AS what,
+               'x' AS change_from, CASE WHEN kind = 4 THEN 'c1' WHEN kind = 5 THEN NULL WHEN kind = 6 THEN '12.5' WHEN kind = 9 THEN 'n' || o_orderkey WHEN kind <> 1 THEN z END AS change_to,
                CASE WHEN kind = 7 THEN 'rejected' ELSE 'accepted' END AS state
-        FROM o WHERE kind < 8
-        UNION ALL SELECT 'U' || o_orderkey, 'C' || o_custkey, 'STATUS', 'x', 'Y', 'accepted' FROM orders WHERE o_orderkey % 291 = 0),
+        FROM o),
     own AS (SELECT u, min(i) AS own FROM t GROUP BY u),
     h AS (SELECT uid, id, what, count(*) AS times, count(DISTINCT upper(change_to)) AS ends FROM sheet GROUP BY ALL),
     f AS (SELECT s.*, own.own, own.u IS NULL AS missing_uid, (s.what <> 'WHOLE OBSERVATION' AND s.change_to IS NULL) AS incomplete_record, h.times > 1 AS duplicate_changes, h.ends > 1 AS multiple_conclusions,
@@ -524,21 +539,37 @@ _PANEL = """
 """
 _SPREAD_CELLS = ", ".join(f"max(CASE WHEN t = {t} THEN qty END) AS QTY_{t}, max(CASE WHEN t = {t} THEN flag END) AS flag_{t}" for t in range(1, 8))
 
+
+
+def _accented() -> tuple[str, str]:
+    """Letters of the Latin blocks that are a plain letter with marks, and that letter."""
+    letters = [c for c in map(chr, (*range(0xC0, 0x180), *range(0x218, 0x21C), *range(0x1E00, 0x1F00))) if unicodedata.normalize("NFKD", c)[0] in ascii_letters]
+    others = {k: v for k, v in text.LIGATURES.items() if len(v) == 1}
+    return "".join([*letters, *others]), "".join([*(unicodedata.normalize("NFKD", c)[0] for c in letters), *others.values()])
+
+
+def _ligatures() -> str:
+    out = "text"
+    for letter, plain in text.LIGATURES.items():
+        out = f"replace({out}, '{letter}', '{plain}')" if len(plain) > 1 else out
+    return out
+
+
 ORACLE = {
     "cross_source_names": "SELECT c_custkey AS ID, true AS NAME_ISSUE, 1 AS N_ISSUES FROM customer WHERE c_custkey % 5 = 2",
     "long_set_issues": """
-        WITH x AS (SELECT l_orderkey AS ID, l_linenumber AS t, l_quantity, count(*) OVER (PARTITION BY l_orderkey, l_linenumber) > 1 AS d FROM lineitem WHERE l_linenumber <= 3)
+        WITH x AS (SELECT l_orderkey AS ID, l_linenumber AS t, l_quantity, count(*) OVER (PARTITION BY l_orderkey, l_linenumber) > 1 AS d FROM lineitem)
         SELECT ID, t, l_quantity, concat_ws(', ', CASE WHEN d THEN 'duplicated_id' END, CASE WHEN l_quantity > 48 THEN 'many' END) AS ISSUE, 'LINE_' || t AS set_name FROM x WHERE d OR l_quantity > 48""",
     "apply_multi_fixes": """
-        SELECT 'S' || s_suppkey AS uid, 'S' || s_suppkey AS id, CASE WHEN s_suppkey % 4 = 0 THEN 99 ELSE s_nationkey END AS NATION, CASE WHEN s_suppkey % 4 = 0 THEN 'T' || s_suppkey ELSE s_name END AS TITLE, 'ONE' AS tbl FROM supplier
-        UNION ALL SELECT 'S' || s_suppkey, 'S' || s_suppkey, s_nationkey, CASE WHEN s_suppkey % 4 = 0 THEN 'U' ELSE s_name END, 'TWO' FROM supplier""",
-    "apply_long_fixes": "SELECT 'K' || l_orderkey AS uid, l_linenumber AS t, CASE WHEN l_linenumber = 2 AND l_orderkey % 10 = 0 THEN -1.5 ELSE max(l_quantity) END AS qty FROM lineitem WHERE l_linenumber <= 3 GROUP BY l_orderkey, l_linenumber",
+        SELECT 'S' || s_suppkey AS uid, 'S' || s_suppkey AS id, s_suppkey % 4 AS NATION, 'T' || s_suppkey AS TITLE, 'ONE' AS tbl FROM supplier
+        UNION ALL SELECT 'S' || s_suppkey, 'S' || s_suppkey, s_nationkey, 'U', 'TWO' FROM supplier""",
+    "apply_long_fixes": "SELECT 'K' || l_orderkey AS uid, l_linenumber AS t, CASE WHEN l_linenumber = l_orderkey % 7 + 1 THEN -1.5 ELSE max(l_quantity) END AS qty FROM lineitem GROUP BY l_orderkey, l_linenumber",
     "legacy_clean": "SELECT CASE WHEN o_orderkey % 10 <> 0 THEN 'O' || o_orderkey END AS ORDER_ID, strftime(o_orderdate, '%Y-%m-%d') AS DAY, CASE WHEN o_orderkey % 6 <> 0 THEN upper(o_orderpriority) END AS PRI, o_orderkey AS NUM FROM orders WHERE CAST(o_orderdate AS DATE) >= DATE '1996-01-01'",
     "permute_tags": "SELECT o_custkey AS ID, count(*) AS N_1_ALL, max(o_totalprice) AS TOP_FIN_2 FROM orders GROUP BY 1",
-    "spread_force_unite": """
-        WITH p AS (SELECT user_id AS id, day(ts) AS t, max(value) AS v, min(event_type) AS k FROM events WHERE day(ts) <= 5 GROUP BY 1, 2),
+    "spread_force_unite": f"""
+        WITH p AS (SELECT user_id AS id, day(ts) AS t, max(value) AS v, min(event_type) AS k FROM events GROUP BY 1, 2),
         m AS (SELECT id, k, row_number() OVER (PARTITION BY id ORDER BY count(*) DESC, k) AS r FROM p GROUP BY 1, 2)
-        SELECT p.id, any_value(m.k) AS KIND, max(v) FILTER (t = 1) AS V_1, max(v) FILTER (t = 2) AS V_2, max(v) FILTER (t = 3) AS V_3, max(v) FILTER (t = 4) AS V_4, max(v) FILTER (t = 5) AS V_5 FROM p JOIN m ON m.id = p.id AND r = 1 GROUP BY p.id""",
+        SELECT p.id, any_value(m.k) AS KIND, {", ".join(f"max(v) FILTER (t = {t}) AS V_{t}" for t in range(1, 32))} FROM p JOIN m ON m.id = p.id AND r = 1 GROUP BY p.id""",
     "keep_first_of_key": "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) = 1",
     "three_valued_or": "SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 AND o_orderkey % 5 = 0 THEN NULL ELSE coalesce(CASE WHEN o_orderkey % 3 <> 0 THEN o_orderkey % 2 = 0 END, false) OR coalesce(CASE WHEN o_orderkey % 5 <> 0 THEN o_orderkey % 7 = 0 END, false) END AS either FROM orders",
     "yes_no_columns": "SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN true WHEN o_orderkey % 4 <> 1 THEN false END AS flag, CASE WHEN o_orderkey % 2 = 0 THEN 'Y' ELSE 'x' END AS kept FROM orders",
@@ -558,8 +589,8 @@ ORACLE = {
         SELECT * FROM y WHERE ISSUE <> ''""",
     "id_pattern_bad": "SELECT c_custkey, c_name FROM customer WHERE NOT regexp_full_match(c_name, 'Customer#000000[0-9]{3}')",
     "weird_or_duplicated": """
-        WITH x AS (SELECT 'P' || l_partkey AS pid, l_orderkey, l_linenumber FROM lineitem WHERE l_linenumber = 7),
-        y AS (SELECT *, CASE WHEN count(*) OVER (PARTITION BY pid) > 1 THEN 'DUPLICATED ID' WHEN NOT regexp_full_match(pid, 'P[0-9]{1,3}') THEN 'WEIRD ID' END AS ISSUE FROM x)
+        WITH x AS (SELECT 'P' || (l_orderkey * 10 + l_linenumber) AS pid, l_orderkey, l_linenumber FROM lineitem),
+        y AS (SELECT *, CASE WHEN count(*) OVER (PARTITION BY pid) > 1 THEN 'DUPLICATED ID' WHEN NOT regexp_full_match(pid, 'P[0-9]{1,5}') THEN 'WEIRD ID' END AS ISSUE FROM x)
         SELECT * FROM y WHERE ISSUE IS NOT NULL""",
     "only_in_data": "WITH c AS (SELECT nullif(c_custkey, 11) AS custkey, c_name FROM customer), o AS (SELECT nullif(o_custkey, 7) AS custkey FROM orders WHERE o_orderstatus = 'F') SELECT * FROM c WHERE NOT EXISTS (SELECT 1 FROM o WHERE o.custkey IS NOT DISTINCT FROM c.custkey)",
     "only_in_reference": "WITH c AS (SELECT nullif(c_custkey, 11) AS custkey FROM customer WHERE c_acctbal > 0), o AS (SELECT nullif(o_custkey, 7) AS custkey, o_orderkey FROM orders) SELECT * FROM o WHERE NOT EXISTS (SELECT 1 FROM c WHERE o.custkey IS NOT DISTINCT FROM c.custkey)",
@@ -570,9 +601,9 @@ ORACLE = {
     "merge_sources_full_outer": """
         WITH c AS (SELECT nullif(c_custkey, 3) AS k, c_mktsegment, count(*) OVER (PARTITION BY nullif(c_custkey, 3)) > 1 AS d FROM customer),
         o AS (SELECT nullif(o_custkey, 5) AS k, count(*) AS n FROM orders GROUP BY 1)
-        SELECT coalesce(c.k, o.k) AS custkey, c.d AS DUP_CUST, c_mktsegment AS c_mktsegment_CUST, CASE WHEN o.n IS NOT NULL THEN false END AS DUP_ORD, o.n AS n_orders_ORD FROM c FULL JOIN o ON c.k IS NOT DISTINCT FROM o.k""",
+        SELECT coalesce(c.k, o.k) AS custkey, c.d AS DUP_CUST, c_mktsegment AS c_mktsegment_CUST, CASE WHEN o.n IS NOT NULL THEN false END AS DUP_ORD, o.n AS n_orders_ORD FROM c FULL JOIN o ON c.k = o.k""",
     "dup_provenance": """
-        WITH l AS (SELECT l_orderkey AS k, l_quantity, count(*) OVER (PARTITION BY l_orderkey) > 1 AS d FROM lineitem WHERE l_linenumber = 1),
+        WITH l AS (SELECT l_orderkey AS k, l_quantity, count(*) OVER (PARTITION BY l_orderkey) > 1 AS d FROM lineitem),
         o AS (SELECT o_orderkey AS k, count(*) OVER (PARTITION BY o_orderkey) > 1 AS d FROM orders),
         j AS (SELECT coalesce(l.k, o.k) AS k, l_quantity AS qty, coalesce(l.d, false) AS a, coalesce(o.d, false) AS b FROM l FULL JOIN o ON l.k = o.k)
         SELECT k, qty, CASE WHEN a AND b THEN 'ID DUPLICATED IN LINE & ORD' WHEN a THEN 'ID DUPLICATED IN LINE' WHEN b THEN 'ID DUPLICATED IN ORD' ELSE 'NO' END AS dups FROM j""",
@@ -595,12 +626,15 @@ ORACLE = {
         e AS (SELECT * FROM d WHERE pass = 2 OR lev <= 2),
         f AS (SELECT *, bool_or(mn = n) OVER (PARTITION BY k) AS fits FROM e),
         g AS (SELECT * FROM f WHERE NOT fits OR mn = n OR (k % 4 = 0 AND k % 5 = 0)),
+        y AS (SELECT k, count(*) > 1 AND k % 4 <> 0 AND NOT any_value(fits) AS y2, count(*) > 1 AND k % 5 <> 0 AND NOT any_value(fits) AS y1 FROM f GROUP BY k),
         r AS (SELECT k, string_agg('ID' || mk, '|' ORDER BY 'ID' || mk) AS retrieved, count(*) AS n FROM g GROUP BY k)
-        SELECT q.k AS "row", retrieved, retrieved IS NULL AS NO_MATCH, coalesce(r.n > 1, false) AS MULTIPLE_MATCH, retrieved IS NOT NULL AND count(*) OVER (PARTITION BY retrieved) > 1 AS DUPLICATE_FLAG FROM q LEFT JOIN r ON r.k = q.k""",
+        SELECT q.k AS "row", coalesce(y1, false) AS VAR1_FLAG, coalesce(y2, false) AS VAR2_FLAG, retrieved, retrieved IS NULL AS NO_MATCH, coalesce(r.n > 1, false) AS MULTIPLE_MATCH, retrieved IS NOT NULL AND count(*) OVER (PARTITION BY retrieved) > 1 AS DUPLICATE_FLAG FROM q LEFT JOIN r ON r.k = q.k LEFT JOIN y ON y.k = q.k""",
     "clear_artifacts": "SELECT o_orderkey, CASE WHEN o_orderkey % 11 IN (0, 1, 2, 3, 5) THEN NULL WHEN o_orderkey % 11 = 4 THEN 'x' ELSE o_orderpriority END AS cell FROM orders",
     "strip_99_codes": "SELECT o_orderkey, CASE WHEN o_orderkey % 7 IN (0, 1) THEN NULL WHEN o_orderkey % 7 = 2 THEN '199' ELSE o_orderstatus END AS code FROM orders",
     "id_whitespace_strip": "SELECT s_suppkey, upper(s_name) AS ST_ID FROM supplier",
-    "remove_accents_fr": "SELECT doc_id, translate(regexp_replace(text, '[^ -~àâçèéêëîïôùûüÀÂÇÈÉÊËÎÏÔÙÛÜñÑ]', '', 'g'), 'àâçèéêëîïôùûüÀÂÇÈÉÊËÎÏÔÙÛÜñÑ', 'aaceeeeiiouuuAACEEEEIIOUUUnN') AS plain FROM documents WHERE lang = 'fr' AND text IS NOT NULL",
+    "remove_accents_fr": rf"""
+        WITH l AS (SELECT doc_id, text, {_ligatures()} AS t FROM documents)
+        SELECT doc_id, regexp_replace(translate(t, '{_accented()[0]}', '{_accented()[1]}'), '\p{{M}}+', '', 'g') AS plain FROM l""",
     "date_floor_filter": "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders WHERE o_orderkey % 5 <> 0 AND CAST(o_orderdate AS DATE) >= DATE '1995-06-01'",
     "drop_empty_rows": "SELECT c_custkey, CASE WHEN c_custkey % 4 <> 0 THEN c_name ELSE '  ' END AS a, CASE WHEN c_custkey % 6 <> 0 THEN c_acctbal END AS b FROM customer WHERE c_custkey % 4 <> 0 OR c_custkey % 6 <> 0",
     "clean_table": "SELECT p_partkey AS PART_ID, CASE WHEN p_partkey % 9 <> 0 THEN upper(trim(p_name)) END AS NAME, CASE WHEN p_partkey % 10 <> 0 THEN CAST(p_size AS BIGINT) END AS SIZE, CASE WHEN p_partkey % 8 <> 0 THEN upper(p_brand) END AS BRAND FROM part",
@@ -621,8 +655,12 @@ ORACLE = {
         SELECT s_suppkey, f.d AS database, f.w AS what, f.v AS change_to, CAST(f.n AS BIGINT) AS n_what, CAST(f.n AS BIGINT) AS n_values FROM e""",
     "recode_simultaneous": "SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'O' WHEN 'O' THEN 'F' ELSE o_orderstatus END AS status, CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED', '5-LOW') THEN left(o_orderpriority, 1) ELSE o_orderpriority END AS priority FROM orders",
     "homogenize_waves": """
-        SELECT l_linenumber AS wave, CAST(CASE l_returnflag WHEN 'A' THEN 10 WHEN 'N' THEN 20 ELSE 30 END AS BIGINT) AS FLAG, concat_ws('-', l_orderkey, l_partkey, l_suppkey, CAST(l_quantity AS INT)) AS LINE_KEY, l_quantity AS QTY FROM lineitem WHERE l_linenumber IN (1, 2)""",
-    "clean_databases": "SELECT l_linenumber AS wave, CAST(CASE l_returnflag WHEN 'A' THEN 10 WHEN 'N' THEN 20 ELSE 30 END AS BIGINT) AS FLAG, count(*) AS n, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS qty FROM lineitem WHERE l_linenumber IN (1, 2) GROUP BY 1, 2",
+        SELECT l_linenumber AS wave, CAST(CASE l_returnflag WHEN 'A' THEN 10 WHEN 'N' THEN 20 ELSE 30 END AS BIGINT) AS FLAG, concat_ws('-', l_orderkey, l_partkey, l_suppkey, CAST(l_quantity AS INT)) AS LINE_KEY, l_quantity AS QTY FROM lineitem""",
+    "clean_databases": f"""
+        WITH x AS (SELECT 'K' || l_orderkey AS k, l_linenumber AS t, CAST(CASE l_returnflag WHEN 'A' THEN 10 WHEN 'N' THEN 20 ELSE 30 END AS BIGINT) AS f, l_quantity AS q, max(l_linestatus) OVER (PARTITION BY l_orderkey, l_linenumber) AS s,
+                          row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY CASE l_returnflag WHEN 'A' THEN 10 WHEN 'N' THEN 20 ELSE 30 END, l_quantity) AS r FROM lineitem)
+        SELECT k AS merge_id, k AS LINE_KEY_LINE, k AS LINE_KEY_SHIP, {", ".join(f"max(f) FILTER (t = {t}) AS FLAG_{t}, max(q) FILTER (t = {t}) AS QTY_{t}, max(s) FILTER (t = {t}) AS STATE_{t}" for t in range(1, 8))}
+        FROM x WHERE r = 1 GROUP BY k""",
     "reduction_rows": """
         WITH x AS (SELECT o_orderkey AS OID, CASE WHEN o_orderkey % 3 <> 0 THEN o_custkey END AS x, CASE WHEN o_orderkey % 2 <> 0 THEN o_custkey + 1 END AS y, CASE WHEN o_orderkey % 5 <> 0 THEN 7 END AS z, CAST(left(o_orderpriority, 1) AS INT) AS p, o_orderstatus AS s FROM orders)
         SELECT OID, 1 AS n_hot, coalesce(z, y) AS flat, greatest(x, y) AS cons, p * 10 AS pri, CAST(s = 'F' AS INT) AS is_f, coalesce(x, 0) + coalesce(y, 0) AS xy, x + y AS xy_strict, CAST(CASE WHEN x IS NULL THEN -1 ELSE x % 10 + 4 END AS DOUBLE) AS cond,
@@ -637,17 +675,17 @@ ORACLE = {
         SELECT q.id, q.t, b.value FROM q LEFT JOIN b ON b.id = q.id AND b.r = q.r""",
     "mode_first_tie": "WITH c AS (SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY count(*) DESC, min(event_id)) AS r FROM events GROUP BY 1, 2) SELECT user_id, event_type AS mode FROM c WHERE r = 1",
     "merge_databases_collision": """
-        WITH o AS (SELECT *, year(o_orderdate) - 1993 AS t FROM orders WHERE year(o_orderdate) IN (1994, 1995)),
+        WITH o AS (SELECT *, quarter(o_orderdate) AS t FROM orders),
         a AS (SELECT t, o_custkey AS id, count(*) AS n, max(o_totalprice) AS top FROM o GROUP BY 1, 2), f AS (SELECT t, o_custkey AS id, count(*) AS n, min(o_totalprice) AS low FROM o WHERE o_orderstatus = 'F' GROUP BY 1, 2)
         SELECT coalesce(a.id, f.id) AS merge_id, CAST(coalesce(a.t, f.t) AS INT) AS time, a.n AS N_ALL, f.n AS N_FIN, top AS TOP, low AS LOW FROM a FULL JOIN f ON a.id = f.id AND a.t = f.t""",
     "merge_times_union": """
-        SELECT o_custkey AS ID, 1 AS t, NULL AS LOW, count(*) AS N, max(o_totalprice) AS TOP FROM orders WHERE year(o_orderdate) = 1994 GROUP BY 1
-        UNION ALL SELECT o_custkey, 2, min(o_totalprice), count(*), NULL FROM orders WHERE year(o_orderdate) = 1995 AND o_orderstatus = 'F' GROUP BY 1""",
+        SELECT o_custkey AS ID, CAST(quarter(o_orderdate) AS INT) AS t, NULL AS LOW, count(*) AS N, max(o_totalprice) AS TOP FROM orders WHERE quarter(o_orderdate) IN (1, 3) GROUP BY 1, 2
+        UNION ALL SELECT o_custkey, CAST(quarter(o_orderdate) AS INT), min(o_totalprice), count(*), NULL FROM orders WHERE quarter(o_orderdate) IN (2, 4) AND o_orderstatus = 'F' GROUP BY 1, 2""",
     "spread_times": _PANEL + f"SELECT id, 'x' AS SAME, {_SPREAD_CELLS} FROM p GROUP BY id",
     "auto_split_vars": "SELECT 'event_type' AS variable, max(n) > 1 AS varies FROM (SELECT count(DISTINCT event_type) AS n FROM events GROUP BY user_id) UNION ALL SELECT 'fixed', false UNION ALL SELECT 'third', false",
     "gather_times": _PANEL + ", ids AS (SELECT DISTINCT id FROM p), ts AS (SELECT unnest(range(1, 8)) AS t) SELECT ids.id, 'x' AS SAME, CAST(ts.t AS INT) AS t, p.qty AS QTY, p.flag AS flag FROM ids CROSS JOIN ts LEFT JOIN p ON p.id = ids.id AND p.t = ts.t",
     "codebook_descriptives": " UNION ALL ".join(
-        f"SELECT '{c}' AS variable, count({c}) AS n, CAST(min({c}) AS DOUBLE) AS min, round(CAST(median({c}) AS DOUBLE), 2) AS median, round(stddev_samp({c}), 2) AS sd, CAST(max({c}) AS DOUBLE) AS max FROM lineitem" for c in ("l_quantity", "l_discount", "l_partkey")
+        f"SELECT '{c}' AS variable, count({c}) AS n, CAST(min({c}) AS DOUBLE) AS min, round(avg({c}), 2) AS mean, round(CAST(median({c}) AS DOUBLE), 2) AS median, round(stddev_samp({c}), 2) AS sd, CAST(max({c}) AS DOUBLE) AS max FROM lineitem" for c in ("l_quantity", "l_discount", "l_partkey")
     ),
     "codebook_histogram": "WITH e AS (SELECT min(l_quantity) AS lo, max(l_quantity) AS hi FROM lineitem) SELECT CAST(least(floor((l_quantity - lo) / ((hi - lo) / 30)), 29) AS INT) + 1 AS bin, count(*) AS n FROM lineitem, e GROUP BY 1",
     "codebook_frequencies": "SELECT 'o_orderstatus' AS variable, o_orderstatus AS value, count(*) AS n FROM orders GROUP BY 1, 2 UNION ALL SELECT 'o_orderpriority', o_orderpriority, count(*) FROM orders GROUP BY 1, 2",

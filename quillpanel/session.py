@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -9,6 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+_WRITTEN: dict[str, list[str]] = {}
+
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
     """A session with the settings the operators are written for (UTC, AQE, Arrow)."""
@@ -62,9 +68,13 @@ def checkpoint_folder(spark: SparkSession) -> str:
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
-    if not sc.master.startswith("local"):
+    if not re.match(r"local(\[|$)", sc.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return tempfile.mkdtemp(prefix="quillpanel-checkpoint-")
+    app = sc.applicationId
+    if app not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="quillpanel-checkpoint-")
+        atexit.register(shutil.rmtree, _LOCAL_FOLDERS[app], ignore_errors=True)
+    return _LOCAL_FOLDERS[app]
 
 
 def durable(df: DataFrame) -> DataFrame:
@@ -75,10 +85,28 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder; ``forget_stored`` deletes what is written there."""
+    path = f"{checkpoint_folder(spark).rstrip('/')}/quillpanel-{uuid.uuid4().hex}-{name}"
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def forget_stored(spark: SparkSession) -> int:
+    """Delete the tables that ``stored`` wrote for this application, and say how many: to be called once the results
+    that are computed from them are written."""
+    paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(conf).delete(target, True)
+    return len(paths)
+
+
 def stored(df: DataFrame, *partition_by: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it again: columnar, prunable, and
     independent of the executors that made it."""
-    path = f"{checkpoint_folder(df.sparkSession).rstrip('/')}/quillpanel-{uuid.uuid4().hex}"
+    path = scratch(df.sparkSession, "table")
     writer = df.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

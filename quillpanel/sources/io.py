@@ -1,4 +1,4 @@
-"""Readers and writers: CSV, Parquet and JSON natively; XLSX and Stata through adapters where their libraries exist."""
+"""Readers and writers: CSV, Parquet, JSON and ORC natively; workbooks and Stata files, bounded by nature, through the driver."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillpanel.session import qcol
+from quillpanel.sources.office import workbook_rows, write_workbook
 
 log = logging.getLogger(__name__)
 
@@ -24,14 +25,26 @@ def read_csv(spark: SparkSession, path: str, na: Sequence[str] = ("", "NA"), inf
 
 
 def read_xlsx(spark: SparkSession, path: str, na: Sequence[str] = ("", "NA")) -> DataFrame:
-    """A workbook's first sheet, read on the driver (sheets are small by nature)."""
-    try:
-        import openpyxl  # noqa: F401
-        import pandas as pd
-    except ImportError as x:
-        raise RuntimeError("reading .xlsx needs the package openpyxl") from x
-    frame = pd.read_excel(path, dtype=str, keep_default_na=False, na_values=list(na))
-    return spark.createDataFrame(frame.where(frame.notna(), None), ", ".join(f"`{c}` string" for c in frame.columns))
+    """A workbook's first sheet, its first row the header; cells are text, those equal to one of ``na`` NULL.
+
+    Read on the driver: the format holds a million rows at most."""
+    rows = workbook_rows(path)
+    header = [c or f"column_{i + 1}" for i, c in enumerate(next(rows, []))]
+    width, missing = len(header), set(na)
+    body = [[None if c in missing else c for c in (r + [None] * width)[:width]] for r in rows]
+    return spark.createDataFrame(body, ", ".join(f"`{c}` string" for c in header))
+
+
+def write_xlsx(df: DataFrame, path: str, max_rows: int = 1_048_575) -> None:
+    """A report as a workbook, through the driver; a ValueError beyond the format's ``max_rows``, before any row is
+    fetched."""
+    _bounded(df, max_rows)
+    write_workbook(path, df.columns, [[v if v is None or isinstance(v, (int, float, str)) else str(v) for v in r] for r in df.toLocalIterator()])
+
+
+def _bounded(df: DataFrame, most: int) -> None:
+    if df.limit(most + 1).count() > most:
+        raise ValueError(f"more than {most} rows")
 
 
 def accept(spark: SparkSession, source: str | DataFrame) -> DataFrame:
@@ -48,22 +61,24 @@ def accept(spark: SparkSession, source: str | DataFrame) -> DataFrame:
 
 
 def parse_fields(column: str, fields: int | None = None) -> list:
-    """Columns of the comma-separated fields of a text cell, ragged rows filled with NULL."""
-    parts = F.split(qcol(column), r"\s*,\s*", -1)
-    return [F.nullif(F.get(parts, F.lit(i)), F.lit("")).alias(f"{column}_{i + 1}") for i in range(fields or 8)]
+    """Columns of the comma-separated fields of a text cell. Quoted fields may hold commas, ragged rows are filled with
+    NULL, empty fields are NULL, fields beyond ``fields`` (8 if not given) are left out."""
+    names = [f"{column}_{i + 1}" for i in range(fields or 8)]
+    options = {"sep": ",", "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true", "mode": "PERMISSIVE"}
+    row = F.from_csv(qcol(column), ", ".join(f"`{n}` string" for n in names), options)
+    return [F.nullif(row[n], F.lit("")).alias(n) for n in names]
 
 
 def write_csv(df: DataFrame, path: str, small: bool = False) -> None:
     """A folder of CSV parts with headers; one part for reports known to be small."""
-    (df.coalesce(1) if small else df).write.mode("overwrite").csv(path, header=True)
+    (df.coalesce(1) if small else df).write.mode("overwrite").csv(path, header=True, escape='"')
 
 
 def write_stata(df: DataFrame, path: str, max_rows: int = 1_000_000) -> bool:
     """A .dta file through the driver, for at most ``max_rows`` rows; a failure is logged, not raised."""
     try:
-        frame = df.limit(max_rows + 1).toPandas()
-        if len(frame) > max_rows:
-            raise ValueError(f"more than {max_rows} rows")
+        _bounded(df, max_rows)
+        frame = df.toPandas()
         frame.columns = [c.replace(".", "_").lstrip("_") or "v" for c in frame.columns]
         frame.to_stata(path, write_index=False, version=118)
     except Exception as x:  # noqa: BLE001
