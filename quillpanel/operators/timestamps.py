@@ -15,7 +15,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillpanel.session import qcol
+from quillpanel.session import let, qcol, stored
 
 # Month names, as written in English and French, by number.
 MONTHS = {
@@ -58,16 +58,17 @@ _FORMS = {
 _COUNT = r"^\d{4,19}(?:\.\d{1,9})?$"
 _CANONICAL_TIME = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}\.[0-9]{6}Z$"
 _CANONICAL_DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
-LONGEST_CELL = 64
 
 
 def plain_text(cell: Column) -> Column:
-    """Lower case, ASCII digits, plain blanks, no invisible signs, trimmed."""
+    """Lower case, ASCII digits, plain and single blanks, no invisible signs, trimmed. Linear in the cell's length, and so
+    are the patterns on its result, where no run of blanks is left to try in many ways."""
     digits = "".join(chr(start + d) for start in (0x660, 0x6F0, 0xFF10) for d in range(10))
     marks, plain = "\u00a0\u2007\u2009\u202f\u3000：／－", "     :/-"
     hidden = "\u200b\u200c\u200d\u200e\u200f\u2060\ufeff"
-    ascii_only = cell.rlike(r"^[\x20-\x7e]*$")
-    return F.lower(F.when(ascii_only, F.trim(cell)).otherwise(F.regexp_replace(F.translate(cell, digits + marks + hidden, "0123456789" * 3 + plain), r"^\s++|\s++$", "")))
+    usual = cell.rlike(r"^[\x20-\x7e]*$") & ~F.contains(cell, F.lit("  "))
+    unified = F.translate(cell, digits + marks + hidden, "0123456789" * 3 + plain)
+    return F.lower(F.trim(F.when(usual, cell).otherwise(F.regexp_replace(unified, r"\s++", " "))))
 
 
 def _month_number(name: Column) -> Column:
@@ -104,12 +105,12 @@ def _counted(text: Column, years: tuple[int, int]) -> Column:
     return F.coalesce(*readings)
 
 
-def read_cells(df: DataFrame, text: str, month_first: str, years: tuple[int, int]) -> DataFrame:
+def read_cells(df: DataFrame, text: str, month_first: str, years: tuple[int, int], keep_unread: bool = False) -> DataFrame:
     """The rows of ``df`` whose cell ``text`` denotes a time, with days (since 1970), us_of_day, offset_us, zone, utc_us.
 
-    Missing-value marks, impossible dates and anything unreadable give no row; cells of more than
-    ``LONGEST_CELL`` signs denote no time. Only plain projections, each step computed once and compiled."""
-    plain = df.withColumn("__t", F.when(F.length(qcol(text)) <= LONGEST_CELL, plain_text(qcol(text))))
+    Missing-value marks, impossible dates and anything unreadable give no row (with ``keep_unread`` a row of NULLs);
+    cells of any length are read whole. Only plain projections, each step computed once and compiled."""
+    plain = df.withColumn("__t", plain_text(qcol(text)))
     t, unified = F.col("__t"), None
     for probe, (pattern, places) in _FORMS.items():
         one = F.regexp_replace(t, pattern, _SEP.join(f"${i}" if i else "" for i in places))
@@ -153,7 +154,8 @@ def read_cells(df: DataFrame, text: str, month_first: str, years: tuple[int, int
         F.when(~valid | F.col("__days").isNull(), counted).alias("utc_us"),
     )
     # unread cells leave in a generator: a filter would be pushed below and repeat the reading
-    return clock.select(*(qcol(c) for c in df.columns), F.inline(F.array_compact(F.array(F.when(days.isNotNull(), said)))))
+    rows = F.array_compact(F.array(F.when(days.isNotNull(), said)))
+    return clock.select(*(qcol(c) for c in df.columns), F.inline_outer(rows) if keep_unread else F.inline(rows))
 
 
 def local_us() -> Column:
@@ -170,15 +172,25 @@ def _violation(local: Column, zone: str, ingested: Column, tolerance_us: int) ->
     return ((lag < 0) | (lag > tolerance_us)).cast("int")
 
 
+def _zone_costs(local: Column, ingested: Column, candidates: Sequence[str], tolerance_us: int) -> list[Column]:
+    """Aggregates: the violations of each candidate, v0 and on; NULL where there is no evidence."""
+    return [F.sum(_violation(local, z, ingested, tolerance_us)).alias(f"v{i}") for i, z in enumerate(candidates)]
+
+
+def _cheapest(candidates: Sequence[str]) -> Column:
+    """The candidate with the fewest violations, the first of equal ones; NULL without evidence."""
+    ranked = F.array_min(F.array(*(F.struct(F.col(f"v{i}").alias("v"), F.lit(i).alias("i")) for i in range(len(candidates)))))
+    return F.when(F.col("v0").isNotNull(), F.element_at(F.array(*map(F.lit, candidates)), ranked["i"] + 1))
+
+
 def estimate_zones(evidence: DataFrame, group: str, local: str, ingested: str, candidates: Sequence[str], tolerance_us: int = 3_600_000_000) -> DataFrame:
     """For each ``group`` the candidate offset history with the fewest violations.
 
     A violation is a local time that, read in the candidate, lies after its ingestion or more than
     ``tolerance_us`` before it. Ties go to the candidate named first. Partial aggregates only, so a group may be
     of any size. NULL groups form one group. Returns (group, est_zone)."""
-    costs = evidence.groupBy(qcol(group)).agg(*(F.sum(_violation(qcol(local), z, qcol(ingested), tolerance_us)).alias(f"v{i}") for i, z in enumerate(candidates)))
-    ranked = F.array_min(F.array(*(F.struct(F.col(f"v{i}").alias("v"), F.lit(i).alias("i")) for i in range(len(candidates)))))
-    return costs.select(qcol(group), F.element_at(F.array(*map(F.lit, candidates)), ranked["i"] + 1).alias("est_zone"))
+    costs = evidence.groupBy(qcol(group)).agg(*_zone_costs(qcol(local), qcol(ingested), candidates, tolerance_us))
+    return costs.select(qcol(group), _cheapest(candidates).alias("est_zone"))
 
 
 def normalize_times(
@@ -205,7 +217,10 @@ def normalize_times(
     plain counts of time units can lie, which tells their unit and origin.
     Cells that are NULL, empty, missing-value marks, impossible or unreadable give no row. Ambiguous local times
     mean the first occurrence. Equal rows each give their rows; an empty table gives none. The distinct zones are
-    read to the driver: they are names of the IANA database, fewer than ``max_zones``, else ValueError."""
+    read to the driver: they are names of the IANA database, fewer than ``max_zones``, else ValueError.
+
+    Two passes: one aggregates what the rows say about each sequence's zone and is written as a table of one row for
+    each sequence, the other reads all cells; that table is joined by its real size."""
     zones = [r[0] for r in places.select(qcol(zone)).filter(qcol(zone).isNotNull()).groupBy(qcol(zone)).count().orderBy(F.desc("count"), qcol(zone)).limit(max_zones + 1).collect()]
     if len(zones) > max_zones:
         raise ValueError(f"more than {max_zones} zones in the table of places")
@@ -225,39 +240,41 @@ def normalize_times(
         form = _CANONICAL_DATE if name in date_fields else _CANONICAL_TIME
         return F.when(qcol(name).isNotNull() & ~qcol(name).rlike(form), F.struct(F.lit(name).alias("field"), qcol(name).alias("text")))
 
-    def cells(part: DataFrame) -> DataFrame:
-        stacked = part.select(qcol(key), "__sequence", "__ingested", "__month_first", "__zone", F.explode(F.array_compact(F.array(*(cell(f) for f in fields)))).alias("__c"))
-        open_cells = stacked.select(qcol(key), "__sequence", "__ingested", "__month_first", "__zone", F.col("__c.field").alias("field"), F.col("__c.text").alias("__text"))
-        return read_cells(open_cells, "__text", "__month_first", years)
-
-    dated = F.col("field").isin(*date_fields) if date_fields else F.lit(False)
-
-    def converted(part: DataFrame, zone_column: Column) -> DataFrame:
-        utc = (
-            F.when(dated, F.col("days").cast("bigint") * DAY_US)
-            .when(F.col("utc_us").isNotNull(), F.col("utc_us"))
-            .when(F.col("offset_us").isNotNull(), local_us() - F.col("offset_us"))
-            .otherwise(local_to_utc(local_us(), zone_column))
-        )
-        return part.select(qcol(key), "field", utc.alias("utc_us"))
-
     zoned = rows.join(lookup, F.col("__at") == F.col("__place"), "left")
-    located = converted(cells(zoned.filter(F.col("__zone").isNotNull())), F.col("__zone"))
-    # rows without a place: what their own anchor says, then what the anchors of their sequence say
-    lost = cells(zoned.filter(F.col("__zone").isNull()))
-    zoneless = (F.col("field") == anchor) & F.col("offset_us").isNull() & F.col("zone").isNull() & F.col("utc_us").isNull()
-    anchored = lost.filter(zoneless).select("__sequence", "__ingested", local_us().alias("__local"))
-    by_sequence = estimate_zones(anchored, "__sequence", "__local", "__ingested", zones)
-    near = _sequence_zones(zoned, zones).join(by_sequence, F.col("__known").eqNullSafe(F.col("__sequence")), "full").select(
-        F.coalesce("__known", "__sequence").alias("__seq"), F.coalesce("est_zone", "__usual").alias("__est")
-    )
+    lost = F.col("__zone").isNull()
+    zoneless = F.col("offset_us").isNull() & F.col("zone").isNull() & F.col("utc_us").isNull()
+
+    # first pass: where the place is known, its zone counts; elsewhere the anchor's violations do
+    witness = zoned.select("__sequence", "__ingested", "__month_first", "__zone", F.when(lost, cell(anchor)["text"]).alias("__text"))
+    said = read_cells(witness, "__text", "__month_first", years, keep_unread=True)
+    counts = [F.sum((F.col("__zone") == z).cast("long")).alias(f"n{i}") for i, z in enumerate(zones)]
+    evidence = said.groupBy("__sequence").agg(*counts, *_zone_costs(F.when(lost & zoneless, local_us()), F.col("__ingested"), zones, 3_600_000_000))
+    usual = F.array_max(F.array(*(F.struct(F.col(f"n{i}").alias("n"), F.lit(-i).alias("i")) for i in range(len(zones)))))
+    usual_zone = F.when(usual["n"] > 0, F.element_at(F.array(*map(F.lit, zones)), 1 - usual["i"]))
+    name = lambda c: F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit(""))  # noqa: E731  NULL is a sequence, too
+    near = stored(evidence.select(name(F.col("__sequence")).alias("__seq"), F.coalesce(_cheapest(zones), usual_zone).alias("__est")))
+
+    # second pass: every cell
+    placed = zoned.withColumn("__look", F.when(lost, name(F.col("__sequence")))).join(near, F.col("__look") == F.col("__seq"), "left")
+    stacked = placed.select(qcol(key), "__ingested", "__month_first", "__zone", "__est", F.explode(F.array_compact(F.array(*(cell(f) for f in fields)))).alias("__c"))
+    open_cells = stacked.select(qcol(key), "__ingested", "__month_first", "__zone", "__est", F.col("__c.field").alias("field"), F.col("__c.text").alias("__text"))
+    read = read_cells(open_cells, "__text", "__month_first", years)
     fitting = F.filter(
         F.array(*(F.struct(_violation(local_us(), z, F.col("__ingested"), own_tolerance_us).alias("v"), F.lit(z).alias("z")) for z in zones)),
         lambda x: x["v"] == 0,
     )
-    decided = F.when((F.col("field") == anchor) & (F.size(fitting) == 1), F.get(fitting, F.lit(0))["z"])
-    estimated = lost.drop("__zone").join(near, F.col("__sequence").eqNullSafe(F.col("__seq")), "left")
-    return located.unionByName(converted(estimated, F.coalesce(decided, F.col("__est"), F.lit(zones[0]))))
+    # a row without a place: what its own anchor says, then what its sequence says
+    only = let(fitting, lambda z: F.when(F.size(z) == 1, F.get(z, F.lit(0))["z"]))
+    decided = F.when(lost & (F.col("field") == anchor) & zoneless, only)
+    zone_of = F.coalesce(F.col("__zone"), decided, F.col("__est"), F.lit(zones[0]))
+    dated = F.col("field").isin(*date_fields) if date_fields else F.lit(False)
+    utc = (
+        F.when(dated, F.col("days").cast("bigint") * DAY_US)
+        .when(F.col("utc_us").isNotNull(), F.col("utc_us"))
+        .when(F.col("offset_us").isNotNull(), local_us() - F.col("offset_us"))
+        .otherwise(local_to_utc(local_us(), zone_of))
+    )
+    return read.select(qcol(key), "field", utc.alias("utc_us"))
 
 
 def _ntz_micros(c: Column) -> Column:
@@ -266,12 +283,3 @@ def _ntz_micros(c: Column) -> Column:
     return F.datediff(day, F.lit("1970-01-01").cast("date")).cast("bigint") * DAY_US + (
         (F.hour(c) * 3600 + F.minute(c) * 60).cast("bigint") * 1_000_000 + F.round(F.extract(F.lit("SECOND"), c) * 1_000_000).cast("bigint")
     )
-
-
-def _sequence_zones(zoned: DataFrame, zones: Sequence[str]) -> DataFrame:
-    """The zone most rows with a known place have in each sequence: (__known, __usual); partial aggregates."""
-    counts = zoned.filter(F.col("__zone").isNotNull()).groupBy(F.col("__sequence").alias("__known")).agg(
-        *(F.sum((F.col("__zone") == z).cast("long")).alias(f"n{i}") for i, z in enumerate(zones))
-    )
-    best = F.array_max(F.array(*(F.struct(F.col(f"n{i}").alias("n"), F.lit(-i).alias("i")) for i in range(len(zones)))))
-    return counts.select("__known", F.element_at(F.array(*map(F.lit, zones)), 1 - best["i"]).alias("__usual"))

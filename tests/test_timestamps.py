@@ -46,6 +46,11 @@ def test_forms(spark, cell, expected):
     assert run(spark, [cell]) == {0: us(*expected)}
 
 
+def test_long_cells_are_read_whole(spark):
+    blanks = " " * 200_000
+    assert run(spark, ["2017-03-01 09:00:05" + blanks, blanks + "2017-03-01" + blanks + "09:00:05", "2017-03-01 09:00" + "\t" * 50_000 + "x!", "1" * 100_000, "2017-03-01" + "-" * 100_000]) == {0: us(2017, 3, 1, 7, 0, 5), 1: us(2017, 3, 1, 7, 0, 5)}
+
+
 def test_month_first_only_with_slashes_in_english_forms(spark):
     assert run(spark, ["03/04/2017 10:00:00", "03.04.2017 10:00:00", "3/4/17 2:05pm"], lang="en") == {0: us(2017, 3, 4, 8), 1: us(2017, 4, 3, 7), 2: us(2017, 3, 4, 12, 5)}
 
