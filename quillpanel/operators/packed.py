@@ -22,7 +22,9 @@ SOFT_DELIMITERS = "/&+"
 SOFT_WORDS = ("et", "and", "-")
 
 _OPEN, _CLOSE = "", ""
-_BLANK = r"[  　﻿]"
+_BLANKS = "  　﻿"
+_BLANK = f"[{_BLANKS}]"
+_WHITE = _BLANKS + " \t\n\x0b\f\r"
 _ALNUM = r"[\p{L}\p{N}]"
 # A span starts at a quote not preceded, and ends at one not followed, by a letter or digit. A doubled quote
 # makes two spans that touch; they land in one slot and are undoubled there.
@@ -31,6 +33,12 @@ _SPAN = (
     rf"|“[^”]*+”|«[^»]*+»|„[^“”]*+[“”]"
     rf"|(?<!{_ALNUM})'[^']*+'(?!{_ALNUM})"
 )
+# What is one value although it holds signs that separate identifiers: N/A, dates, clock times.
+_WHOLE = (
+    rf"(?<!{_ALNUM})[nN]/[aA](?!{_ALNUM})"
+    rf"|(?<!{_ALNUM})(?:\d{{4}}-\d{{1,2}}-\d{{1,2}}|\d{{4}}/\d{{1,2}}/\d{{1,2}}|\d{{1,2}}-\d{{1,2}}-\d{{2,4}}|\d{{1,2}}/\d{{1,2}}/\d{{2,4}})"
+    rf"(?:[T ]\d{{1,2}}:\d{{2}}(?::\d{{2}})?)?(?!{_ALNUM})"
+)
 _QUOTE_PAIRS = {'"': '"', "“": "”", "«": "»", "„": "“”", "'": "'"}
 
 
@@ -50,12 +58,22 @@ class PackedField:
         if self.soft:
             words = "|".join(SOFT_WORDS)
             choices.append(rf"(?<={_BLANK})(?i:{words})(?={_BLANK})")
-        core = rf"{_BLANK}*+(?:{'|'.join(choices)}){_BLANK}*+"
-        return f"{core}|{_BLANK}++" if self.blanks else core
+        core = "|".join(choices)
+        # a run of blanks is one match, with or without a sign in it; elsewhere slots lose their blanks later
+        return f"{_BLANK}*+(?:{core}){_BLANK}*+|{_BLANK}++" if self.blanks else core
+
+    def spans(self) -> str:
+        """What is replaced by placeholders before the text is split."""
+        return f"{_SPAN}|{_WHOLE}" if self.soft else _SPAN
+
+    def marks(self) -> str:
+        """What every cell with a span holds."""
+        signs = "".join(sorted({*_QUOTE_PAIRS, *"".join(_QUOTE_PAIRS.values())}))
+        return f"[{signs}{_OPEN}]" + (r"|(?i:n/a)|\d[-/]\d" if self.soft else "")
 
 
 def _strip(c: Column) -> Column:
-    return F.regexp_replace(c, r"^[\s 　﻿]++|[\s 　﻿]++$", "")
+    return F.btrim(c, F.lit(_WHITE))
 
 
 def _unquote(c: Column) -> Column:
@@ -78,12 +96,13 @@ def _unquote(c: Column) -> Column:
 def packed_slots(cell: Column, how: PackedField) -> Column:
     """array<string> of a cell's slots in order, empty ones included; NULL for a NULL cell.
 
-    Row-local and linear in the length of the cell, so very long cells are split whole."""
-    trimmed = F.regexp_replace(cell, rf"^{_BLANK}++|{_BLANK}++$", "")
+    Row-local and linear in the length of the cell, so very long cells are split whole. Only cells that can hold a
+    span take the way through placeholders."""
+    trimmed, span = F.btrim(cell, F.lit(_BLANKS)), how.spans()
     guarded = F.replace(trimmed, F.lit(_OPEN), F.lit(f"{_OPEN}x{_CLOSE}"))
 
     def split_guarded(text: Column) -> Column:
-        return let(F.regexp_extract_all(text, F.lit(f"({_SPAN})"), F.lit(1)), lambda spans: with_spans(text, spans))
+        return let(F.regexp_extract_all(text, F.lit(f"({span})"), F.lit(1)), lambda spans: with_spans(text, spans))
 
     def with_spans(text: Column, spans: Column) -> Column:
         def hold(gap: Column, i: Column) -> Column:
@@ -97,13 +116,14 @@ def packed_slots(cell: Column, how: PackedField) -> Column:
                 F.concat(F.replace(lookup, F.lit(f"{_OPEN}x{_CLOSE}"), F.lit(_OPEN)), F.substring(piece, F.length(mark) + 2, F.length(piece)))
             )
 
-        held = F.array_join(F.transform(F.split(text, _SPAN, -1), hold), "")
+        held = F.array_join(F.transform(F.split(text, span, -1), hold), "")
         return F.transform(
             F.split(F.when(F.size(spans) > 0, held).otherwise(text), how.pattern(), -1),
             lambda slot: _unquote(F.when(F.contains(slot, F.lit(_OPEN)), F.array_join(F.transform(F.split(slot, _OPEN, -1), back), "")).otherwise(slot)),
         )
 
-    return let(guarded, split_guarded)
+    plain = F.transform(F.split(trimmed, how.pattern(), -1), _strip)
+    return F.when(trimmed.rlike(how.marks()), let(guarded, split_guarded)).otherwise(plain)
 
 
 def unpack_values(df: DataFrame, key: str, fields: Mapping[str, PackedField], min_values: int = 2) -> DataFrame:
@@ -113,10 +133,14 @@ def unpack_values(df: DataFrame, key: str, fields: Mapping[str, PackedField], mi
     cells give no row; an empty table gives an empty result; repeated rows each give their own rows; columns
     named field, pos or item in ``df`` don't clash, as only ``key`` and the cells are read."""
     cell, slot = fresh(df, "__cell"), fresh(df, "__slot")
+    # a cell without any separator has one value at most
+    parted = F.lit(min_values < 2)
+    for name, how in fields.items():
+        parted = parted | ((qcol(cell)["field"] == name) & qcol(cell)["text"].rlike(how.pattern()))
     stacked = df.select(
         qcol(key),
         F.explode(F.array(*(F.struct(F.lit(name).alias("field"), qcol(name).alias("text")) for name in fields))).alias(cell),
-    ).filter(qcol(cell)["text"].isNotNull())
+    ).filter(qcol(cell)["text"].isNotNull() & parted)
     slots = None
     for name, how in fields.items():
         one = packed_slots(qcol(cell)["text"], how)

@@ -67,16 +67,19 @@ QUERIES: dict[str, Query] = {**survey_queries.QUERIES, **more_queries.QUERIES, "
 
 _QUOTED = r"""(?:"(?:[^"]|"")*"|“[^”]*”|«[^»]*»|'[^']*')"""
 _SIGNS = r",;|\t\n\r，；｜、،؛"
+# N/A and dates keep their slashes: a sign that no cell holds stands for them meanwhile
+_WHOLE_SQL = r"""regexp_replace(regexp_replace({}, '\b(n)/(a)\b', '\1' || chr(31) || '\2', 'gi'), '\b(\d{{1,4}})/(\d{{1,2}})/(\d{{1,4}})\b', '\1' || chr(31) || '\2' || chr(31) || '\3', 'g')"""
 _P1_SQL = rf"""
     WITH c AS (
-        SELECT fix_id, 'what' AS field, regexp_replace(regexp_replace(trim(what), '\s+(et|and|-)\s+', ',', 'gi'), '[/&+]', ',', 'g') AS t FROM corrections
-        UNION ALL SELECT fix_id, 'fix_database', regexp_replace(regexp_replace(regexp_replace(trim(fix_database), '\s+(et|and|-)\s+', ',', 'gi'), ' *[/&+{_SIGNS}] *', ',', 'g'), ' +', ',', 'g') FROM corrections
+        SELECT fix_id, 'what' AS field, regexp_replace(regexp_replace({_WHOLE_SQL.format("trim(what)")}, '\s+(et|and|-)\s+', ',', 'gi'), '[/&+]', ',', 'g') AS t FROM corrections
+        UNION ALL SELECT fix_id, 'fix_database', regexp_replace(regexp_replace(regexp_replace({_WHOLE_SQL.format("trim(fix_database)")}, '\s+(et|and|-)\s+', ',', 'gi'), ' *[/&+{_SIGNS}] *', ',', 'g'), ' +', ',', 'g') FROM corrections
         UNION ALL SELECT fix_id, 'change_to', trim(change_to, ' ') FROM corrections),
     s AS (SELECT fix_id, field, regexp_extract_all(t || ',', '((?:{_QUOTED.replace("'", "''")}|[^{_SIGNS}])*)[{_SIGNS}]', 1) AS l FROM c WHERE t IS NOT NULL),
     u AS (SELECT fix_id, field, unnest(l) AS x, unnest(range(1, len(l) + 1)) AS pos FROM s),
     v AS (SELECT fix_id, field, pos, trim(x, ' ' || chr(9) || chr(10) || chr(13)) AS x FROM u),
-    w AS (SELECT fix_id, field, pos, CASE WHEN x LIKE '"%"' AND len(x) > 1 THEN replace(x[2:-2], '""', '"') WHEN len(x) > 1 AND (x LIKE '“%”' OR x LIKE '«%»' OR x LIKE '''%''') THEN x[2:-2] ELSE x END AS item FROM v)
-    SELECT fix_id, field, pos, trim(item) AS item FROM w WHERE trim(item) <> '' QUALIFY count(*) OVER (PARTITION BY fix_id, field) >= 2"""
+    w AS (SELECT fix_id, field, pos, CASE WHEN x LIKE '"%"' AND len(x) > 1 THEN replace(x[2:-2], '""', '"') WHEN len(x) > 1 AND (x LIKE '“%”' OR x LIKE '«%»' OR x LIKE '''%''') THEN x[2:-2] ELSE x END AS y FROM v),
+    z AS (SELECT fix_id, field, pos, replace(y, chr(31), '/') AS item FROM w)
+    SELECT fix_id, field, pos, trim(item) AS item FROM z WHERE trim(item) <> '' QUALIFY count(*) OVER (PARTITION BY fix_id, field) >= 2"""
 _P4_SQL = r"""
     WITH names AS (
         SELECT assess_group AS g, lower(regexp_replace(n, '[^\p{L}\p{N}]', '', 'g')) AS k, min(upper(trim(homogenized_name))) AS field

@@ -34,6 +34,19 @@ def test_codes_with_words_and_blanks(spark):
     assert [[v for _, v in got[i]] for i in range(5)] == [["EGRA", "ODK"], ["EGMA", "EGRA"], ["A", "B"], ["EGRA", "SEL"], ["EGRA", "ODK", "SEL"]]
 
 
+def test_not_applicable_dates_and_times_are_one_value(spark):
+    cells = ["N/A, AGE", "n/a; EGMA / SEX", "12/05/2017 07:29, AGE", "2017-3-1 & N/A", "N/AGE", "SAN/A, B", '"N/A, x" | 1/2']
+    what = unpack(spark, cells, CORRECTION_FIELDS["what"])
+    assert [[v for _, v in what[i]] for i in range(7)] == [["N/A", "AGE"], ["n/a", "EGMA", "SEX"], ["12/05/2017 07:29", "AGE"], ["2017-3-1", "N/A"], ["N", "AGE"], ["SAN", "A", "B"], ["N/A, x", "1", "2"]]
+    bases = unpack(spark, cells, CORRECTION_FIELDS["fix_database"])
+    assert [[v for _, v in bases[i]] for i in range(4)] == [["N/A", "AGE"], ["n/a", "EGMA", "SEX"], ["12/05/2017 07:29", "AGE"], ["2017-3-1", "N/A"]]
+
+
+def test_long_runs_of_blanks(spark):
+    for how in (PackedField(), CORRECTION_FIELDS["what"], CORRECTION_FIELDS["fix_database"]):
+        assert unpack(spark, ["a" + " " * 200_000 + "," + "\t" * 100_000 + "b" + " " * 200_000], how)[0][0] == (1, "a")
+
+
 def test_identifiers_keep_inner_blanks(spark):
     assert unpack(spark, ["whole observation", "AGE and GRADE"], CORRECTION_FIELDS["what"]) == {1: [(1, "AGE"), (2, "GRADE")]}
 
