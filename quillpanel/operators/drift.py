@@ -21,6 +21,7 @@ from quillpanel.functions.coding import code_pairs, code_set
 from quillpanel.session import fresh, let, qcol
 
 RESCUE = "_rescued"
+ORIGIN = "_origin"
 UNPARSED = "_unparsed"  # in the rescue column: a payload that can't be read, as text
 
 
@@ -99,11 +100,14 @@ def ingest(records: DataFrame, names: DataFrame, *, group: str, payload: str) ->
     return joined.withColumn("__entries", F.coalesce(entries, F.array().cast("array<struct<field:string,raw:string,kind:string,value:variant>>"))).withColumn("__unparsed", unread).drop("__map", "__sheet", "__sheet_group")
 
 
-def typed_table(ingested: DataFrame, target: Mapping[str, str], keep: Sequence[str], recode: DataFrame | None = None, *, group: str = "assess_group", wave: str = "wave") -> DataFrame:
+def typed_table(ingested: DataFrame, target: Mapping[str, str], keep: Sequence[str], recode: DataFrame | None = None, *, group: str = "assess_group", wave: str = "wave", origin: bool = False) -> DataFrame:
     """``keep`` columns, one typed column for each field of ``target``, and ``_rescued``: a JSON object (under their
     raw names) of all fields that the target doesn't have, all values that don't fit their type without loss, and all
     but the first fitting value of a field; a payload that can't be read is there as text, as ``_unparsed``.
 
+    origin: adds ``_origin``, array<struct<field, raw, kind>>: under which name and as what kind of JSON value each of the
+    record's fields came in, typed or rescued; ``file_changes`` reads it.
+
     recode: ``recode_map``'s rows, joined by ``group`` and ``wave``. A field with any in its group is coded: its values
     are translated, and one that its wave's code list doesn't translate is rescued, so that codes never mix."""
     if recode is not None:
@@ -139,7 +143,8 @@ def typed_table(ingested: DataFrame, target: Mapping[str, str], keep: Sequence[s
     rest = F.transform(F.filter("__entries", left), lambda e: F.struct(e["raw"].alias("key"), e["value"].alias("value")))
     unread = F.when(F.col("__unparsed").isNotNull(), F.array(F.struct(F.lit(UNPARSED).alias("key"), F.variant_get(F.to_variant_object(F.array("__unparsed")), "$[0]", "variant").alias("value"))))
     whole = F.concat(_once(rest), F.coalesce(unread, F.array().cast("array<struct<key:string,value:variant>>")))
-    return marked.select(*map(qcol, keep), *(fitting(f, k).alias(f) for f, k in target.items()), let(whole, lambda r: F.when(F.size(r) > 0, F.to_json(F.map_from_entries(r)))).alias(RESCUE))
+    traced = [F.transform("__entries", lambda e: F.struct(e["field"].alias("field"), e["raw"].alias("raw"), e["kind"].alias("kind"))).alias(ORIGIN)] if origin else []
+    return marked.select(*map(qcol, keep), *traced, *(fitting(f, k).alias(f) for f, k in target.items()), let(whole, lambda r: F.when(F.size(r) > 0, F.to_json(F.map_from_entries(r)))).alias(RESCUE))
 
 
 def _once(entries: Column) -> Column:
@@ -185,59 +190,67 @@ def dominant_types(ingested: DataFrame, fields: Sequence[str]) -> dict[str, str]
     return {f: found.get(f, "string") for f in fields}
 
 
-def previous_files(files: DataFrame, source: Sequence[str], file: str, arrived: str) -> DataFrame:
-    """Each file with ``__prev``, the file of its source received just before it; first files have none.
+def with_previous(files: DataFrame, source: Sequence[str], file: str, arrived: str, value: str) -> DataFrame:
+    """Each file with ``__prev``: a struct of ``value`` of the file of its source received just before it; first files
+    have NULL.
 
     Two levels, so that a source with any number of files fits: files are ordered within a day, and each day's
     first file takes the last file of the source's latest earlier day. A window holds one day of one source, or
     one row for each day of it. Equal times are ordered by ``file``."""
-    order = F.struct(qcol(arrived), qcol(file))
+    order, held = F.struct(qcol(arrived), qcol(file)), F.struct(qcol(value).alias("v"))
     dayed = files.withColumn("__day", F.to_date(qcol(arrived)))
-    last = dayed.groupBy(*map(qcol, source), "__day").agg(F.max_by(F.struct(qcol(file).alias("f")), order).alias("__last"))
+    last = dayed.groupBy(*map(qcol, source), "__day").agg(F.max_by(held, order).alias("__last"))
     across = last.withColumn("__before", F.lag("__last").over(Window.partitionBy(*map(qcol, source)).orderBy("__day"))).drop("__last")
-    within = F.lag(F.struct(qcol(file).alias("f"))).over(Window.partitionBy(*map(qcol, source), "__day").orderBy(qcol(arrived), qcol(file)))
+    within = F.lag(held).over(Window.partitionBy(*map(qcol, source), "__day").orderBy(qcol(arrived), qcol(file)))
     joined = dayed.withColumn("__within", within).join(across, [*source, "__day"], "left")
-    return joined.withColumn("__prev", F.coalesce(F.col("__within"), F.col("__before"))["f"]).drop("__day", "__within", "__before")
+    return joined.withColumn("__prev", F.coalesce(F.col("__within"), F.col("__before"))).drop("__day", "__within", "__before")
 
 
-def file_changes(ingested: DataFrame, codes: DataFrame, *, source: Sequence[str], group: str, file: str, wave: str, arrived: str) -> DataFrame:
-    """(source columns, file, field, change_kind): what changed from the file received just before.
+def file_changes(table: DataFrame, codes: DataFrame, *, source: Sequence[str], group: str, file: str, wave: str, arrived: str) -> DataFrame:
+    """(source columns, file, field, change_kind): what changed from the file received just before. ``table`` is a
+    ``typed_table`` with its origins.
 
     added and removed: the field is in one of the two files only. renamed: the sets of raw names differ.
     retyped: the sets of JSON kinds differ, where both files have any non-null value. recoded: both waves have
     code lists and these differ. A source's first file gives none. Records with a NULL file or source take no
-    part; a repeated record changes nothing."""
+    part; a repeated record changes nothing.
+
+    Records are read once and counted map-side; from then on a file is one row, which holds its fields (there are as
+    many as its schema has), and is compared with the row before it."""
     keys = [*source, file]
-    seen = ingested.select(*map(qcol, keys), qcol(wave).alias("__wave"), F.explode("__entries").alias("e")).groupBy(
-        *map(qcol, keys), "__wave", F.col("e.field").alias("field"), F.col("e.raw").alias("__raw"), F.col("e.kind").alias("__kind")
-    ).count()
-    catalogue = seen.groupBy(*map(qcol, keys), "field").agg(
-        F.array_sort(F.collect_set("__raw")).alias("raws"), F.array_sort(F.collect_set("__kind")).alias("kinds"), F.max("__wave").alias("__wave")
-    )
-    listed = codes.select(qcol(group).alias("__cg"), F.col("field").alias("__cf"), F.col("wave").alias("__cw"), "codes")
-    catalogue = catalogue.join(listed, (qcol(group) == F.col("__cg")) & (F.col("field") == F.col("__cf")) & (F.col("__wave") == F.col("__cw")), "left").select(
-        *map(qcol, keys), "field", "raws", "kinds", "codes"
-    )
-    files = ingested.groupBy(*map(qcol, keys)).agg(F.min(qcol(arrived)).alias(arrived))
-    pairs = previous_files(files, source, file, arrived).filter(F.col("__prev").isNotNull()).select(*map(qcol, keys), "__prev")
-    now = catalogue.join(pairs, keys).drop("__prev")
-    before = (
-        catalogue.withColumnRenamed(file, "__prev")
-        .withColumnsRenamed({"raws": "raws0", "kinds": "kinds0", "codes": "codes0"})
-        .join(pairs, [*source, "__prev"])
-        .drop("__prev")
-    )
-    both = now.join(before, [*keys, "field"], "full")
-    here, there = F.col("raws").isNotNull(), F.col("raws0").isNotNull()
-    stays = here & there
-    kinds = F.array(
-        F.when(here & ~there, "added"),
-        F.when(~here & there, "removed"),
-        F.when(stays & (F.col("raws") != F.col("raws0")), "renamed"),
-        F.when(stays & (F.size("kinds") > 0) & (F.size("kinds0") > 0) & (F.col("kinds") != F.col("kinds0")), "retyped"),
-        F.when(stays & (F.col("codes") != F.col("codes0")), "recoded"),
+    whole = F.lit(True)
+    for k in keys:
+        whole = whole & qcol(k).isNotNull()
+    said = table.filter(whole).select(*map(qcol, keys), qcol(wave).alias("__wave"), qcol(arrived).alias("__at"), F.explode_outer(ORIGIN).alias("e"))
+    seen = said.groupBy(*map(qcol, keys), F.col("e.field").alias("__field"), F.col("e.raw").alias("__raw"), F.col("e.kind").alias("__kind")).agg(F.max("__wave").alias("__wave"), F.min("__at").alias("__at"))
+    fields = seen.repartition(*map(qcol, keys)).groupBy(*map(qcol, keys), "__field").agg(
+        F.array_sort(F.collect_set("__raw")).alias("raws"), F.array_sort(F.collect_set("__kind")).alias("kinds"), F.max("__wave").alias("__wave"), F.min("__at").alias("__at")
     )
-    return both.select(*map(qcol, keys), "field", F.explode(F.array_compact(kinds)).alias("change_kind"))
+    entry = F.struct(F.col("__field").alias("field"), "raws", "kinds", F.col("__wave").alias("wave"))
+    files = fields.groupBy(*map(qcol, keys)).agg(F.min("__at").alias("__at"), F.collect_list(F.when(F.col("__field").isNotNull(), entry)).alias("__fields"))
+    listed = codes.select(qcol(group).alias("__cg"), F.struct(F.col("field").alias("f"), F.col("wave").cast("long").alias("w")).alias("k"), "codes").groupBy("__cg").agg(F.map_from_entries(F.collect_list(F.struct("k", "codes"))).alias("__codes"))
+    coded = files.join(listed, qcol(group) == F.col("__cg"), "left").drop("__cg")
+    code = lambda e: F.try_element_at(F.col("__codes"), F.struct(e["field"].alias("f"), e["wave"].cast("long").alias("w")))
+    known = F.map_from_entries(F.transform("__fields", lambda e: F.struct(e["field"], F.struct(e["raws"].alias("raws"), e["kinds"].alias("kinds"), code(e).alias("codes")))))
+    rows = with_previous(coded.select(*map(qcol, keys), "__at", known.alias("__now")), source, file, "__at", "__now").filter(F.col("__prev").isNotNull())
+
+    def changes(f: Column) -> Column:
+        def compare(now: Column, old: Column) -> Column:
+            here, there = now.isNotNull(), old.isNotNull()
+            stays = here & there
+            kinds = F.array(
+                F.when(here & ~there, "added"),
+                F.when(~here & there, "removed"),
+                F.when(stays & (now["raws"] != old["raws"]), "renamed"),
+                F.when(stays & (F.size(now["kinds"]) > 0) & (F.size(old["kinds"]) > 0) & (now["kinds"] != old["kinds"]), "retyped"),
+                F.when(stays & (now["codes"] != old["codes"]), "recoded"),
+            )
+            return F.transform(F.array_compact(kinds), lambda k: F.struct(f.alias("field"), k.alias("change_kind")))
+
+        return let(F.try_element_at(F.col("__now"), f), lambda now: let(F.try_element_at(F.col("__prev.v"), f), lambda old: compare(now, old)))
+
+    every = F.array_union(F.map_keys("__now"), F.map_keys("__prev.v"))
+    return rows.select(*map(qcol, keys), F.inline(F.flatten(F.transform(every, changes))))
 
 
 def recode_map(sheet: DataFrame, group: str, code_columns: Mapping[int, str], final: str, target: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,9 +26,9 @@ def _ingested(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    records, _ = _ingested(spark, d)
+    """The changes of each file, read off the consistent table."""
     codes = drift.sheet_codes(read_table(spark, d, "mapping_sheet"), "assess_group", {k: f"code_{w}" for k, w in WAVES.items()}, "homogenized_name")
-    return drift.file_changes(records, codes, source=["site_no", "assess_group"], group="assess_group", file="file_no", wave="wave", arrived="received_at")
+    return drift.file_changes(_typed(spark, d, ["received_at"], origin=True), codes, source=["site_no", "assess_group"], group="assess_group", file="file_no", wave="wave", arrived="received_at")
 
 
 # Target types of the sheet's fields.
@@ -38,11 +38,28 @@ TARGET = {
 }
 
 
-def p4_table(spark: SparkSession, d: str) -> DataFrame:
+def _typed(spark: SparkSession, d: str, also: Sequence[str] = (), origin: bool = False) -> DataFrame:
     records, _ = _ingested(spark, d)
     codes = drift.recode_map(read_table(spark, d, "mapping_sheet"), "assess_group", {k: f"code_{w}" for k, w in WAVES.items()}, "final_coding", "homogenized_name")
-    table = drift.typed_table(records, TARGET, ["rec_id", "site_no", "assess_group", "wave", "file_no"], codes)
-    return drift.promote(table, {"audit_flag": "boolean", "form_build": "string"})
+    return drift.typed_table(records, TARGET, ["rec_id", "site_no", "assess_group", "wave", "file_no", *also], codes, origin=origin)
+
+
+PROMOTED = {"audit_flag": "boolean", "form_build": "string"}
+
+
+def p4_table(spark: SparkSession, d: str) -> DataFrame:
+    return drift.promote(_typed(spark, d), PROMOTED)
+
+
+def p4_values(spark: SparkSession, d: str) -> DataFrame:
+    """Where each value of ``wave_records`` is in the consistent table: in a typed column or in the rescue column."""
+    table = p4_table(spark, d)
+    typed = F.array(*(F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("value"), F.lit(False).alias("rescued")) for f in (*TARGET, *PROMOTED)))
+    rescue = F.map_entries(F.from_json(drift.RESCUE, "map<string,variant>"))
+    rescued = F.transform(rescue, lambda e: F.struct(e["key"].alias("field"), F.try_variant_get(e["value"], "$", "string").alias("value"), F.lit(True).alias("rescued")))
+    cells = table.select("rec_id", F.explode(F.concat(F.filter(typed, lambda c: c["value"].isNotNull()), F.coalesce(rescued, F.array().cast("array<struct<field:string,value:string,rescued:boolean>>")))).alias("c"))
+    number = F.col("c.value").try_cast("double")
+    return cells.select("rec_id", "c.field", "c.rescued", number.alias("number"), F.when(number.isNull(), F.col("c.value")).alias("words"))
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
@@ -63,7 +80,7 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {**survey_queries.QUERIES, **more_queries.QUERIES, "p1_found": p1_found, "p4_found": p4_found, "p4_table": p4_table, "p6_found": p6_found}
+QUERIES: dict[str, Query] = {**survey_queries.QUERIES, **more_queries.QUERIES, "p1_found": p1_found, "p4_found": p4_found, "p4_table": p4_table, "p4_values": p4_values, "p6_found": p6_found}
 
 _QUOTED = r"""(?:"(?:[^"]|"")*"|“[^”]*”|«[^»]*»|'[^']*')"""
 _SIGNS = r",;|\t\n\r，；｜、،؛"
@@ -108,4 +125,28 @@ _P4_SQL = r"""
     x AS (SELECT site_no, assess_group, file_no, field, unnest([CASE WHEN r0 IS NULL THEN 'added' END, CASE WHEN r1 IS NULL THEN 'removed' END, CASE WHEN r1 <> r0 THEN 'renamed' END, CASE WHEN k1 <> k0 THEN 'retyped' END, CASE WHEN r1 IS NOT NULL AND r0 IS NOT NULL AND c1 <> c0 THEN 'recoded' END]) AS change_kind FROM j)
     SELECT * FROM x WHERE change_kind IS NOT NULL"""
 
-ORACLE: dict[str, str] = {**survey_queries.ORACLE, **more_queries.ORACLE, "p1_found": _P1_SQL, "p4_found": _P4_SQL}
+_KIND_SQL = "CASE k WHEN 'UBIGINT' THEN 'whole' WHEN 'BIGINT' THEN 'whole' WHEN 'DOUBLE' THEN 'decimal' WHEN 'VARCHAR' THEN 'text' WHEN 'BOOLEAN' THEN 'truth' END"
+_P4_VALUES_SQL = rf"""
+    WITH names AS (
+        SELECT assess_group AS g, lower(regexp_replace(n, '[^\p{{L}}\p{{N}}]', '', 'g')) AS k, min(upper(trim(homogenized_name))) AS field
+        FROM (SELECT assess_group, homogenized_name, unnest([name_by1, name_my1, name_ey1, name_by2]) AS n FROM mapping_sheet)
+        WHERE assess_group IS NOT NULL AND trim(homogenized_name) <> '' AND n IS NOT NULL GROUP BY 1, 2),
+    codes AS ({survey_queries.ORACLE["mapping_recodes"]}),
+    coded AS (SELECT DISTINCT assess_group AS g, field FROM codes),
+    kinds AS (SELECT * FROM (VALUES {", ".join(f"('{f}', '{k}')" for f, k in TARGET.items())}) AS t(field, target)),
+    long AS (SELECT rec_id, assess_group AS g, wave, payload, unnest(json_keys(payload)) AS raw, unnest(range(1, len(json_keys(payload)) + 1)) AS pos FROM wave_records WHERE json_valid(payload)),
+    said AS (SELECT rec_id, l.g, wave, raw, pos, coalesce(n.field, raw) AS field, json_type(payload, '$."' || raw || '"') AS k, json_extract_string(payload, '$."' || raw || '"') AS v
+             FROM long l LEFT JOIN names n ON n.g = l.g AND n.k = lower(regexp_replace(raw, '[^\p{{L}}\p{{N}}]', '', 'g'))),
+    kinded AS (SELECT s.*, {_KIND_SQL} AS kind, target, c.field IS NOT NULL AS is_coded, f.final_value FROM said s LEFT JOIN kinds USING (field) LEFT JOIN coded c ON c.g = s.g AND c.field = s.field
+               LEFT JOIN codes f ON f.assess_group = s.g AND f.field = s.field AND f.wave = s.wave AND f.value = s.v),
+    judged AS (SELECT *, CASE WHEN target IS NULL THEN false WHEN is_coded THEN final_value IS NOT NULL WHEN target = 'string' THEN true
+                   WHEN target = 'bigint' THEN kind IN ('whole', 'decimal', 'text') AND regexp_full_match(v, '-?(0|[1-9][0-9]*)([.]0+)?')
+                   WHEN target = 'double' THEN kind IN ('whole', 'decimal', 'text') AND regexp_full_match(v, '-?(0|[1-9][0-9]*)([.][0-9]+)?')
+                   ELSE kind = 'truth' OR (kind IN ('whole', 'text') AND v IN ('0', '1', 'true', 'false', 'yes', 'no')) END AS fits FROM kinded WHERE k <> 'NULL'),
+    placed AS (SELECT *, fits AND row_number() OVER (PARTITION BY rec_id, field, fits ORDER BY pos) = 1 AS typed,
+                   (raw = 'audit_flag' AND (kind = 'truth' OR (kind IN ('whole', 'text') AND v IN ('0', '1', 'true', 'false', 'yes', 'no')))) OR raw = 'form_build' AS promoted FROM judged),
+    told AS (SELECT rec_id, CASE WHEN typed THEN field ELSE raw END AS field, NOT typed AND NOT promoted AS rescued,
+                    CASE WHEN typed AND is_coded THEN final_value WHEN (typed AND target = 'boolean') OR (promoted AND raw = 'audit_flag') THEN CASE WHEN v IN ('1', 'true', 'yes') THEN 'true' ELSE 'false' END ELSE v END AS value FROM placed)
+    SELECT rec_id, field, rescued, TRY_CAST(value AS DOUBLE) AS number, CASE WHEN TRY_CAST(value AS DOUBLE) IS NULL THEN value END AS words FROM told"""
+
+ORACLE: dict[str, str] = {**survey_queries.ORACLE, **more_queries.ORACLE, "p1_found": _P1_SQL, "p4_found": _P4_SQL, "p4_values": _P4_VALUES_SQL}

@@ -27,7 +27,8 @@ def changes(spark, sheet, files):
     names = drift.sheet_names(sheet, "g", ["n1", "n2"], "h")
     codes = drift.sheet_codes(sheet, "g", {1: "c1", 2: "c2"}, "h")
     ingested = drift.ingest(records(spark, files), names, group="g", payload="payload")
-    out = drift.file_changes(ingested, codes, source=["site", "g"], group="g", file="f", wave="w", arrived="at")
+    table = drift.typed_table(ingested, {"AGE": "bigint", "SEX": "bigint"}, ["rec", "site", "g", "f", "w", "at"], drift.recode_map(sheet, "g", {1: "c1", 2: "c2"}, "fin", "h"), group="g", wave="w", origin=True)
+    out = drift.file_changes(table, codes, source=["site", "g"], group="g", file="f", wave="w", arrived="at")
     return sorted((r.f, r.field, r.change_kind) for r in out.collect())
 
 
