@@ -92,6 +92,14 @@ def window_fingerprints(shingles: np.ndarray, span: int) -> np.ndarray:
     return np.packbits(sign, axis=1, bitorder="little").view("<u8").reshape(-1)
 
 
+def fingerprints_at(shingles: np.ndarray, at: np.ndarray, span: int) -> np.ndarray:
+    """SimHash of the runs of ``span`` shingles that begin ``at``."""
+    if len(at) * span > len(shingles):
+        return window_fingerprints(shingles, span)[at]
+    out = [window_fingerprints(shingles[rows[:, None] + np.arange(span)].reshape(-1), span)[::span] for rows in np.array_split(at, len(at) // 20_000 + 1) if len(rows)]
+    return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
+
+
 def _before(shingles: np.ndarray) -> np.ndarray:
     """Where each shingle last occurred before, -1 if nowhere."""
     order = np.argsort(shingles, kind="stable")
@@ -131,7 +139,15 @@ class ItemIndex:
         edges = np.linspace(0, BITS, self.radius + 2).astype(int)
         return [(int(a), int(b - a)) for a, b in zip(edges, edges[1:])]
 
+    def possible(self, shingles: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Those of the windows beginning ``at`` that hold no shingle which the items don't have; others equal no
+        item's window."""
+        spot = np.minimum(np.searchsorted(self.known, shingles), len(self.known) - 1)
+        strange = np.append(0, np.cumsum(self.known[spot] != shingles)) if len(self.known) else np.arange(len(shingles) + 1)
+        return at[strange[at + self.window - SHINGLE + 1] == strange[at]]
+
     def prepare(self) -> ItemIndex:
+        self.known = np.unique(self.shingles) if self.shingles is not None else np.zeros(0, np.uint64)
         self.tables = []
         for shift, width in self.shifts:
             key = (self.prints >> np.uint64(shift)) & np.uint64((1 << width) - 1)
@@ -303,7 +319,7 @@ def find_leaks(
             blocks.append(block)
             block, size = [], 0
     blocks = [*blocks, block] if block or not blocks else blocks
-    docs = documents.select(qcol(doc_key).cast("long").alias("doc"), qcol(doc_text).alias("t")).filter(F.length("t") >= 2 * window - 1)
+    docs = documents.select(qcol(doc_key).cast("long").alias("doc"), qcol(doc_text).alias("t")).filter(F.length("t") > 0)
     found = None
     for one in blocks:
         shared = spark.sparkContext.broadcast(index_items(one, window, bits))
@@ -337,8 +353,10 @@ def _searcher(shared, window: int, min_similarity: float, piece_words: int, comp
             for (doc, item), (n, most) in hits.items():
                 yield int(doc), item, n, most
             return
-        fp = window_fingerprints(shingle_hashes(hashes), span)
-        doc_window, item_window = index.candidates(fp[at])
+        shingles = shingle_hashes(hashes)
+        at = index.possible(shingles, at) if min_similarity >= 1.0 else at
+        fp = fingerprints_at(shingles, at, span)
+        doc_window, item_window = index.candidates(fp)
         views = np.lib.stride_tricks.sliding_window_view(hashes, window)[at[doc_window]]
         same = (views == index.words[item_window]).all(axis=1)
         score = same.astype(float)
