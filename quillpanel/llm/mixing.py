@@ -134,7 +134,7 @@ def mix_sources(
     block_tokens: int = 20_000,
     seed: int = 7,
     max_sources: int = 100_000,
-    max_shards: int = 1_000_000,
+    max_counts: int = 5_000_000,
     tokenizer_file: str = TOKENIZER_FILE,
 ) -> tuple[DataFrame, DataFrame]:
     """(mixture, report).
@@ -143,7 +143,8 @@ def mix_sources(
     report: source, target_share, actual_share, n_tokens, n_docs, most_copies.
     A document is used at most ``cap`` times and at most once in each pass. NULL, blank-source and token-less
     documents and sources without a target take no part; a repeated row is a document of its own only if its key
-    differs in value or it stands in the table again. Empty tables give an empty mixture and a report of zeros."""
+    differs in value or it stands in the table again. The tree's counts (sources x shards) are made on the driver: a
+    ValueError asks for larger shards where there would be more than ``max_counts``. Empty tables give an empty mixture and a report of zeros."""
     spark = docs.sparkSession
     goals = [(r[0], float(r[1] or 0), int(r[2] or 0)) for r in targets.select(source, share, cap).filter(qcol(source).isNotNull()).limit(max_sources + 1).collect()]
     if len(goals) > max_sources:
@@ -169,7 +170,9 @@ def mix_sources(
     # block quotas to shards
     quotas = [q.passes * q.blocks + last_blocks.get(q.source, 0) for q in plans]
     size = sum(q.quota for q in plans)
-    shards = max(1, min(max_shards, -(-size // shard_tokens), max(1, sum(quotas))))
+    shards = max(1, min(-(-size // shard_tokens), max(1, sum(quotas))))
+    if shards * len(plans) > max_counts:
+        raise ValueError(f"{shards} shards of {len(plans)} sources: the tree's counts would be more than {max_counts}; make shard_tokens larger")
     counts = splitting_tree(quotas, shards, seed) if plans else np.zeros((0, 0), dtype=np.int64)
     ends = counts.cumsum(axis=0)
     leaves = [(q.source, j, int(ends[j, i] - counts[j, i]), int(ends[j, i])) for i, q in enumerate(plans) for j in range(shards) if counts[j, i]]

@@ -86,13 +86,35 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return _mixed(spark, d)[1]
 
 
+def p9_checks(spark: SparkSession, d: str) -> DataFrame:
+    """What must hold of the mixture, for each source: its tokens are within a document of its share, no document is
+    there more often than the cap or twice in one pass, whole passes are whole, and places in shards are 1, 2, 3 ..."""
+    mixture, targets = p9_mixture(spark, d), read_table(spark, d, "mix_targets")
+    docs = read_table(spark, d, "documents").filter("text IS NOT NULL AND text <> ''").groupBy("source").agg(F.count("*").alias("n_docs"))
+    uses = mixture.groupBy("source", "doc_id").agg(F.count("*").alias("n"), F.countDistinct("copy").alias("passes"), F.max("copy").alias("last"), F.max("n_tokens").alias("size"))
+    per = uses.groupBy("source").agg(F.max("n").alias("most"), F.bool_and(F.col("n") == F.col("passes")).alias("once"), F.max("size").alias("largest"), F.max("last").alias("last"), F.sum(F.col("size") * F.col("n")).alias("tokens"), F.count("*").alias("used"))
+    shards = mixture.groupBy("shard").agg(F.count("*").alias("n"), F.min("place").alias("first"), F.max("place").alias("end"), F.countDistinct("place").alias("places"))
+    placed = shards.agg(F.bool_and((F.col("first") == 1) & (F.col("end") == F.col("n")) & (F.col("places") == F.col("n"))).alias("placed")).withColumn("one", F.lit(1))
+    total = per.agg(F.sum("tokens").alias("all_tokens")).withColumn("one", F.lit(1))
+    wide = targets.withColumn("one", F.lit(1)).join(per, "source").join(docs, "source").join(total, "one").join(placed, "one")
+    share = F.col("target_share") * F.col("all_tokens")
+    return wide.select(
+        "source",
+        (F.abs(F.col("tokens") - share) <= 2 * F.col("largest")).alias("share_met"),
+        (F.col("most") <= F.col("max_repeats")).alias("within_cap"),
+        "once",
+        ((F.col("last") == 0) | (F.col("used") == F.col("n_docs"))).alias("passes_whole"),
+        "placed",
+    )
+
+
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     restored = mojibake.restored_texts(read_table(spark, d, "documents"), "doc_id", "text")
     digest = F.when(F.col("restored") == mojibake.LOST, F.col("restored")).otherwise(F.md5("restored"))
     return restored.select("doc_id", digest.alias("restored_md5"))
 
 
-QUERIES = {"p2_found": p2_found, "p2_groups": p2_groups, "p3_found": p3_found, "p5_found": p5_found, "p5_persons": p5_persons, "p7_found": p7_found, "p7_matches": p7_matches, "p8_found": p8_found, "p8_near": p8_near, "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p10_found": p10_found}
+QUERIES = {"p2_found": p2_found, "p2_groups": p2_groups, "p3_found": p3_found, "p5_found": p5_found, "p5_persons": p5_persons, "p7_found": p7_found, "p7_matches": p7_matches, "p8_found": p8_found, "p8_near": p8_near, "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p9_checks": p9_checks, "p10_found": p10_found}
 
 ORACLE = {
     "p3_found": """
@@ -107,6 +129,7 @@ ORACLE = {
         SELECT min(row_id) AS first_row_id, count(*) AS n_copies FROM p
         GROUP BY s, tablet, regexp_extract(r, '[0-9]+'), regexp_extract(r, '[A-Z]+'), assess_group, wave, age, grade, q11, q12, q1_99, score
         HAVING count(*) >= 2""",
+    "p9_checks": "SELECT source, true AS share_met, true AS within_cap, true AS once, true AS passes_whole, true AS placed FROM mix_targets",
     "p8_found": r"""
     WITH w AS (
         SELECT 'd' AS src, doc_id AS id, regexp_extract_all(lower(strip_accents(text)), '[\p{L}\p{N}]+') AS w FROM documents WHERE text IS NOT NULL
