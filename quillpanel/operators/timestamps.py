@@ -105,11 +105,11 @@ def _counted(text: Column, years: tuple[int, int]) -> Column:
     return F.coalesce(*readings)
 
 
-def read_cells(df: DataFrame, text: str, month_first: str, years: tuple[int, int], keep_unread: bool = False) -> DataFrame:
+def read_cells(df: DataFrame, text: str, month_first: str, years: tuple[int, int]) -> DataFrame:
     """The rows of ``df`` whose cell ``text`` denotes a time, with days (since 1970), us_of_day, offset_us, zone, utc_us.
 
-    Missing-value marks, impossible dates and anything unreadable give no row (with ``keep_unread`` a row of NULLs);
-    cells of any length are read whole. Only plain projections, each step computed once and compiled."""
+    Missing-value marks, impossible dates and anything unreadable give no row; cells of any length are read whole.
+    Only plain projections, each step computed once and compiled."""
     plain = df.withColumn("__t", plain_text(qcol(text)))
     t, unified = F.col("__t"), None
     for probe, (pattern, places) in _FORMS.items():
@@ -154,8 +154,7 @@ def read_cells(df: DataFrame, text: str, month_first: str, years: tuple[int, int
         F.when(~valid | F.col("__days").isNull(), counted).alias("utc_us"),
     )
     # unread cells leave in a generator: a filter would be pushed below and repeat the reading
-    rows = F.array_compact(F.array(F.when(days.isNotNull(), said)))
-    return clock.select(*(qcol(c) for c in df.columns), F.inline_outer(rows) if keep_unread else F.inline(rows))
+    return clock.select(*(qcol(c) for c in df.columns), F.inline(F.array_compact(F.array(F.when(days.isNotNull(), said)))))
 
 
 def local_us() -> Column:
@@ -219,8 +218,9 @@ def normalize_times(
     mean the first occurrence. Equal rows each give their rows; an empty table gives none. The distinct zones are
     read to the driver: they are names of the IANA database, fewer than ``max_zones``, else ValueError.
 
-    Two passes: one aggregates what the rows say about each sequence's zone and is written as a table of one row for
-    each sequence, the other reads all cells; that table is joined by its real size."""
+    What the rows say about each sequence's zone is aggregated first (of rows with a place only that is read, of the
+    others the anchor) and written as a table of one row for each sequence; then all cells are read in one pass, which
+    joins that table by its real size."""
     zones = [r[0] for r in places.select(qcol(zone)).filter(qcol(zone).isNotNull()).groupBy(qcol(zone)).count().orderBy(F.desc("count"), qcol(zone)).limit(max_zones + 1).collect()]
     if len(zones) > max_zones:
         raise ValueError(f"more than {max_zones} zones in the table of places")
@@ -244,17 +244,18 @@ def normalize_times(
     lost = F.col("__zone").isNull()
     zoneless = F.col("offset_us").isNull() & F.col("zone").isNull() & F.col("utc_us").isNull()
 
-    # first pass: where the place is known, its zone counts; elsewhere the anchor's violations do
-    witness = zoned.select("__sequence", "__ingested", "__month_first", "__zone", F.when(lost, cell(anchor)["text"]).alias("__text"))
-    said = read_cells(witness, "__text", "__month_first", years, keep_unread=True)
+    # evidence: where the place is known, its zone counts; elsewhere the anchor's violations do
+    witness = zoned.filter(lost).select("__sequence", "__ingested", "__month_first", cell(anchor)["text"].alias("__text")).filter("__text IS NOT NULL")
+    told = read_cells(witness, "__text", "__month_first", years).filter(zoneless).select("__sequence", F.lit(None).cast("string").alias("__zone"), local_us().alias("__local"), "__ingested")
+    located = zoned.filter(~lost).select("__sequence", "__zone", F.lit(None).cast("bigint").alias("__local"), F.lit(None).cast("bigint").alias("__ingested"))
     counts = [F.sum((F.col("__zone") == z).cast("long")).alias(f"n{i}") for i, z in enumerate(zones)]
-    evidence = said.groupBy("__sequence").agg(*counts, *_zone_costs(F.when(lost & zoneless, local_us()), F.col("__ingested"), zones, 3_600_000_000))
+    evidence = located.unionByName(told).groupBy("__sequence").agg(*counts, *_zone_costs(F.col("__local"), F.col("__ingested"), zones, 3_600_000_000))
     usual = F.array_max(F.array(*(F.struct(F.col(f"n{i}").alias("n"), F.lit(-i).alias("i")) for i in range(len(zones)))))
     usual_zone = F.when(usual["n"] > 0, F.element_at(F.array(*map(F.lit, zones)), 1 - usual["i"]))
     name = lambda c: F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit(""))  # noqa: E731  NULL is a sequence, too
     near = stored(evidence.select(name(F.col("__sequence")).alias("__seq"), F.coalesce(_cheapest(zones), usual_zone).alias("__est")))
 
-    # second pass: every cell
+    # every cell, in one pass
     placed = zoned.withColumn("__look", F.when(lost, name(F.col("__sequence")))).join(near, F.col("__look") == F.col("__seq"), "left")
     stacked = placed.select(qcol(key), "__ingested", "__month_first", "__zone", "__est", F.explode(F.array_compact(F.array(*(cell(f) for f in fields)))).alias("__c"))
     open_cells = stacked.select(qcol(key), "__ingested", "__month_first", "__zone", "__est", F.col("__c.field").alias("field"), F.col("__c.text").alias("__text"))
