@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillpanel.functions.coding import code_pairs, code_set
-from quillpanel.session import fresh, let, qcol
+from quillpanel.session import fresh, let, qcol, stored
 
 RESCUE = "_rescued"
 ORIGIN = "_origin"
@@ -216,7 +216,7 @@ def file_changes(table: DataFrame, codes: DataFrame, *, source: Sequence[str], g
     part; a repeated record changes nothing.
 
     Records are read once and counted map-side; from then on a file is one row, which holds its fields (there are as
-    many as its schema has), and is compared with the row before it."""
+    many as its schema has), and is compared with the row before it. The rows of the files are a written table."""
     keys = [*source, file]
     whole = F.lit(True)
     for k in keys:
@@ -232,7 +232,7 @@ def file_changes(table: DataFrame, codes: DataFrame, *, source: Sequence[str], g
     coded = files.join(listed, qcol(group) == F.col("__cg"), "left").drop("__cg")
     code = lambda e: F.try_element_at(F.col("__codes"), F.struct(e["field"].alias("f"), e["wave"].cast("long").alias("w")))
     known = F.map_from_entries(F.transform("__fields", lambda e: F.struct(e["field"], F.struct(e["raws"].alias("raws"), e["kinds"].alias("kinds"), code(e).alias("codes")))))
-    rows = with_previous(coded.select(*map(qcol, keys), "__at", known.alias("__now")), source, file, "__at", "__now").filter(F.col("__prev").isNotNull())
+    rows = with_previous(stored(coded.select(*map(qcol, keys), "__at", known.alias("__now"))), source, file, "__at", "__now").filter(F.col("__prev").isNotNull())
 
     def changes(f: Column) -> Column:
         def compare(now: Column, old: Column) -> Column:

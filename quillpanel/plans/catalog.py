@@ -39,8 +39,9 @@ TARGET = {
 
 
 def _typed(spark: SparkSession, d: str, also: Sequence[str] = (), origin: bool = False) -> DataFrame:
+    """origin: for the report of changes, which needs no translated codes."""
     records, _ = _ingested(spark, d)
-    codes = drift.recode_map(read_table(spark, d, "mapping_sheet"), "assess_group", {k: f"code_{w}" for k, w in WAVES.items()}, "final_coding", "homogenized_name")
+    codes = None if origin else drift.recode_map(read_table(spark, d, "mapping_sheet"), "assess_group", {k: f"code_{w}" for k, w in WAVES.items()}, "final_coding", "homogenized_name")
     return drift.typed_table(records, TARGET, ["rec_id", "site_no", "assess_group", "wave", "file_no", *also], codes, origin=origin)
 
 
