@@ -48,55 +48,93 @@ def _segment(n: Column, parts: Column, i: Column) -> tuple[Column, Column]:
     return start, base + F.when(i > parts - extra, 1).otherwise(0)
 
 
-def _most_edits(n: Column, tolerance: float, blanks: int) -> Column:
+# By blanks: how many a text of each class has at most. Almost all are of the first.
+_BLANKS = tuple(8**i for i in range(1, 11))
+
+
+def _blank_class(raw: Column, bare: Column) -> Column:
+    """The place of a text's blanks in ``_BLANKS``, from 0."""
+    spare, out = F.length(raw) - F.length(bare), F.lit(len(_BLANKS) - 1)
+    for i in range(len(_BLANKS) - 2, -1, -1):
+        out = F.when(spare <= _BLANKS[i], i).otherwise(out)
+    return out
+
+
+def _most_edits(n: Column, tolerance: float, spread: Column) -> Column:
     """An upper bound of the edits allowed between a stripped text of length n and any partner, whose raw length can
-    be the edits and ``blanks`` longer."""
-    return F.floor((F.lit(tolerance) * (n + blanks) + 1) / (1 - tolerance) + F.lit(1e-9)).cast("int")
+    be the edits and the blanks of class ``spread`` longer."""
+    blanks = F.element_at(F.array(*(F.lit(x) for x in _BLANKS)), spread + 1)
+    return F.floor((F.lit(tolerance) * (n + blanks) + 1) / (1 - tolerance) + F.lit(1e-9)).cast("long")
 
 
-def close_pairs(left: DataFrame, right: DataFrame, tolerance: float) -> DataFrame:
-    """(block, v, n): all pairs of a block for which ``close_names(v, n, tolerance)`` holds, and no others.
+def _tag(kind: str, *parts: Column) -> Column:
+    return F.concat_ws("|", F.lit(kind), *(p.cast("string") for p in parts))
 
-    left: (block, v), right: (block, n); tolerance below 0.5. Exact without comparing all pairs. Two texts within k
-    edits share one of any k + 1 segments of either, at a place shifted by no more than the edits before or after it
-    allow; a text within another begins with one of the other's substrings. Both are equi-joins on keys whose
-    number depends on a text's length only; candidates are then compared. Texts too short for k + 1 segments are
-    keyed by length: there are few of them. NULL and blank texts match nothing; repeated rows count once."""
-    v = left.select("block", "v").filter("block IS NOT NULL AND trim(v) <> ''").distinct().withColumn("x", without_blanks(F.col("v"))).filter("x <> ''")
-    n = right.select("block", "n").filter("block IS NOT NULL AND trim(n) <> ''").distinct().withColumn("y", without_blanks(F.col("n"))).filter("y <> ''")
-    spare = lambda df, raw, bare: df.agg(F.max(F.length(raw) - F.length(bare))).first()[0] or 0
-    blanks = max(spare(v, "v", "x"), spare(n, "n", "y"))
-    lx, ly = F.length("x"), F.length("y")
-    edits = lambda size: _most_edits(size, tolerance, blanks)
-    tag = lambda kind, *parts: F.concat_ws("|", F.lit(kind), *(p.cast("string") for p in parts))
 
-    def own_segments(k: Column) -> Column:
+def _own_segments(text: Column, tolerance: float, spread: Column) -> Column:
+    """Keys of a text for partners that look for it: its k + 1 segments, or its length where it has no so many."""
+    n = F.length(text)
+
+    def of(k: Column) -> Column:
         def key(i: Column) -> Column:
-            start, size = _segment(ly, k + 1, i)
-            return tag("s", ly, i, F.substring("y", start, size))
+            start, size = _segment(n, (k + 1).cast("int"), i)
+            return _tag("s", spread, n, i, F.substring(text, start, size))
+
+        return F.when(k + 1 > n, F.array(_tag("l", spread, n))).otherwise(F.transform(F.sequence(F.lit(1), F.least(k + 1, n).cast("int")), key))
+
+    return let(_most_edits(n, tolerance, spread), of)
 
-        return F.when(k + 1 > ly, F.array(tag("l", ly))).otherwise(F.transform(F.sequence(F.lit(1), k + 1), key))
 
-    def other_segments(size: Column) -> Column:
+def _looked_up(text: Column, tolerance: float, spread: Column) -> Column:
+    """Keys of all texts that can be within the edits of this one."""
+    n = F.length(text)
+
+    def of_size(size: Column) -> Column:
         def of(k: Column) -> Column:
-            shift = lx - size
+            shift = n - size
 
             def places(i: Column) -> Column:
-                start, length = _segment(size, k + 1, i)
-                low = F.greatest(F.lit(1), start - (i - 1), start + shift - (k + 1 - i))
-                high = F.least(lx - length + 1, start + (i - 1), start + shift + (k + 1 - i))
-                return F.when(low <= high, F.transform(F.sequence(low, high), lambda p: tag("s", size, i, F.substring("x", p, length)))).otherwise(F.array().cast("array<string>"))
+                start, length = _segment(size, (k + 1).cast("int"), i)
+                low = F.greatest(F.lit(1), start - (i - 1), start + shift - (k.cast("int") + 1 - i))
+                high = F.least(n - length + 1, start + (i - 1), start + shift + (k.cast("int") + 1 - i))
+                return F.when(low <= high, F.transform(F.sequence(low, high), lambda p: _tag("s", spread, size, i, F.substring(text, p, length)))).otherwise(F.array().cast("array<string>"))
+
+            return F.when(F.abs(shift) > k, F.array().cast("array<string>")).when(k + 1 > size, F.array(_tag("l", spread, size))).otherwise(F.flatten(F.transform(F.sequence(F.lit(1), F.least(k + 1, size).cast("int")), places)))
+
+        return let(_most_edits(size, tolerance, spread), of)
+
+    reach = _most_edits(n + _most_edits(n * 2, tolerance, spread), tolerance, spread)
+    return F.flatten(F.transform(F.sequence(F.greatest(F.lit(1), n - reach).cast("int"), (n + reach).cast("int")), of_size))
+
+
+def close_pairs(left: DataFrame, right: DataFrame, tolerance: float) -> DataFrame:
+    """(block, v, n): all pairs of a block for which ``close_names(v, n, tolerance)`` holds, and no others.
 
-            return F.when(F.abs(shift) > k, F.array().cast("array<string>")).when(k + 1 > size, F.array(tag("l", size))).otherwise(F.flatten(F.transform(F.sequence(F.lit(1), k + 1), places)))
+    left: (block, v), right: (block, n); tolerance below 0.5. Exact without comparing all pairs. Two texts within k
+    edits share one of any k + 1 segments of either, at a place shifted by no more than the edits before or after it
+    allow; a text within another begins with one of the other's substrings. Both are equi-joins on keys whose
+    number depends on a text's length only; candidates are then compared. Texts too short for k + 1 segments are
+    keyed by length: there are few of them. As blanks count for the edits allowed, the text with more of them (by
+    class) looks the other up, so a cell of many blanks costs by itself only. NULL and blank texts match nothing;
+    repeated rows count once. No job runs while this is planned."""
+    v = left.select("block", "v").filter("block IS NOT NULL AND trim(v) <> ''").distinct().withColumn("x", without_blanks(F.col("v"))).filter("x <> ''")
+    n = right.select("block", "n").filter("block IS NOT NULL AND trim(n) <> ''").distinct().withColumn("y", without_blanks(F.col("n"))).filter("y <> ''")
+    x, y = F.col("x"), F.col("y")
 
-        return let(edits(size), of)
+    def known(text: Column, own: Column, first: int) -> Column:
+        """Own segments for every class of partners that look this text up."""
+        classes = F.sequence(own + first, F.lit(len(_BLANKS) - 1 + first))
+        return F.flatten(F.transform(F.filter(classes, lambda c: c < len(_BLANKS)), lambda c: _own_segments(text, tolerance, c)))
 
-    reach = _most_edits(lx + _most_edits(lx * 2, tolerance, blanks), tolerance, blanks)
-    sizes = F.sequence(F.greatest(F.lit(1), lx - reach), lx + reach)
     grams = lambda c: F.flatten(F.transform(F.sequence(F.lit(1), F.least(F.lit(_PREFIX), F.length(c))), lambda g: F.transform(F.sequence(F.lit(1), F.length(c) - g + 1), lambda p: F.lower(F.substring(c, p, g)))))
     start = lambda c: F.lower(F.substring(c, 1, _PREFIX))
-    keyed_v = v.select("block", "v", F.explode(F.array_distinct(F.concat(F.flatten(F.transform(sizes, other_segments)), F.transform(grams(F.col("x")), lambda g: tag("c", g)), F.array(tag("d", start("x")))))).alias("key"))
-    keyed_n = n.select("block", "n", F.explode(F.array_distinct(F.concat(own_segments(edits(ly)), F.transform(grams(F.col("y")), lambda g: tag("d", g)), F.array(tag("c", start("y")))))).alias("key"))
+    marked = lambda mark, keys: F.transform(keys, lambda k: F.concat(F.lit(mark), k))
+    held = lambda mark, keys: F.transform(keys, lambda g: _tag(mark, g))
+    cx, cy = _blank_class(F.col("v"), x), _blank_class(F.col("n"), y)
+    keys_v = let(cx, lambda c: F.concat(marked("v", _looked_up(x, tolerance, c)), marked("n", known(x, c, 1))))
+    keys_n = let(cy, lambda c: F.concat(marked("v", known(y, c, 0)), marked("n", F.when(c > 0, _looked_up(y, tolerance, c)).otherwise(F.array().cast("array<string>")))))
+    keyed_v = v.select("block", "v", F.explode(F.array_distinct(F.concat(keys_v, held("c", grams(x)), F.array(_tag("d", start(x)))))).alias("key"))
+    keyed_n = n.select("block", "n", F.explode(F.array_distinct(F.concat(keys_n, held("d", grams(y)), F.array(_tag("c", start(y)))))).alias("key"))
     candidates = keyed_v.join(keyed_n, ["block", "key"]).select("block", "v", "n").distinct()
     return candidates.filter(close_names(F.col("v"), F.col("n"), tolerance))
 

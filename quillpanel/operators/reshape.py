@@ -101,21 +101,26 @@ def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def spread(
-    df: DataFrame, ids: Sequence[str], time: str = TIME, *, split: Sequence[str] | None = None, force_unite: Sequence[str] = (), times: Sequence[int] | None = None, drop_empty: bool = True, on_duplicates: str = "error"
+    df: DataFrame, ids: Sequence[str], time: str = TIME, *, split: Sequence[str] | None = None, force_unite: Sequence[str] = (), times: Sequence[int] | None = None, drop_empty: bool = True, on_duplicates: str = "error", max_times: int = 10_000
 ) -> DataFrame:
     """The wide panel: one row for each id, united columns once, split ones as ``<column>_<time>``.
 
     split: columns to spread; by default those that differ within some id (profiled). force_unite: columns that are
     united by their mode, the smallest of equally frequent values. Unknown values don't count; a united column is
     filled from any time. A repeated (id, time) is an error, or the largest value is taken (``on_duplicates='max'``).
-    Rows without an id are one id. Aggregates are partial, the distinct times are read once if not given."""
+    Rows without an id are one id. Aggregates are partial; the distinct times are read once if not given, and a
+    ValueError says so if they are more than ``max_times`` (each is a column)."""
     if on_duplicates == "error" and repeated_keys(df, [*ids, time]).limit(1).count():
         raise ValueError("an id has several rows at one time")
     values = [c for c in df.columns if c not in ids and c != time]
     if split is None:
         varies = varying_columns(df, ids, time)
         split = [c for c in values if varies[c] and c not in force_unite]
-    times = sorted(r[0] for r in df.select(qcol(time)).filter(qcol(time).isNotNull()).distinct().collect()) if times is None else list(times)
+    if times is None:
+        times = sorted(r[0] for r in df.select(qcol(time)).filter(qcol(time).isNotNull()).distinct().limit(max_times + 1).collect())
+        if len(times) > max_times:
+            raise ValueError(f"more than {max_times} times")
+    times = list(times)
     united = [c for c in values if c not in split]
     plain = [c for c in united if c not in force_unite]
     cells = [F.max(qcol(c)).alias(c) for c in plain]

@@ -37,6 +37,12 @@ def test_contradicting_fixes(spark, table):
     assert all(r.duplicate_changes and r.multiple_conclusions for r in out)
 
 
+def test_force_applies_no_contradictions(spark, table):
+    fixes = sheet(spark, ("U1", "A1", "AGE", "9", "10"), ("U1", "A1", "AGE", "9", "11"), ("U2", "A2", "AGE", "8", "5"), ("U2", "A2", "AGE", "8", "5"))
+    out = x.apply_fixes(table, fixes, "UID", "ID", force=True)
+    assert {r.UID: r.AGE for r in out.df.collect()} == {"U1": 9, "U2": 5, "U3": 8, "U4": 7} and out.err.count() == 2
+
+
 def test_apply(spark, table):
     fixes = sheet(
         spark, ("u1", "A1", "age", "9", "10"), ("U4", "A4", "Whole obs", None, None), ("U2", "A2", "IDENTICAL", None, None), ("U3", "A2", "IDENTICAL", None, None), ("U9", "A9", "AGE", "1", "2"), ("U1", "A1", "ID", "A1", "A7", "rejected"),

@@ -92,6 +92,12 @@ def test_table_is_in_final_coding(spark, sheet):
     assert got == {0: (1, 0, None), 1: (None, 1, None), 2: (None, 1, None), 3: (None, 0, None), 4: (None, None, '{"sex":7}'), 5: (None, None, '{"sex":1}'), 6: (None, None, None)}
 
 
+def test_final_labels_of_several_wave_labels(spark):
+    sheet = spark.createDataFrame([("G", 'cbind(c(1,2,3),c("a","b","c & d"))', "X", 'cbind(c(7,8),c("A & B","c & d"))')], "g string, c1 string, h string, fin string")
+    got = {r.value: r.final_value for r in drift.recode_map(sheet, "g", {1: "c1"}, "fin", "h").collect()}
+    assert got == {"1": "7", "2": "7", "3": "8"}
+
+
 def test_codes_to_final_coding(spark, sheet):
     got = {(r.wave, r.value): r.final_value for r in drift.recode_map(sheet, "g", {1: "c1", 2: "c2"}, "fin", "h").collect()}
     assert got == {(1, "1"): "0", (1, "2"): "1", (2, "2"): "0", (2, "1"): "1"}

@@ -188,6 +188,16 @@ def test_pipeline(spark):
     assert pipeline.issue_rows(spark, [mapping.Issue("err", "G", 1, "v", "m")]).first()["Issue"] == "m"
 
 
+def test_pipeline_outputs(spark, tmp_path):
+    sheet = [{"Group": "G", "Name_BY1": "k", "HomogenizedName": "K", "FinalNameDB3": "K"}, {"Group": "G", "Name_BY1": "v", "HomogenizedName": "V", "FinalNameDB3": "V"}, {"Group": "G", "Name_BY1": "none", "HomogenizedName": "N"}]
+    table = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
+    out = pipeline.clean_databases(sheet, {"G": {1: table}}, ids=["K"], spread_times=True, report_directory=str(tmp_path / "r"), output_directory=str(tmp_path / "o"), stata=True)
+    assert spark.read.csv(str(tmp_path / "r" / "ISSUES.csv"), header=True).count() == len(out.issues) > 0
+    for name in ("G/T_1.csv", "ALL_MERGED_LONG.csv", "ALL_MERGED_WIDE.csv"):
+        assert spark.read.csv(str(tmp_path / "o" / name), header=True).count() == 2
+    assert (tmp_path / "o" / "ALL_MERGED_WIDE.dta").exists()
+
+
 def test_report(spark, rows):
     df = spark.createDataFrame([(1.0, "a"), (2.0, "a"), (4.0, None), (9.0, "b"), (None, "b")], "v double, s string")
     r = report.descriptives(df, ["v"]).first()

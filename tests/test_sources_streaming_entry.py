@@ -26,6 +26,47 @@ def test_exports(spark, tmp_path):
     assert io.write_stata(df, str(tmp_path / "t.dta")) and not io.write_stata(df, str(tmp_path / "none" / "t.dta"))
 
 
+def test_quotes_survive_in_csv_files_and_cells(spark, tmp_path):
+    df = spark.createDataFrame([("1", 'say "x, y", twice'), ("2", "a\nb")], "a string, b string")
+    io.write_csv(df, str(tmp_path / "q.csv"))
+    assert sorted(map(tuple, io.read_csv(spark, str(tmp_path / "q.csv"), infer=False).collect())) == [("1", 'say "x, y", twice'), ("2", "a\nb")]
+    cells = spark.createDataFrame([('1, "x, y" ,, z ,5,6,7,8,9',), (None,), ("",)], "c string")
+    rows = [tuple(r) for r in cells.select(*io.parse_fields("c")).collect()]
+    assert rows[0] == ("1", "x, y", None, "z", "5", "6", "7", "8") and rows[1] == rows[2] == (None,) * 8
+
+
+def test_workbooks_and_documents(spark, tmp_path):
+    import zipfile
+    from xml.etree import ElementTree
+
+    from quillpanel.sources import office
+
+    df = spark.createDataFrame([(1, "a & <b>", None), (2, "NA", 2.5), (3, "é " * 20_000, 0.0)], "k long, t string, x double")
+    path = str(tmp_path / "t.xlsx")
+    io.write_xlsx(df, path)
+    got = [tuple(r) for r in io.accept(spark, path).collect()]
+    assert got == [("1", "a & <b>", None), ("2", None, "2.5"), ("3", "é " * 20_000, "0.0")]
+    io.write_xlsx(df.limit(0), path)
+    assert io.read_xlsx(spark, path).columns == ["k", "t", "x"] and io.read_xlsx(spark, path).count() == 0
+    with pytest.raises(ValueError):
+        io.write_xlsx(df, path, max_rows=2)
+    office.write_document(str(tmp_path / "d.docx"), "# T & t\n\nwords\n\n| a | b |\n|-|-|\n| 1 | 2 |\n")
+    with zipfile.ZipFile(tmp_path / "d.docx") as z:
+        tree = ElementTree.fromstring(z.read("word/document.xml"))
+    assert "".join(tree.itertext()) == "T & twordsab12"
+
+
+def test_stored_tables_are_deleted_when_asked_for(spark):
+    from pathlib import Path
+
+    from quillpanel import session
+
+    session.forget_stored(spark)
+    table = session.stored(spark.createDataFrame([(1,)], "k long"))
+    path = Path(table.inputFiles()[0].removeprefix("file://")).parent
+    assert path.is_dir() and session.forget_stored(spark) == 1 and not path.exists() and session.forget_stored(spark) == 0
+
+
 def test_streams(spark, tmp_path):
     source, sink = str(tmp_path / "in"), str(tmp_path / "out")
     spark.createDataFrame([(1, " N/A ", "a,b"), (2, "ok", "c")], "k long, t string, cell string").write.parquet(source)
@@ -48,7 +89,7 @@ def test_survey_queries_match_sql(spark):
     duckdb = pytest.importorskip("duckdb")
     from pathlib import Path
 
-    from quillpanel.plans.survey_queries import ORACLE, QUERIES
+    from quillpanel.plans.catalog import ORACLE, QUERIES
 
     folder = Path("/root/testdata/sf0.001")
     if not folder.exists():
@@ -57,7 +98,7 @@ def test_survey_queries_match_sql(spark):
     for p in folder.glob("*.parquet"):
         con.execute(f"CREATE VIEW {p.stem} AS SELECT * FROM '{p}'")
     text = lambda v: None if v is None else repr(round(v, 6)) if isinstance(v, float) else str(v)
-    for name in ("single_set_issues", "value_mismatch_both", "apply_corrections", "verify_fixes_flags", "grouped_reduction", "coalesce_long", "merge_databases_collision", "id_retrieval"):
+    for name in ("single_set_issues", "value_mismatch_both", "apply_corrections", "verify_fixes_flags", "grouped_reduction", "coalesce_long", "merge_databases_collision", "id_retrieval", "clean_databases", "id_retrieval_intake", "reduction_macros", "codebook_document", "mapping_issues", "p1_found", "p4_values"):
         df = QUERIES[name](spark, str(folder))
         cols = sorted(df.columns)
         result = con.execute(ORACLE[name])

@@ -144,6 +144,16 @@ def test_cross_source(spark):
         verify.resolve_tolerance({"N": 0.1}, "Z")
 
 
+def test_rows_without_an_id_match_nothing(spark):
+    from quillpanel.operators.verify import merge_sources
+
+    one = spark.createDataFrame([("a", 1), (None, 2), (None, 3)], "id string, v int")
+    two = spark.createDataFrame([("a", 4), (None, 5), (None, 6), ("b", 7)], "id string, v int")
+    got = sorted(((r.id, r.v_A, r.v_B) for r in merge_sources({"A": one, "B": two}, "id", ["v"]).collect()), key=str)
+    assert got == sorted([("a", 1, 4), ("b", None, 7), (None, 2, None), (None, 3, None), (None, None, 5), (None, None, 6)], key=str)
+    assert merge_sources({"A": one.limit(0), "B": two.limit(0)}, "id", ["v"]).count() == 0
+
+
 def test_long_sets_and_collisions(spark):
     df = spark.createDataFrame([("1", 1), ("1", 1), ("1", 2)], "ID string, t int")
     out = verify.long_set_issues(df, "ID", "t", "EGRA", [1, 2])
