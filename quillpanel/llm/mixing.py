@@ -25,10 +25,18 @@ from pyspark.sql import functions as F
 from quillpanel.session import qcol, stored
 
 TOKENIZER_FILE = "/opt/tokenizers/byte_bpe_50k.json"
+MOST_BYTES = 100_000_000
 
 
 def count_tokens(df: DataFrame, keep: list[str], text: str, tokenizer_file: str = TOKENIZER_FILE) -> DataFrame:
-    """``keep`` columns and n_tokens. NULL and empty texts have 0 tokens; texts are counted whole."""
+    """``keep`` columns and n_tokens. NULL and empty texts have 0 tokens; texts are counted whole.
+
+    The tokenizer's file is read on the driver and sent to the workers, which need not have it: a vocabulary, a ValueError
+    beyond ``MOST_BYTES``."""
+    if os.path.getsize(tokenizer_file) > MOST_BYTES:
+        raise ValueError(f"a tokenizer file of more than {MOST_BYTES} bytes")
+    with open(tokenizer_file, encoding="utf-8") as f:
+        shared = df.sparkSession.sparkContext.broadcast(f.read())
     kinds = dict(df.dtypes)
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in keep) + ", n_tokens long"
 
@@ -36,7 +44,7 @@ def count_tokens(df: DataFrame, keep: list[str], text: str, tokenizer_file: str
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(tokenizer_file)
+        tokenizer = Tokenizer.from_str(shared.value)
         tokenizer.encode_special_tokens = True
         for batch in batches:
             texts = batch["__text"].fillna("").tolist()

@@ -2,8 +2,8 @@
 
 The sequences that correct characters turn into are computed beforehand for every pair of (UTF-8, wrong encoding),
 once and twice over, and matched with a multi-pattern automaton. Only matched spans are replaced, so correct text
-between them stays as it is. Arabic words of the single-byte encoding that were read as Latin are matched as words. A text whose damage has lost characters (replacement characters, sequences whose
-invisible members were dropped) is reported as lost.
+between them stays as it is. Arabic words of the single-byte encoding that were read as Latin are matched as words. A text whose damage has lost characters (replacement characters, question marks in
+place of letters, sequences whose invisible members were dropped) is reported as lost.
 
 Texts without any sign that can start a garbled sequence are told apart JVM-side; only the rest goes to Python.
 """
@@ -16,22 +16,31 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillpanel.session import qcol
 
 # Encodings that UTF-8 text gets read in by mistake, the commonest first (ties go to the first).
-WRONG_ENCODINGS = ("cp1252", "latin-1", "cp1250", "cp1251", "cp1256", "mac_roman", "cp437", "cp850", "cp1253", "cp1254", "koi8-r")
+WRONG_ENCODINGS = ("cp1252", "latin-1", "cp1250", "cp1251", "cp1256", "mac_roman", "cp437", "cp850", "cp1253", "cp1254", "koi8-r", "iso8859-15", "cp1255", "cp1257", "cp866")
 # Encodings that are applied twice in practice.
 TWICE = ("cp1252", "latin-1")
 # The characters a text can have lost to a wrong encoding, as ranges of code points.
-REPERTOIRE = ((0xA0, 0x180), (0x386, 0x3CF), (0x410, 0x450), (0x60C, 0x60D), (0x61B, 0x61C), (0x61F, 0x653), (0x660, 0x6D3), (0x2010, 0x2040), (0x20AC, 0x20AD), (0x2116, 0x2117), (0x2122, 0x2123), (0x2190, 0x2194), (0x2212, 0x2213))
+REPERTOIRE = ((0xA0, 0x180), (0x386, 0x3CF), (0x410, 0x450), (0x5D0, 0x5EB), (0x60C, 0x60D), (0x61B, 0x61C), (0x61F, 0x653), (0x660, 0x6D3), (0x2010, 0x2040), (0x20AC, 0x20AD), (0x2116, 0x2117), (0x2122, 0x2123), (0x2190, 0x2194), (0x2212, 0x2213), (0x2600, 0x2700), (0x3041, 0x3100), (0x1F300, 0x1F650), (0x1F680, 0x1F700), (0x1F900, 0x1FA00))
 # Signs that correct Arabic text itself puts beside each other.
 _ARABIC_OWN = re.compile(r"^[ء-ْ،؛؟«» ]+$")
 _SENTENCE_END = re.compile(r"[.!?؟\n]")
 _C1 = re.compile("[\x80-\x9f]")
-LOST = "lost"
+# A question mark that stands for a letter: between two, or before one where a word begins
+_REPLACED = re.compile(r"(?<=[^\W\d_])\?(?=[^\W\d_])|(?<!\S)\?(?=[^\W\d_])")
+_ADDRESS = re.compile(r"\S*(?://|www\.|\?\w+=)\S*")
+
+
+class _Lost(str):
+    """What ``restore`` returns for a text that can't be had back; told apart from a text of these letters by identity."""
+
+
+LOST = _Lost("lost")
 
 Chain = tuple[str, ...]
 
@@ -88,12 +97,23 @@ def _leads() -> frozenset[str]:
     return frozenset(_tables()["latin-1"][b] for b in (*range(0xC2, 0xE0), 0xE2))
 
 
-def suspicious_pattern() -> str:
-    """A Java pattern that every damaged text matches: a sign that starts a garbled sequence, followed by another
-    non-ASCII sign, a Latin reading of a lead byte, or a replacement character."""
-    starts = "".join(sorted({s[0] for s in sequences()}))
-    lone = "".join(sorted(_leads()))
-    return f"[{re.escape(starts)}][^\\x00-\\x7f]|[{re.escape(lone)}]|\\ufffd"
+def _class(signs: set[str]) -> str:
+    """A character class of ranges: the engine tests few ranges faster than many single signs."""
+    codes, out = sorted(map(ord, signs)), []
+    for c in codes:
+        if out and c == out[-1][1] + 1:
+            out[-1][1] = c
+        else:
+            out.append([c, c])
+    return "[" + "".join(f"\\x{{{low:x}}}-\\x{{{high:x}}}" for low, high in out) + "]"
+
+
+def suspicious(text: Column) -> Column:
+    """What every damaged text has: a sign that starts a garbled sequence, followed by another non-ASCII sign, a Latin
+    reading of a lead byte, a replacement character, or a question mark in place of a letter."""
+    starts = _class({s[0] for s in sequences()})
+    lone = _class({*_leads(), "\ufffd"})
+    return (F.contains(text, F.lit("?")) & text.rlike(r"\?(?<=(?:\p{L}|\s|^)\?)\p{L}")) | text.rlike(f"{starts}[^\\x00-\\x7f]|{lone}")
 
 
 def _spans(text: str) -> list[tuple[int, int, dict[Chain, str]]]:
@@ -207,23 +227,32 @@ def _single_byte_arabic(text: str) -> str | None:
     return "".join([*out, text[at:]])
 
 
+def _replaced(text: str) -> bool:
+    """Whether a question mark stands for a letter. Those of addresses don't."""
+    if "?" not in text or not _REPLACED.search(text):
+        return False
+    return bool(_REPLACED.search(_ADDRESS.sub(" ", text)))
+
+
 def restore(text: str | None) -> str | None:
     """The text before the damage; ``LOST`` if a character cannot be had back; None for an undamaged text.
 
     None, empty and blank texts are undamaged. Texts of any length are read whole, in linear time. Where a
     sequence has several origins, the chain of encodings that explains most of the text decides."""
-    if not text or text.isascii():
+    if not text:
         return None
-    if "�" in text:
+    if "�" in text or _replaced(text):
         return LOST
+    if text.isascii():
+        return None
     arabic = _single_byte_arabic(text)
     if arabic is not None:
-        return arabic
+        text = arabic
     spans = _spans(text)
     if _holes(text, spans):
         return LOST
     if not spans:
-        return None
+        return arabic
     votes: Counter[Chain] = Counter()
     for _, _, origins in spans:
         votes.update(origins.keys())
@@ -236,16 +265,16 @@ def restore(text: str | None) -> str | None:
 
 
 def restored_texts(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, restored): one row for each damaged text, ``restored`` being the original or ``LOST``.
+    """(key, restored, lost): one row for each damaged text; ``restored`` is the original, NULL where it is lost.
 
-    NULL, empty, blank and plain ASCII texts give no row; equal rows each give theirs; an empty table gives none;
+    NULL, empty and blank texts give no row, nor do plain ASCII ones without question marks inside words; equal rows each give theirs; an empty table gives none;
     only ``key`` and ``text`` are read."""
     kind = dict(df.dtypes)[key]
-    odd = df.select(qcol(key).alias("k"), qcol(text).alias("t")).filter(F.col("t").rlike(suspicious_pattern()))
+    odd = df.select(qcol(key).alias("k"), qcol(text).alias("t")).filter(suspicious(F.col("t")))
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = [(k, r) for k, r in zip(batch["k"], map(restore, batch["t"]), strict=True) if r is not None]
-            yield pd.DataFrame(out, columns=["k", "restored"])
+            out = [(k, None if r is LOST else r, r is LOST) for k, r in zip(batch["k"], map(restore, batch["t"]), strict=True) if r is not None]
+            yield pd.DataFrame(out, columns=["k", "restored", "lost"])
 
-    return odd.mapInPandas(work, f"k {kind}, restored string").withColumnRenamed("k", key)
+    return odd.mapInPandas(work, f"k {kind}, restored string, lost boolean").withColumnRenamed("k", key)

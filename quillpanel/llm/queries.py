@@ -110,7 +110,7 @@ def p9_checks(spark: SparkSession, d: str) -> DataFrame:
 
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     restored = mojibake.restored_texts(read_table(spark, d, "documents"), "doc_id", "text")
-    digest = F.when(F.col("restored") == mojibake.LOST, F.col("restored")).otherwise(F.md5("restored"))
+    digest = F.when(F.col("lost"), F.lit(str(mojibake.LOST))).otherwise(F.md5("restored"))
     return restored.select("doc_id", digest.alias("restored_md5"))
 
 
