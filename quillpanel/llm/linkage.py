@@ -158,15 +158,23 @@ def link_without_keys(
             key("ps", F.substring("given", 1, 3), F.col("family")),
         )
     )
-    blocks = people.select("tbl", "row", F.explode(keys).alias("key"))
-    left = blocks.filter("tbl = 'intake'").select("key", F.col("row").alias("a"))
-    right = blocks.filter("tbl = 'master'").select("key", F.col("row").alias("b"))
+
+    def alike(tbl: str, facts: DataFrame, also: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+        """(row, sig) and one row for each different content of a table: copies are one candidate that counts ``w`` times."""
+        content = ("given", "father", "family", "teacher_name", "place_name", "region", *also)
+        told = people.filter(F.col("tbl") == tbl).join(facts, "row").withColumn("sig", F.md5(F.to_json(F.struct(*content))))
+        return told.select("row", "sig"), told.groupBy("sig").agg(F.count("*").alias("w"), *(F.first(c).alias(c) for c in content))
+
+    rows_a, some_a = alike("intake", a_facts, ())
+    _, some_b = alike("master", b_facts, ("student_id",))
+    some_a, some_b = stored(some_a), stored(some_b)
+    left = some_a.select(F.col("sig").alias("a"), F.explode(keys).alias("key"))
+    right = some_b.select(F.col("sig").alias("b"), F.explode(keys).alias("key"))
     pairs = left.join(right, "key").select("a", "b").distinct()
-    names_a = people.filter("tbl = 'intake'").select(F.col("row").alias("a"), *(F.col(c).alias(f"a_{c}") for c in ("given", "father", "family")))
-    names_b = people.filter("tbl = 'master'").select(F.col("row").alias("b"), *(F.col(c).alias(f"b_{c}") for c in ("given", "father", "family")))
-    facts_a = a_facts.select(F.col("row").alias("a"), F.col("teacher_name").alias("a_teacher"), F.col("place_name").alias("a_place"), F.col("region").alias("a_region"))
-    facts_b = b_facts.select(F.col("row").alias("b"), F.col("teacher_name").alias("b_teacher"), F.col("place_name").alias("b_place"), F.col("region").alias("b_region"), "student_id")
-    wide = pairs.join(names_a.join(facts_a, "a"), "a").join(names_b.join(facts_b, "b"), "b")
+    named = {"given": "given", "father": "father", "family": "family", "teacher_name": "teacher", "place_name": "place", "region": "region"}
+    facts_a = some_a.select(F.col("sig").alias("a"), F.col("w").alias("a_w"), *(F.col(c).alias(f"a_{n}") for c, n in named.items()))
+    facts_b = some_b.select(F.col("sig").alias("b"), F.col("w").alias("b_w"), *(F.col(c).alias(f"b_{n}") for c, n in named.items()), "student_id")
+    wide = pairs.join(facts_a, "a").join(facts_b, "b")
 
     def vote(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words: dict[str, list[str]] = {}
@@ -192,17 +200,18 @@ def link_without_keys(
                 pl = vote_names(place(r.a_place), place(r.b_place))
                 reg = 0 if not isinstance(r.a_region, str) or not isinstance(r.b_region, str) else 1 if r.a_region == r.b_region else -1
                 out.append(
-                    (r.a, r.student_id, vote_names(r.a_given, r.b_given, True), vote_names(r.a_father, r.b_father), vote_names(r.a_family, r.b_family), vote_teachers(teacher(r.a_teacher), teacher(r.b_teacher)), min(pl, 2), reg)
+                    (r.a, r.student_id, r.a_w * r.b_w, vote_names(r.a_given, r.b_given, True), vote_names(r.a_father, r.b_father), vote_names(r.a_family, r.b_family), vote_teachers(teacher(r.a_teacher), teacher(r.b_teacher)), min(pl, 2), reg)
                 )
-            yield pd.DataFrame(out, columns=["a", "student_id", *VOTERS])
+            yield pd.DataFrame(out, columns=["a", "student_id", "w", *VOTERS])
 
-    votes = stored(wide.mapInPandas(vote, "a long, student_id string, " + ", ".join(f"{v} int" for v in VOTERS)))
-    counted = votes.groupBy(*VOTERS).agg(F.count("*").alias("n")).collect()  # at most 4^6 patterns
+    votes = stored(wide.mapInPandas(vote, "a string, student_id string, w long, " + ", ".join(f"{v} int" for v in VOTERS)))
+    counted = votes.groupBy(*VOTERS).agg(F.sum("w").alias("n")).collect()  # at most 4^6 patterns
     if not counted:
-        return votes.select(F.col("a").alias("intake_id"), "student_id", F.lit(0.0).alias("confidence"))
+        return rows_a.join(votes, rows_a["sig"] == votes["a"]).select(F.col("row").alias("intake_id"), "student_id", F.lit(0.0).alias("confidence"))
     patterns = np.array([[r[v] for v in VOTERS] for r in counted])
     counts = np.array([r["n"] for r in counted])
-    # a child is its three names: a sibling or a namesake with another father is another child, however much else agrees
+    # a child is its three names: a sibling or a namesake with another father is another child, however much else agrees.
+    # Such pairs are known non-matches: they teach the model how those vote, and are none of its matches
     other_child = (patterns[:, :3] < 0).any(axis=1)
     posterior = LabelModel(GROUPS).fit(patterns, counts, np.array([_start(p) for p in patterns]), other_child)
     table = intake.sparkSession.createDataFrame([(*map(int, p), float(q)) for p, q in zip(patterns, posterior, strict=True)], ", ".join(f"{v} int" for v in VOTERS) + ", posterior double")
@@ -210,7 +219,7 @@ def link_without_keys(
     odds = F.col("p") / F.greatest(1 - F.col("p"), F.lit(1e-9))
     best = scored.groupBy("a").agg(F.max_by(F.struct("student_id", odds.alias("o")), F.struct(odds, "student_id")).alias("best"), F.sum(odds).alias("all"))
     # of several ids at most one is the child's: the odds of all share one unit with "none of them"
-    out = best.select(F.col("a").alias("intake_id"), F.col("best.student_id").alias("student_id"), F.round(F.col("best.o") / (F.col("all") + 1), 6).alias("confidence"))
+    out = best.join(rows_a, F.col("a") == F.col("sig")).select(F.col("row").alias("intake_id"), F.col("best.student_id").alias("student_id"), F.round(F.col("best.o") / (F.col("all") + 1), 6).alias("confidence"))
     return out.filter(F.col("confidence") >= least_confidence)
 
 

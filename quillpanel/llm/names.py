@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillpanel.llm.skeleton import consistent_form
+from quillpanel.llm.skeleton import consistent_form, prototypes, ship_prototypes
 from quillpanel.session import stored
 
 # Words before a name that are no part of it, and particles that come and go within family names.
@@ -39,26 +39,62 @@ class Reading(NamedTuple):
     family_own: str = ""
 
 
-@lru_cache(200_000)
+@lru_cache(20_000)
 def plain(text: str) -> str:
     """Capitals without accents, in consistent characters."""
     form = text if text.isascii() else consistent_form(text)
     return "".join(c for c in unicodedata.normalize("NFKD", form) if not unicodedata.combining(c)).upper().replace("’", "").replace("'", "")
 
 
+class Token(str):
+    """A name's sounded spelling, and the one that was typed: a typing error beside a digraph changes more letters of the
+    sounded spelling than of the typed one."""
+
+    raw: str
+
+    @classmethod
+    def of(cls, typed: str) -> Token:
+        out = cls(sounded(typed))
+        out.raw = typed
+        return out
+
+
+@lru_cache(50_000)
 def sounded(token: str) -> str:
     """A token with spellings of one sound made equal and doubled letters single."""
     token = token.replace("OO", "OU").replace("EE", "I").replace("CH", "SH").replace("Y", "I").replace("OU", "U")
     return re.sub(r"(.)\1+", r"\1", token)
 
 
+@lru_cache(50_000)
+def _letters(token: str) -> int:
+    """The letters a token has, as bits."""
+    bits = 0
+    for c in token:
+        bits |= 1 << (ord(c) % 64)
+    return bits
+
+
 def osa(a: str, b: str, most: int) -> int:
-    """Optimal string alignment distance, or most + 1 where it is greater."""
+    """Optimal string alignment distance, or most + 1 where it is greater.
+
+    An edit takes away one kind of letter at most, so what only one text has bounds the distance from below; what both
+    begin and end with doesn't count."""
     if a == b:
         return 0
-    la, lb = len(a), len(b)
-    if abs(la - lb) > most:
+    x, y = _letters(a), _letters(b)
+    if abs(len(a) - len(b)) > most or (x & ~y).bit_count() > most or (y & ~x).bit_count() > most:
         return most + 1
+    start, end = 0, min(len(a), len(b))
+    while start < end and a[start] == b[start]:
+        start += 1
+    tail = 0
+    while tail < end - start and a[-1 - tail] == b[-1 - tail]:
+        tail += 1
+    a, b = a[start : len(a) - tail], b[start : len(b) - tail]
+    la, lb = len(a), len(b)
+    if not la or not lb:
+        return min(max(la, lb), most + 1)
     before, row = [], list(range(lb + 1))
     for i in range(1, la + 1):
         new, x = [i] + [0] * lb, a[i - 1]
@@ -82,6 +118,7 @@ def allowed(a: str, b: str) -> int:
     return 0 if shorter < 3 else 1 if shorter < 6 else 2
 
 
+@lru_cache(50_000)
 def closeness(a: str, b: str) -> float:
     """2 equal, 1.5 a typing error apart, 0.8 an initial, 0 unknown, -2 different."""
     if not a or not b:
@@ -94,7 +131,8 @@ def closeness(a: str, b: str) -> float:
 
 
 def name_parts(text: str | None) -> tuple[list[str], list[str]]:
-    """Tokens before and after a comma (all before, where there is none), titles dropped, particles joined off."""
+    """Tokens before and after a comma (all before, where there is none), titles dropped, particles joined off. Of more
+    than three names those that are a typing error away from a particle, and stand before another, are particles, too."""
     if not text:
         return [], []
     raw = _TOKEN.findall(plain(text))
@@ -109,14 +147,24 @@ def name_parts(text: str | None) -> tuple[list[str], list[str]]:
         elif t in PARTICLES and i + 1 < len(raw) and len(raw) > 1 and raw[i + 1] != ",":
             continue
         else:
-            sides[side].append(sounded(t))
+            sides[side].append(Token.of(t))
+    for names in sides:
+        for i in range(len(names) - 2, -1, -1):
+            if len(sides[0]) + len(sides[1]) > 3 and _particle_like(names[i]) and (i > 0 or len(names) > 3):
+                del names[i]
     return sides[0], sides[1]
 
 
+@lru_cache(10_000)
+def _particle_like(token: str) -> bool:
+    return len(token) <= 4 and any(osa(token, p, 1) <= 1 for p in PARTICLES)
+
+
 def readings(student: str | None, father: str | None) -> list[Reading]:
     """The likeliest readings of a row, best first, at most two; none without a student name.
 
-    Names of more than three tokens keep the first, the second and the last."""
+    Of more than three names some belong together; every way to divide them into given, father's and family name, in
+    both orders, is a reading, and the father's own names tell which is the likeliest."""
     head, tail = name_parts(student)
     f_head, f_tail = name_parts(father)
     if not head and not tail:
@@ -127,6 +175,10 @@ def readings(student: str | None, father: str | None) -> list[Reading]:
         students = [(head[0], "", "")]
     elif len(head) == 2:
         students = [(head[0], "", head[1]), (head[1], "", head[0])]
+    elif len(head) > 3:
+        join = lambda i, j: "".join(head[i:j])
+        cuts = [(i, j) for i in range(1, len(head) - 1) for j in range(i + 1, len(head))]
+        students = [(join(0, i), join(i, j), join(j, len(head))) for i, j in cuts] + [(join(i, j), join(j, len(head)), join(0, i)) for i, j in cuts]
     else:
         students = [(head[0], head[1], head[-1]), (head[1], head[2], head[0])]
         if len(head[1]) == 1:
@@ -194,8 +246,8 @@ def lexicon_edits(a: str, b: str) -> int:
 
 
 def read_rows(df: DataFrame, label: str, key: str, student: str, father: str | None, place: str | None) -> DataFrame:
-    """(tbl, row, place, reading_no, given, father, family, father_own, family_own): up to two readings of each row
-    with a name."""
+    """(tbl, row, place, reading_no, given, father, family, father_own, family_own), and these five as typed: up to two
+    readings of each row with a name."""
     null = F.lit(None).cast("string")
     rows = df.select(
         F.lit(label).alias("tbl"),
@@ -205,61 +257,69 @@ def read_rows(df: DataFrame, label: str, key: str, student: str, father: str | N
         (F.col(father) if father else null).alias("father"),
     ).filter(F.col("student").isNotNull())
 
+    table = prototypes()
+
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ship_prototypes(table)
         for batch in batches:
             out = []
             for tbl, row, at, s, f in batch.itertuples(index=False):
                 for i, r in enumerate(readings(s, f if isinstance(f, str) else None)):
-                    out.append((tbl, row, at, i, *r))
-            yield pd.DataFrame(out, columns=["tbl", "row", "place", "reading_no", *Reading._fields])
+                    out.append((tbl, row, at, i, *map(str, r), *(getattr(t, "raw", t) for t in r)))
+            yield pd.DataFrame(out, columns=["tbl", "row", "place", "reading_no", *Reading._fields, *typed])
 
-    return rows.mapInPandas(work, "tbl string, row long, place string, reading_no int, " + ", ".join(f"{f} string" for f in Reading._fields))
+    typed = [f"{f}_raw" for f in Reading._fields]
+    return rows.mapInPandas(work, "tbl string, row long, place string, reading_no int, " + ", ".join(f"{f} string" for f in (*Reading._fields, *typed)))
 
 
 def spelling_lexicon(tokens: DataFrame, ratio: int = 3, least: int = 3, short: int = 6, short_least: int = 20, short_ratio: int = 10) -> DataFrame:
-    """(role, token, canon, n): the usual spelling of each token and how often that is used.
+    """(role, token, canon, n, raw): the usual spelling of each token, how often that is used, and how it is mostly typed.
 
-    tokens: (role, token, uses), any number of rows. A spelling belongs to the nearest one within ``lexicon_edits``
+    tokens: (role, token, uses, and raw where it differs), any number of rows. Distances are those of the sounded or of the typed spellings,
+    whichever is less. A spelling belongs to the nearest one within ``lexicon_edits``
     that is used at least ``least`` times and ``ratio`` times as often; the commoner of equally near ones. Tokens
     of fewer than ``short`` letters need more evidence; such given names are left as they are (they may be short forms
     of other names, and are compared row by row). Pairs
     meet through common deletions (two tokens within k edits share a string that k deletions make of both), first
     one, then two for what is left. Everything is counted and joined distributedly; each step is a written table, so
     its readers share it."""
-    counts = stored(tokens.filter(F.length("token") > 1).groupBy("role", "token").agg(F.sum("uses").alias("n")))
+    tokens = tokens if "raw" in tokens.columns else tokens.withColumn("raw", F.col("token"))
+    typed = tokens.filter(F.length("token") > 1).groupBy("role", "token", "raw").agg(F.sum("uses").alias("n"))
+    counts = stored(typed.groupBy("role", "token").agg(F.sum("n").alias("n"), F.max_by("raw", F.struct("n", "raw")).alias("raw")))
 
     def keyed(df: DataFrame, most: int) -> DataFrame:
         def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
                 out = []
-                for role, token, n in batch.itertuples(index=False):
-                    forms = {token, bare_family(token)} if role == "S" else {token}
+                for role, token, n, raw in batch.itertuples(index=False):
+                    forms = {token, bare_family(token), raw, bare_family(raw)} if role == "S" else {token, raw}
+                    dels = set()
                     for form in forms:
-                        k = min(most, 0 if len(form) < 4 else 1 if len(form) < 6 else 2)
-                        out += [(role, d, token, n) for d in _deletions(form, k)]
-                yield pd.DataFrame(out, columns=["role", "del", "token", "n"])
+                        dels |= _deletions(form, min(most, 0 if len(form) < 4 else 1 if len(form) < 6 else 2))
+                    out += [(role, d, token, n, raw) for d in dels]
+                yield pd.DataFrame(out, columns=["role", "del", "token", "n", "raw"])
 
-        return df.select("role", "token", "n").mapInPandas(work, "role string, del string, token string, n long").distinct()
+        return df.select("role", "token", "n", "raw").mapInPandas(work, "role string, del string, token string, n long, raw string")
 
     @F.pandas_udf("int")
-    def edits(a: pd.Series, b: pd.Series) -> pd.Series:
-        def one(x: str, y: str) -> int:
+    def edits(a: pd.Series, b: pd.Series, a_raw: pd.Series, b_raw: pd.Series) -> pd.Series:
+        def one(x: str, y: str, x_raw: str, y_raw: str) -> int:
             best = 9
-            for form in {x, bare_family(x)}:
-                most = lexicon_edits(form, y)
-                d = osa(form, y, most)
+            for form, hub in {(x, y), (bare_family(x), y), (x_raw, y_raw), (bare_family(x_raw), y_raw)}:
+                most = min(lexicon_edits(form, hub), lexicon_edits(x, y))
+                d = osa(form, hub, most)
                 best = min(best, d if d <= most else 9)
             return best
 
-        return pd.Series([one(x, y) for x, y in zip(a, b, strict=True)], dtype="int32")
+        return pd.Series([one(*t) for t in zip(a, b, a_raw, b_raw, strict=True)], dtype="int32")
 
     hubs = counts.filter(F.col("n") >= least)
 
     def nearest(rare: DataFrame, most: int) -> DataFrame:
         left = keyed(rare, most)
-        right = keyed(hubs, most).select("role", "del", F.col("token").alias("hub"), F.col("n").alias("hub_n"))
-        pairs = left.join(right, ["role", "del"]).filter((F.col("hub") != F.col("token")) & (F.col("hub_n") > F.col("n")) & (F.col("hub_n") >= ratio * F.col("n")) & ((F.length("token") >= short) | ((F.col("role") != "G") & (F.col("hub_n") >= short_least) & (F.col("hub_n") >= short_ratio * F.col("n"))))).select("role", "token", "n", "hub", "hub_n").distinct()
-        near = pairs.withColumn("d", edits("token", "hub")).filter(F.col("d") <= 2)
+        right = keyed(hubs, most).select("role", "del", F.col("token").alias("hub"), F.col("n").alias("hub_n"), F.col("raw").alias("hub_raw"))
+        pairs = left.join(right, ["role", "del"]).filter((F.col("hub") != F.col("token")) & (F.col("hub_n") > F.col("n")) & (F.col("hub_n") >= ratio * F.col("n")) & ((F.length("token") >= short) | ((F.col("role") != "G") & (F.col("hub_n") >= short_least) & (F.col("hub_n") >= short_ratio * F.col("n"))))).select("role", "token", "n", "hub", "hub_n", "raw", "hub_raw").distinct()
+        near = pairs.withColumn("d", edits("token", "hub", "raw", "hub_raw")).filter(F.col("d") <= 2)
         return near.groupBy("role", "token").agg(F.min_by(F.struct("hub", "hub_n"), F.struct("d", -F.col("hub_n"), "hub")).alias("best"))
 
     one = stored(nearest(counts, 1))
@@ -269,7 +329,8 @@ def spelling_lexicon(tokens: DataFrame, ratio: int = 3, least: int = 3, short: i
     # a hub may itself be a misspelling of a commoner one
     up = best.select("role", F.col("token").alias("hub"), F.col("hub").alias("top"), F.col("hub_n").alias("top_n"))
     final = best.join(up, ["role", "hub"], "left").select("role", "token", F.coalesce("top", "hub").alias("canon"), F.coalesce("top_n", "hub_n").alias("canon_n"))
-    return stored(counts.join(final, ["role", "token"], "left").select("role", "token", F.coalesce("canon", "token").alias("canon"), F.coalesce("canon_n", "n").alias("n")))
+    told = counts.join(final, ["role", "token"], "left").select("role", "token", F.coalesce("canon", "token").alias("canon"), F.coalesce("canon_n", "n").alias("n"))
+    return stored(told.join(counts.select("role", F.col("token").alias("canon"), "raw"), ["role", "canon"]).select("role", "token", "canon", "n", "raw"))
 
 
 def outnumbered_givens(lexicon: DataFrame, ratio: int = 5, short: int = 6) -> DataFrame:
@@ -294,32 +355,33 @@ def outnumbered_givens(lexicon: DataFrame, ratio: int = 5, short: int = 6) -> Da
 
 
 def name_uses(rows: DataFrame) -> DataFrame:
-    """(role, token, uses): names in all readings, 1 for each use in a likeliest one, 0 in another; G given, F father's,
+    """(role, token, raw, uses): names in all readings, 1 for each use in a likeliest one, 0 in another; G given, F father's,
     S family name."""
     uses = (("G", "given"), ("F", "father"), ("F", "father_own"), ("S", "family"), ("S", "family_own"))
-    said = F.array(*(F.struct(F.lit(role).alias("role"), F.col(c).alias("token")) for role, c in uses))
+    said = F.array(*(F.struct(F.lit(role).alias("role"), F.col(c).alias("token"), F.col(f"{c}_raw").alias("raw")) for role, c in uses))
     return rows.select(F.explode(said).alias("t"), (F.col("reading_no") == 0).cast("int").alias("uses")).select("t.*", "uses").filter("token <> ''")
 
 
 def canonical_readings(rows: DataFrame, lexicon: DataFrame, nicknames: dict[str, str]) -> DataFrame:
-    """(tbl, row, place, given, father, family, given_n, father_n, family_n): the likeliest reading of each row in usual
-    spellings, and how often those are used.
+    """(tbl, row, place, given, father, family, given_n, father_n, family_n, and the names as mostly typed: given_raw,
+    father_raw, family_raw): the likeliest reading of each row in usual spellings, and how often those are used.
 
     Of two readings the one whose tokens are commoner in their roles is taken, of two spellings of the father's or
     family name the commoner. nicknames: sounded short form to sounded given name (a fixed, small table)."""
     joined = rows
     for role, column in (("G", "given"), ("F", "father"), ("F", "father_own"), ("S", "family"), ("S", "family_own")):
-        own = lexicon.filter(F.col("role") == role).select(F.col("token").alias(f"{column}_t"), F.col("canon").alias(f"{column}_c"), F.col("n").alias(f"{column}_n"))
+        own = lexicon.filter(F.col("role") == role).select(F.col("token").alias(f"{column}_t"), F.col("canon").alias(f"{column}_c"), F.col("n").alias(f"{column}_n"), F.col("raw").alias(f"{column}_as"))
         joined = joined.join(own, F.col(column) == F.col(f"{column}_t"), "left").drop(f"{column}_t")
-    told = lambda c: F.struct(F.coalesce(f"{c}_n", F.lit(0)).alias("n"), F.length(c).alias("l"), F.coalesce(f"{c}_c", c).alias("x"))
+    told = lambda c: F.struct(F.coalesce(f"{c}_n", F.lit(0)).alias("n"), F.length(c).alias("l"), F.coalesce(f"{c}_c", c).alias("x"), F.coalesce(f"{c}_as", c).alias("raw"))
     given: Column = F.coalesce("given_c", "given")
+    given_raw = F.coalesce("given_as", "given")
     if nicknames:
         given = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in nicknames.items() for x in kv]), given), given)
     best = joined.select(
-        "tbl", "row", "place", "reading_no", given.alias("given"), F.coalesce("given_n", F.lit(0)).alias("given_n"), F.greatest(told("father"), told("father_own")).alias("f"), F.greatest(told("family"), told("family_own")).alias("s")
+        "tbl", "row", "place", "reading_no", given.alias("given"), given_raw.alias("given_raw"), F.coalesce("given_n", F.lit(0)).alias("given_n"), F.greatest(told("father"), told("father_own")).alias("f"), F.greatest(told("family"), told("family_own")).alias("s")
     )
     weight = F.log1p("given_n") + F.log1p("s.n") + F.lit(0.5) * F.log1p("f.n") - F.lit(0.5) * F.col("reading_no")
-    reading = F.struct("place", "given", F.col("f.x").alias("father"), F.col("s.x").alias("family"), "given_n", F.col("f.n").alias("father_n"), F.col("s.n").alias("family_n"))
+    reading = F.struct("place", "given", F.col("f.x").alias("father"), F.col("s.x").alias("family"), "given_n", F.col("f.n").alias("father_n"), F.col("s.n").alias("family_n"), "given_raw", F.col("f.raw").alias("father_raw"), F.col("s.raw").alias("family_raw"))
     return best.groupBy("tbl", "row").agg(F.max_by(reading, F.struct(weight, -F.col("reading_no"))).alias("b")).select("tbl", "row", "b.*")
 
 

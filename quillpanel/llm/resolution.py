@@ -6,13 +6,15 @@ ones merge, their spellings and initials are united, and the richer profiles ent
 merges nothing. A profile with an incomplete father's name joins a fuller one only where one alone fits, so
 namesakes with other fathers stay apart.
 
-Equal readings are one profile from the start, whatever their number of rows. A block is read as one sorted run and
-yields one edge to the leader for each member, never all pairs.
+Equal readings are one profile from the start, whatever their number of rows, so a block holds the different readings
+of a name in usual spellings and grows with the names in use, not with the rows: a name that a third of all rows
+share is as many profiles as it has fathers (and places, where the father isn't known). A block is read as one sorted
+run; members find their group by looking names, letters and places up, and each yields one edge to its leader.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
 from typing import NamedTuple
 
 import pandas as pd
@@ -20,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillpanel.llm.components import connected_components
-from quillpanel.llm.names import allowed, canonical_readings, name_uses, osa, outnumbered_givens, read_rows, shortness, spelling_lexicon
+from quillpanel.llm.names import _deletions, allowed, canonical_readings, name_uses, osa, outnumbered_givens, read_rows, shortness, spelling_lexicon
 from quillpanel.session import durable, stored
 
 
@@ -32,6 +34,7 @@ class Profile(NamedTuple):
     places: tuple[str, ...]
     sure: frozenset[str]
     weight: int
+    raws: Mapping[str, str] = {}  # names as typed, where that isn't as they sound
 
     @property
     def full_fathers(self) -> list[str]:
@@ -42,8 +45,9 @@ class Profile(NamedTuple):
         return {f for f in self.fathers if len(f) == 1}
 
 
-def _alike(a: Iterable[str], b: Iterable[str], sure: frozenset[str], beside: Iterable[str] = ()) -> bool:
-    """Whether any two spellings are equal or a typing error apart. Two established names (``sure``) are not.
+def _alike(a: Iterable[str], b: Iterable[str], sure: frozenset[str], beside: Iterable[str] = (), raws: Mapping[str, str] = {}) -> bool:  # noqa: B006
+    """Whether any two spellings are equal or a typing error apart, as they sound or as they are typed (``raws``). Two
+    established names (``sure``) are not.
 
     Five letters may hide two errors if one spelling is established and the other is no short form of a name
     ``beside`` them."""
@@ -56,6 +60,11 @@ def _alike(a: Iterable[str], b: Iterable[str], sure: frozenset[str], beside: Ite
         k = allowed(x, y)
         if osa(x, y, k) <= k:
             return True
+        if raws:
+            p, q = raws.get(x, x), raws.get(y, y)
+            k = min(k, allowed(p, q))
+            if osa(p, q, k) <= k:
+                return True
         rare = x if y in sure else y if x in sure else ""
         return bool(rare) and min(len(x), len(y)) == 5 and osa(x, y, 2) <= 2 and not any(shortness(rare, z) for z in beside)
 
@@ -70,70 +79,156 @@ def _fathers_agree(a: Profile, b: Profile) -> bool:
     """Full names must be alike; an initial must begin the other's name; unknown agrees with anything."""
     fa, fb = a.full_fathers, b.full_fathers
     if fa and fb:
-        return _alike(fa, fb, a.sure | b.sure)
+        return _alike(fa, fb, a.sure | b.sure, (), {**a.raws, **b.raws})
     known, other = (a, b) if fa else (b, a)
     begins = {f[0] for f in known.fathers if f}
     return not begins or not other.initials or bool(begins & other.initials)
 
 
+class _Names:
+    """Groups of a block by the names of their leaders: equal names are looked up, close ones found through common
+    deletions, so a block of many spellings is never compared name by name."""
+
+    FEW = 12  # so few groups are compared faster than indexed
+
+    def __init__(self) -> None:
+        self.groups: list[list[Profile]] = []
+        self.exact: dict[str, int] = {}
+        self.close: dict[str, list[int]] = {}
+        self.indexed = 0
+
+    def add(self, group: list[Profile]) -> int:
+        self.groups.append(group)
+        return len(self.groups) - 1
+
+    def near(self, names: Iterable[str], raws: Mapping[str, str], of: Callable[[Profile], Iterable[str]]) -> Iterable[int]:
+        """Places of the groups whose leader can have a close name, in order."""
+        if len(self.groups) <= self.FEW:
+            return range(len(self.groups))
+        while self.indexed < len(self.groups):
+            leader = self.groups[self.indexed][0]
+            for d in self._keys(of(leader), leader.raws):
+                self.close.setdefault(d, []).append(self.indexed)
+            self.indexed += 1
+        return sorted({i for d in self._keys(names, raws) for i in self.close.get(d, ())})
+
+    @staticmethod
+    def _keys(names: Iterable[str], raws: Mapping[str, str]) -> set[str]:
+        forms = {f for x in names for f in (x, raws.get(x, x))}
+        return {d for f in forms for d in _deletions(f, _reach(f))}
+
+
+def _reach(name: str) -> int:
+    """The most edits that ``_alike`` can allow a name of this length."""
+    return 0 if len(name) < 3 else 1 if len(name) < 5 else 2
+
+
+def _firsts(leader: Profile) -> set[str]:
+    return {f[0] for f in leader.fathers if f}
+
+
+class _Fathers:
+    """Groups by the first letters of their leaders' fathers, by place, and by given name."""
+
+    def __init__(self, groups: list[list[Profile]]) -> None:
+        self.every = set(range(len(groups)))
+        self.begin: dict[str, set[int]] = {}
+        self.nameless: set[int] = set()
+        self.place: dict[str, set[int]] = {}
+        self.given: dict[str, set[int]] = {}
+        for i, group in enumerate(groups):
+            letters = _firsts(group[0])
+            for letter in letters:
+                self.begin.setdefault(letter, set()).add(i)
+            if not letters:
+                self.nameless.add(i)
+            for name in group[0].givens:
+                self.given.setdefault(name, set()).add(i)
+            for m in group:
+                for p in m.places:
+                    self.place.setdefault(p, set()).add(i)
+
+    def agreeing(self, m: Profile) -> set[int]:
+        """Groups whose leader's father can be that of ``m``, who has no full one."""
+        return self.every if not m.initials else self.nameless.union(*(self.begin.get(x, ()) for x in m.initials))
+
+    def beside(self, m: Profile, fits: set[int]) -> set[int]:
+        """Of several groups the only one at a place of ``m``; all if none or several are."""
+        if len(fits) > 1 and m.places:
+            here = set().union(*(self.place.get(p, ()) for p in m.places)) & fits
+            return here if len(here) == 1 else fits
+        return fits
+
+
 def match_block(kind: str, members: list[Profile]) -> Iterator[tuple[str, str, int]]:
     """Edges of one block, each member to the leader of its group, and how loose each is (0: both fathers are known).
 
     kind F: father and family are equal; G: given and family; B: given and father; P: family and the beginning of
-    the given name. Members with a full father are grouped first, then the others find the only group that fits."""
+    the given name. Members with a full father are grouped first, then the others find the only group that fits.
+    Everything is looked up by name, letter or place; work grows with the members, not with their pairs."""
     members = sorted(members, key=lambda m: (not m.full_fathers, -m.weight, m.pid))
-    groups: list[list[Profile]] = []
-    waiting: list[Profile] = []
-    by_name: dict[str, list[Profile]] = {}
+    names: Callable[[Profile], Iterable[str]] = {"F": lambda m: m.givens, "G": lambda m: m.full_fathers, "B": lambda m: m.families, "P": lambda m: m.givens}[kind]
+    index, waiting = _Names(), []
+    by_given: dict[str, list[int]] = {}
     beside = {g for m in members for g in m.givens} if kind == "F" else ()
-    names = {"F": lambda m: m.givens, "G": lambda m: m.full_fathers, "B": lambda m: m.families}.get(kind)
     for m in members:
         if kind != "F" and not m.full_fathers:
             waiting.append(m)
             continue
-        if names is not None:
-            # an equal name is looked up; only new spellings are compared with the groups' leaders
-            home = next((by_name[x] for x in names(m) if x in by_name), None) or next((x for x in groups if _alike(names(m), names(x[0]), m.sure | x[0].sure, beside)), None)
+        if kind == "P":
+            at = next((i for i in sorted({i for g in m.givens for i in by_given.get(g, ())}) if _fathers_agree(m, index.groups[i][0])), None)
         else:
-            home = next((x for x in groups if set(m.givens) & set(x[0].givens) and _fathers_agree(m, x[0])), None)
-        if home is None:
-            home = []
-            groups.append(home)
-        home.append(m)
-        for x in names(m) if names is not None else ():
-            by_name.setdefault(x, home)
+            at = next((index.exact[x] for x in names(m) if x in index.exact), None)
+            if at is None:
+                at = next((i for i in index.near(names(m), m.raws, names) if _alike(names(m), names(x := index.groups[i][0]), m.sure | x.sure, beside, {**m.raws, **x.raws})), None)
+        if at is None:
+            at = index.add([])
+            for g in m.givens if kind == "P" else ():
+                by_given.setdefault(g, []).append(at)
+        index.groups[at].append(m)
+        for x in names(m):
+            index.exact.setdefault(x, at)
+    groups = index.groups
     if kind == "F":
         # short forms: of this father's children the only one whose name begins most like it
-        for x in groups:
-            strength = [(max(shortness(s, full) for s in x[0].givens for full in y[0].givens), y) for y in groups if y is not x]
+        begins: dict[str, set[int]] = {}
+        for i, x in enumerate(groups):
+            for g in x[0].givens:
+                begins.setdefault(g[:3], set()).add(i)
+        for i, x in enumerate(groups):
+            others = set().union(*(begins.get(g[:3], ()) for g in x[0].givens)) - {i}
+            strength = [(max(shortness(s, full) for s in x[0].givens for full in groups[j][0].givens), j) for j in others]
             most = max((k for k, _ in strength), default=0)
-            fits = [y for k, y in strength if k == most]
+            fits = [j for k, j in strength if k == most]
             if most and len(fits) == 1:
-                yield x[0].pid, fits[0][0].pid, 0
-    loose: list[list[Profile]] = []
+                yield x[0].pid, groups[fits[0]][0].pid, 0
+    fathers = _Fathers(groups) if waiting else None
+    loose: list[tuple[list[Profile], list[frozenset[str]]]] = []
     for m in waiting:
-        if kind == "G":
-            fits = [x for x in groups if _fathers_agree(m, x[0])]
-        elif kind == "B":
-            fits = []
-        elif any(set(m.givens) & set(x[0].givens) and _fathers_agree(m, x[0]) for x in groups):
-            continue  # the whole name is there: the block of given and family name decides
-        else:
-            strength = [(_short(m.givens, x[0].givens), x) for x in groups if _fathers_agree(m, x[0])]
-            most = max((k for k, _ in strength), default=0)
-            fits = [x for k, x in strength if k == most and most]
-        if len(fits) > 1 and m.places:
-            near = [x for x in fits if any(set(m.places) & set(y.places) for y in x)]
-            fits = near if len(near) == 1 else fits
+        fits = set() if kind == "B" else fathers.agreeing(m)
+        if kind == "P":
+            if fits.intersection(*[set().union(*(fathers.given.get(g, ()) for g in m.givens))]):
+                continue  # the whole name is there: the block of given and family name decides
+            best: dict[int, set[int]] = {}
+            for full, where in fathers.given.items():
+                k = _short(m.givens, (full,))
+                if k and not where.isdisjoint(fits):
+                    best.setdefault(k, set()).update(where & fits)
+            fits = best[max(best)] if best else set()
+        fits = fathers.beside(m, fits)
         if len(fits) == 1:
-            yield m.pid, fits[0][0].pid, 1 if kind == "G" else 2
+            yield m.pid, groups[next(iter(fits))][0].pid, 1 if kind == "G" else 2
         elif not fits and kind == "G":
-            home = next((x for x in loose if all(_fathers_agree(m, y) for y in x)), None)
-            if home is None:
-                loose.append([m])
+            mine = frozenset(m.initials)
+            for held, letters in loose:
+                if all(not x or not mine or x & mine for x in letters):
+                    held.append(m)
+                    if mine not in letters:
+                        letters.append(mine)
+                    break
             else:
-                home.append(m)
-    for looseness, found in ((0, groups), (3, loose)):
+                loose.append(([m], [mine]))
+    for looseness, found in ((0, groups), (3, [held for held, _ in loose])):
         for group in found:
             for m in group[1:]:
                 yield m.pid, group[0].pid, looseness
@@ -153,25 +248,26 @@ def _blocks(profiles: DataFrame) -> DataFrame:
         F.flatten(F.transform(known("givens"), lambda g: F.transform(gf, lambda k: F.concat(F.lit("B|"), g, F.lit("|"), k)))),
         cross("P", F.transform(known("givens"), lambda g: F.substring(g, 1, 3)), known("families")),
     )
-    return profiles.select(F.explode(F.array_distinct(keys)).alias("key"), "pid", "givens", "fathers", "families", "places", "sure", "weight")
+    return profiles.select(F.explode(F.array_distinct(keys)).alias("key"), "pid", "givens", "fathers", "families", "places", "sure", "weight", "raws", "fresh")
 
 
 def _matched(blocks: DataFrame) -> DataFrame:
-    """Edges of all blocks. A block alone in its key is dropped before the sort; a profile whose father isn't known
+    """Edges of all blocks. Only blocks of several profiles that hold a fresh one (new, or richer since the last round)
+    are looked at: in the others nothing can have become alike. A profile whose father isn't known
     keeps one edge, the least loose, so that it never joins two persons."""
-    crowded = blocks.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key")
-    sorted_runs = blocks.join(crowded, "key", "left_semi").repartition("key").sortWithinPartitions("key", "pid")
+    crowded = stored(blocks.groupBy("key").agg(F.count("*").alias("c"), F.bool_or("fresh").alias("f")).filter("c > 1 AND f").select("key"))
+    sorted_runs = blocks.join(crowded, "key", "left_semi").drop("fresh").repartition("key").sortWithinPartitions("key", "pid")
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key, members = None, []
         out: list[tuple[str, str, int]] = []
         for batch in batches:
-            for k, pid, givens, fathers, families, places, sure, weight in batch.itertuples(index=False):
+            for k, pid, givens, fathers, families, places, sure, weight, raws in batch.itertuples(index=False):
                 if k != key:
                     if len(members) > 1:
                         out += match_block(key[0], members)
                     key, members = k, []
-                members.append(Profile(pid, tuple(givens), tuple(fathers), tuple(families), tuple(places), frozenset(sure), weight))
+                members.append(Profile(pid, tuple(givens), tuple(fathers), tuple(families), tuple(places), frozenset(sure), weight, dict(r.split("=", 1) for r in raws)))
             yield pd.DataFrame(out, columns=["a", "b", "loose"])
             out = []
         if len(members) > 1:
@@ -207,6 +303,7 @@ def resolve_people(tables: Mapping[str, tuple[DataFrame, str, str, str, str]], n
     placed = people.withColumn("pid", pid)
     firm = {"given": sure("given", "G") & F.col("given_rare").isNull(), "father": sure("father", "F"), "family": sure("family", "S")}
     known = F.array_compact(F.array(*(F.when(is_sure, F.col(c)) for c, is_sure in firm.items())))
+    said = F.array_compact(F.array(*(F.when((F.length(c) > 1) & (F.col(c) != F.col(f"{c}_raw")), F.concat(c, F.lit("="), f"{c}_raw")) for c in ("given", "father", "family"))))
     profiles = durable(
         placed.groupBy("pid").agg(
             F.collect_set("given").alias("givens"),
@@ -215,6 +312,8 @@ def resolve_people(tables: Mapping[str, tuple[DataFrame, str, str, str, str]], n
             F.collect_set("place").alias("places"),
             F.array_distinct(F.flatten(F.collect_set(known))).alias("sure"),
             F.count("*").alias("weight"),
+            F.array_distinct(F.flatten(F.collect_set(said))).alias("raws"),
+            F.lit(True).alias("fresh"),
         )
     )
     membership = profiles.select(F.col("pid").alias("start"), F.col("pid").alias("entity"))
@@ -226,8 +325,10 @@ def resolve_people(tables: Mapping[str, tuple[DataFrame, str, str, str, str]], n
         moved = profiles.join(components, profiles["pid"] == components["node"], "left").withColumn("to", F.coalesce("component", "pid"))
         union = lambda c: F.array_distinct(F.flatten(F.collect_set(c))).alias(c)
         membership = durable(membership.join(components, membership["entity"] == components["node"], "left").select("start", F.coalesce("component", "entity").alias("entity")))
-        profiles = durable(moved.groupBy("to").agg(*(union(c) for c in ("givens", "fathers", "families", "places", "sure")), F.sum("weight").alias("weight")).withColumnRenamed("to", "pid"))
+        profiles = durable(moved.groupBy("to").agg(*(union(c) for c in ("givens", "fathers", "families", "places", "sure", "raws")), F.sum("weight").alias("weight"), (F.count("*") > 1).alias("fresh")).withColumnRenamed("to", "pid"))
         edges.unpersist()
+    else:
+        raise RuntimeError(f"profiles still merge after {max_rounds} rounds")
     return placed.join(membership, placed["pid"] == membership["start"]).select("tbl", "row", "entity")
 
 

@@ -1,3 +1,5 @@
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -69,6 +71,65 @@ def test_blocks_yield_edges_to_leaders_not_pairs():
     assert len(list(resolution.match_block("F", members))) == 499
 
 
+@pytest.mark.parametrize("kind", ["F", "G", "B", "P"])
+def test_a_name_that_many_share_is_looked_up_not_compared(kind):
+    rng = np.random.default_rng(5)
+    word = lambda: "".join(rng.choice(list("ABDEGHIKLMNORSTUVZ"), 7))
+    members = []
+    for i in range(6000):
+        own = word()
+        given, father, family = {"F": (own, "LEO", "ROSS"), "G": ("ANA", own, "ROSS"), "B": ("ANA", "LEO", own), "P": (f"ANA{own}", own, "ROSS")}[kind]
+        members.append(resolution.Profile(f"p{i}", (given,), (father,), (family,), ("L1",), frozenset(), 2))
+        if kind in "GP":
+            members.append(resolution.Profile(f"q{i}", (given,), (father[0],), (family,), (f"L{i}",), frozenset(), 1))
+        twin = [given, father, family]
+        at = {"F": 0, "G": 1, "B": 2, "P": 0}[kind]
+        if kind != "P":
+            twin[at] = twin[at][:3] + twin[at][4:]
+            members.append(resolution.Profile(f"t{i}", *((x,) for x in twin), (), frozenset(), 1))
+    began = time.perf_counter()
+    edges = {(a, b) for a, b, _ in resolution.match_block(kind, members)}
+    assert time.perf_counter() - began < 30
+    assert kind == "P" or sum((f"t{i}", f"p{i}") in edges for i in range(6000)) > 5900
+
+
+def test_lookups_find_what_comparing_all_finds(monkeypatch):
+    rng = np.random.default_rng(6)
+    pool = ["JOHOL", "JOHOOL", "JOHL", "PILAL", "PIL", "TATHI", "TATI", "KLAIRINVE", "KLAIRIVNE", "GHUGUM", "GHUFAM", "T", "J", "K", ""]
+    for kind in "FGBP":
+        for _ in range(60):
+            pick = lambda: str(rng.choice(pool))
+            members = [resolution.Profile(f"p{i}", (pick() or "ANA",), (f,) if (f := pick()) else (), (pick() or "ROSS",), ("L1",) if i % 3 else ("L2",), frozenset(["KLAIRINVE"]), int(rng.integers(1, 5))) for i in range(40)]
+            monkeypatch.setattr(resolution._Names, "FEW", 10**9)
+            slow = list(resolution.match_block(kind, members))
+            monkeypatch.setattr(resolution._Names, "FEW", 0)
+            assert list(resolution.match_block(kind, members)) == slow
+
+
+def test_typed_spellings_count_besides_sounded_ones(spark):
+    # an e typed twice sounds like an i: two letters of what is heard, one of what is typed
+    token = names.Token.of("TEEAL")
+    assert token == "TIAL" and token.raw == "TEEAL"
+    assert resolution._alike(["TIAL"], ["TERAL"], frozenset(), (), {"TIAL": "TEEAL"}) and not resolution._alike(["TIAL"], ["TERAL"], frozenset())
+    rows = [(1, "TÈRAL HOYIM YOZORDRAIL", "HOYIM YOZORDRAIL", "L1"), (2, "TEEAL HOYIM YOZORDRAIL", "YOZORDRAIL HOYIM", "L1"), (3, "PILAL HOYIM YOZORDRAIL", "HOYIM YOZORDRAIL", "L1")]
+    df = spark.createDataFrame(rows, "k long, s string, f string, p string")
+    who = {r.row: r.entity for r in resolution.resolve_people({"t": (df, "k", "s", "f", "p")}, {}).collect()}
+    assert who[1] == who[2] != who[3]
+
+
+def test_names_of_many_parts():
+    first = lambda student, father: names.readings(student, father)[0]
+    assert first("A-Trikhisri Doumas Riaim", "Riaim Trikhisri")[:3] in (("DUMAS", "RIAIM", "TRIKHISRI"), ("TRIKHISRI", "DUMAS", "RIAIM"))
+    assert first("ABDUL RAHMAN HASSAN KHALIL", "HASSAN KHALIL")[:3] == ("ABDULRAHMAN", "HASAN", "KHALIL")
+    assert first("ANA HASSAN OMAR KHALIL", "HASSAN OMAR")[0] == "ANA"
+
+
+def test_endless_rounds_are_an_error(spark):
+    df = spark.createDataFrame(ROWS, "k long, s string, f string, p string")
+    with pytest.raises(RuntimeError):
+        resolution.resolve_people({"t": (df, "k", "s", "f", "p")}, {}, max_rounds=1)
+
+
 def test_lexicon(spark):
     uses = [("G", "KLAIRINVE")] * 30 + [("G", "KLAIRIVNE"), ("G", "KLAIRNVEX"), ("G", "DETHUM"), ("S", "SITAKVA")] + [("S", "SITAKVA")] * 9 + [("S", "BENSITAKVA")]
     got = {(r.role, r.token): r.canon for r in names.spelling_lexicon(spark.createDataFrame([(*u, 1) for u in uses], "role string, token string, uses int")).collect()}
@@ -154,6 +215,12 @@ def test_mixture(spark, corpus):
     assert empty.count() == 0 and all(r.actual_share == 0 for r in zeros.collect())
 
 
+def test_too_many_counts_ask_for_larger_shards(spark, corpus):
+    targets = spark.createDataFrame([("a", 0.3, 1), ("b", 0.5, 2)], "source string, target_share double, max_repeats int")
+    with pytest.raises(ValueError, match="shard_tokens"):
+        mixing.mix_sources(corpus, "doc_id", "source", "text", targets, shard_tokens=300, block_tokens=60, max_counts=5)
+
+
 def test_tokens_are_those_of_the_tokenizer(spark, corpus):
     from tokenizers import Tokenizer
 

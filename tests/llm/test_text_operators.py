@@ -32,6 +32,19 @@ def test_consistent_form(text, clean):
     assert skeleton.consistent_form(got) == got
 
 
+def test_the_public_table_of_look_alikes():
+    assert len(skeleton.prototypes()) > 6000
+    for likes in (("ANNA", "ꓮNNA", "ΑNNA", "АNNA"), ("gara", "ɡara"), ("OMAR", "ⲞMAR", "0MAR", "ОMAR"), ("via", "ѵia"), ("lid", "Iid", "1id"), ("كريم", "کریم")):
+        assert len({skeleton.skeleton(t) for t in likes}) == 1, likes
+    assert [skeleton.consistent_form(t) for t in ("ɡara", "ꓮLI", "ⲞMAR", "ѵIA", "كريم", "ıldız")] == ["gara", "ALI", "OMAR", "vIA", "كريم", "ıldız"]
+
+
+def test_skeletons_of_ascii_are_the_same_in_the_engine(spark):
+    texts = ["".join(map(chr, range(0x20, 0x7F))), "Mimi 10|l", ""]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in df.select(skeleton.ascii_skeleton(df["t"])).collect()] == [skeleton.skeleton(t) for t in texts]
+
+
 def test_equal_skeletons_of_what_looks_the_same():
     assert len({skeleton.skeleton(t) for t in ("SATI", "ЅАТІ", "ＳＡＴＩ", "SA​TI")}) == 1
     assert skeleton.skeleton("SATI") != skeleton.skeleton("SATÎ")
@@ -193,10 +206,28 @@ def test_lost_characters():
     assert mojibake.restore("Drâigeis Ben. Il a marquÃ©e un but.") == "Drâigeis Ben. Il a marquée un but."
 
 
+def test_question_marks_in_place_of_letters():
+    for bad in ("the carpenter?s shed", "Le ma?tre a gardé 25 cahiers", "at ?cole Primaire", "caf? et d?p?t"):
+        assert mojibake.restore(bad) is mojibake.LOST
+    for good in ("Why? Because.", "see http://a.b/c?d=e&f=g and www.x.org/?q", "who?! ?", "¿quién?", "(?) 3?4"):
+        assert mojibake.restore(good) is None
+
+
+@pytest.mark.parametrize("text", ["great 😀 fun", "שלום עולם", "こんにちは", "Привет, мир"])
+@pytest.mark.parametrize("chain", [("cp1252",), ("latin-1",), ("cp1251",), ("mac_roman",), ("cp437",), ("cp1257",), ("cp866",)])
+def test_other_scripts(text, chain):
+    assert mojibake.restore(mojibake.garbled(text, chain)) == text
+
+
+def test_both_kinds_of_damage_are_undone():
+    arabic = "قال المشرف إن المدرسة القديمة"
+    assert mojibake.restore(arabic.encode("cp1256").decode("cp1252") + ". cafÃ© and naÃ¯ve") == arabic + ". café and naïve"
+
+
 def test_restored_texts(spark):
-    df = spark.createDataFrame([(1, "cafÃ©"), (2, None), (3, "ok"), (4, "x�"), (1, "cafÃ©"), (5, "é" * 200_000 + "Ã©")], "doc_id long, text string").selectExpr("*", "1 AS k", "2 AS t", "3 AS restored")
-    got = sorted((r.doc_id, r.restored[-4:]) for r in mojibake.restored_texts(df, "doc_id", "text").collect())
-    assert got == [(1, "café"), (1, "café"), (4, "lost"), (5, "éééé")]
+    df = spark.createDataFrame([(1, "cafÃ©"), (2, None), (3, "ok"), (4, "x�"), (1, "cafÃ©"), (5, "é" * 200_000 + "Ã©"), (6, "na?ve"), (7, "loÃ©st")], "doc_id long, text string").selectExpr("*", "1 AS k", "2 AS t", "3 AS restored", "4 AS lost")
+    got = sorted((r.doc_id, (r.restored or "gone")[-4:], r.lost) for r in mojibake.restored_texts(df, "doc_id", "text").collect())
+    assert got == [(1, "café", False), (1, "café", False), (4, "gone", True), (5, "éééé", False), (6, "gone", True), (7, "oést", False)]
     assert mojibake.restored_texts(df.limit(0), "doc_id", "text").count() == 0
 
 
@@ -213,3 +244,19 @@ def test_single_byte_arabic_read_as_latin():
     damaged = original.encode("cp1256").decode("cp1252")
     assert mojibake.restore(damaged) == original
     assert mojibake.restore("Oui. " + damaged + " Voilà l’été.") == "Oui. " + original + " Voilà l’été."
+
+
+def test_short_texts_of_long_words_are_searched(spark):
+    # four signs that decompose to four words each are a passage of sixteen words
+    words = " ".join(contamination.words_of("\ufdfa " * 4))
+    assert len(words.split()) >= 12
+    docs = spark.createDataFrame([(1, "\ufdfa \ufdfa \ufdfa \ufdfa"), (2, "\ufdfa")], "k long, body string")
+    items = spark.createDataFrame([(7, words)], "k long, body string")
+    assert [(r.doc, r.item) for r in contamination.find_leaks(docs, "k", "body", items, "k", "body").collect()] == [(1, 7)]
+
+
+def test_windows_are_fingerprinted_alike_one_by_one():
+    shingles = contamination.shingle_hashes(contamination.word_hashes([f"w{i % 37}" for i in range(400)]))
+    every = contamination.window_fingerprints(shingles, 8)
+    at = contamination.np.array([0, 3, 50, 51, 300])
+    assert (contamination.fingerprints_at(shingles, at, 8) == every[at]).all() and len(contamination.fingerprints_at(shingles, at[:0], 8)) == 0
