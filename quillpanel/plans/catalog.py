@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillpanel.operators import drift, packed, timestamps
-from quillpanel.plans import more_queries, survey_queries
+from quillpanel.plans import more_queries, survey_queries, time_sql
 from quillpanel.session import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -150,4 +150,4 @@ _P4_VALUES_SQL = rf"""
                     CASE WHEN typed AND is_coded THEN final_value WHEN (typed AND target = 'boolean') OR (promoted AND raw = 'audit_flag') THEN CASE WHEN v IN ('1', 'true', 'yes') THEN 'true' ELSE 'false' END ELSE v END AS value FROM placed)
     SELECT rec_id, field, rescued, TRY_CAST(value AS DOUBLE) AS number, CASE WHEN TRY_CAST(value AS DOUBLE) IS NULL THEN value END AS words FROM told"""
 
-ORACLE: dict[str, str] = {**survey_queries.ORACLE, **more_queries.ORACLE, "p1_found": _P1_SQL, "p4_found": _P4_SQL, "p4_values": _P4_VALUES_SQL}
+ORACLE: dict[str, str] = {**survey_queries.ORACLE, **more_queries.ORACLE, "p1_found": _P1_SQL, "p4_found": _P4_SQL, "p4_values": _P4_VALUES_SQL, "p6_found": time_sql.SQL}
