@@ -287,17 +287,29 @@ def spelling_lexicon(tokens: DataFrame, ratio: int = 3, least: int = 3, short: i
     typed = tokens.filter(F.length("token") > 1).groupBy("role", "token", "raw").agg(F.sum("uses").alias("n"))
     counts = stored(typed.groupBy("role", "token").agg(F.sum("n").alias("n"), F.max_by("raw", F.struct("n", "raw")).alias("raw")))
 
+    def keyed_rows(held: list[tuple[str, str, int, str]], sizes: list[int], dels: list[str]) -> pd.DataFrame:
+        named = pd.DataFrame(held, columns=["role", "token", "n", "raw"])
+        return named.loc[named.index.repeat(sizes)].assign(**{"del": dels})[["role", "del", "token", "n", "raw"]]
+
     def keyed(df: DataFrame, most: int) -> DataFrame:
         def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
-                out = []
-                for role, token, n, raw in batch.itertuples(index=False):
+                held: list[tuple[str, str, int, str]] = []
+                dels: list[str] = []
+                sizes: list[int] = []
+                for one in batch[["role", "token", "n", "raw"]].itertuples(index=False, name=None):
+                    role, token, _, raw = one
                     forms = {token, bare_family(token), raw, bare_family(raw)} if role == "S" else {token, raw}
-                    dels = set()
+                    keys: set[str] = set()
                     for form in forms:
-                        dels |= _deletions(form, min(most, 0 if len(form) < 4 else 1 if len(form) < 6 else 2))
-                    out += [(role, d, token, n, raw) for d in dels]
-                yield pd.DataFrame(out, columns=["role", "del", "token", "n", "raw"])
+                        keys |= _deletions(form, min(most, 0 if len(form) < 4 else 1 if len(form) < 6 else 2))
+                    held.append(one)
+                    sizes.append(len(keys))
+                    dels += keys
+                    if len(dels) > 50_000:  # a name has many keys: a batch of names is given on in parts
+                        yield keyed_rows(held, sizes, dels)
+                        held, dels, sizes = [], [], []
+                yield keyed_rows(held, sizes, dels)
 
         return df.select("role", "token", "n", "raw").mapInPandas(work, "role string, del string, token string, n long, raw string")
 
