@@ -37,7 +37,7 @@ _ADDRESS = re.compile(r"\S*(?://|www\.|\?\w+=)\S*")
 
 
 class _Lost(str):
-    """What ``restore`` returns for a text that can't be had back; told apart from a text of these letters by identity."""
+    """What ``restore`` returns for a text that can't be had back; told apart from a text of these letters by its class."""
 
 
 LOST = _Lost("lost")
@@ -274,7 +274,7 @@ def restored_texts(df: DataFrame, key: str, text: str) -> DataFrame:
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = [(k, None if r is LOST else r, r is LOST) for k, r in zip(batch["k"], map(restore, batch["t"]), strict=True) if r is not None]
+            out = [(k, None if isinstance(r, _Lost) else r, isinstance(r, _Lost)) for k, r in zip(batch["k"], map(restore, batch["t"]), strict=True) if r is not None]
             yield pd.DataFrame(out, columns=["k", "restored", "lost"])
 
     return odd.mapInPandas(work, f"k {kind}, restored string, lost boolean").withColumnRenamed("k", key)
