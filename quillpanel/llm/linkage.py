@@ -162,8 +162,9 @@ def link_without_keys(
     def alike(tbl: str, facts: DataFrame, also: Sequence[str]) -> tuple[DataFrame, DataFrame]:
         """(row, sig) and one row for each different content of a table: copies are one candidate that counts ``w`` times."""
         content = ("given", "father", "family", "teacher_name", "place_name", "region", *also)
-        told = people.filter(F.col("tbl") == tbl).join(facts, "row").withColumn("sig", F.md5(F.to_json(F.struct(*content))))
-        return told.select("row", "sig"), told.groupBy("sig").agg(F.count("*").alias("w"), *(F.first(c).alias(c) for c in content))
+        sig = F.md5(F.to_json(F.struct(*content))).alias("sig")
+        told = people.filter(F.col("tbl") == tbl).join(facts, "row")
+        return told.select("row", sig), told.groupBy(*content).agg(F.count("*").alias("w")).select(sig, "w", *content)
 
     rows_a, some_a = alike("intake", a_facts, ())
     _, some_b = alike("master", b_facts, ("student_id",))
