@@ -259,7 +259,7 @@ def recode_map(sheet: DataFrame, group: str, code_columns: Mapping[int, str], fi
     wave_pairs = F.explode(F.array(*(F.struct(F.lit(w).alias("wave"), code_pairs(qcol(c)).alias("pairs")) for w, c in code_columns.items())))
     long = sheet.filter(qcol(group).isNotNull()).select(qcol(group).alias("g"), F.upper(F.trim(qcol(target))).alias("field"), code_pairs(qcol(final)).alias("fin"), wave_pairs.alias("w"))
     flat = long.select("g", "field", "fin", F.col("w.wave").alias("wave"), F.explode("w.pairs").alias("p"))
-    said = lambda x: F.array_contains(F.transform(F.split(x["label"], "&"), F.trim), F.col("p.label"))
+    said = lambda x: F.array_contains(F.transform(F.split(x["label"], "&"), lambda d: F.trim(d)), F.col("p.label"))
     whole = F.filter("fin", lambda x: x["label"] == F.col("p.label"))
     to = F.coalesce(F.get(whole, F.lit(0)), F.get(F.filter("fin", said), F.lit(0)))["value"]
     return flat.select(F.col("g").alias(group), "field", "wave", F.col("p.value").alias("value"), to.alias("final_value")).filter(F.col("final_value").isNotNull()).distinct()
