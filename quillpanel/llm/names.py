@@ -221,6 +221,14 @@ def shortness(short: str, given: str) -> int:
     return 3 if len(stem) == 2 and given.startswith(short[:3]) else 0
 
 
+def short_beginnings(short: str) -> set[str]:
+    """Beginnings of which every given name that ``short`` is a short form of has one."""
+    if len(short) < 3:
+        return set()
+    stem = re.sub(r"[AEIOU]{1,2}$", "", short)
+    return {short, *([stem] if len(stem) >= 3 else []), *([short[:3]] if len(stem) == 2 else [])}
+
+
 def nickname_of(short: str, given: str) -> bool:
     return shortness(short, given) > 0
 

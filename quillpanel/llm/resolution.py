@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillpanel.llm.components import connected_components
-from quillpanel.llm.names import _deletions, allowed, canonical_readings, name_uses, osa, outnumbered_givens, read_rows, shortness, spelling_lexicon
+from quillpanel.llm.names import _deletions, allowed, canonical_readings, name_uses, osa, outnumbered_givens, read_rows, short_beginnings, shortness, spelling_lexicon
 from quillpanel.session import durable, stored
 
 
@@ -136,6 +136,8 @@ class _Fathers:
         self.nameless: set[int] = set()
         self.place: dict[str, set[int]] = {}
         self.given: dict[str, set[int]] = {}
+        self.longer: dict[str, set[str]] = {}  # beginnings of at least three letters to given names
+        self.shorter: dict[str, set[str]] = {}  # what a given name, as a short form, can be the beginning of
         for i, group in enumerate(groups):
             letters = _firsts(group[0])
             for letter in letters:
@@ -143,11 +145,24 @@ class _Fathers:
             if not letters:
                 self.nameless.add(i)
             for name in group[0].givens:
+                if name not in self.given:
+                    self._index(name)
                 self.given.setdefault(name, set()).add(i)
             for m in group:
                 for p in m.places:
                     self.place.setdefault(p, set()).add(i)
 
+    def _index(self, name: str) -> None:
+        for n in range(3, len(name) + 1):
+            self.longer.setdefault(name[:n], set()).add(name)
+        for begin in short_beginnings(name):
+            self.shorter.setdefault(begin, set()).add(name)
+
+    def short_or_full(self, name: str) -> set[str]:
+        """Given names that ``name`` can be a short form of, or that can be one of it."""
+        out = set().union(*(self.longer.get(b, ()) for b in short_beginnings(name)))
+        return out.union(*(self.shorter.get(name[:n], ()) for n in range(3, len(name) + 1)))
+
     def agreeing(self, m: Profile) -> set[int]:
         """Groups whose leader's father can be that of ``m``, who has no full one."""
         return self.every if not m.initials else self.nameless.union(*(self.begin.get(x, ()) for x in m.initials))
@@ -210,8 +225,8 @@ def match_block(kind: str, members: list[Profile]) -> Iterator[tuple[str, str, i
             if fits.intersection(*[set().union(*(fathers.given.get(g, ()) for g in m.givens))]):
                 continue  # the whole name is there: the block of given and family name decides
             best: dict[int, set[int]] = {}
-            for full, where in fathers.given.items():
-                k = _short(m.givens, (full,))
+            for full in set().union(*(fathers.short_or_full(g) for g in m.givens)):
+                k, where = _short(m.givens, (full,)), fathers.given[full]
                 if k and not where.isdisjoint(fits):
                     best.setdefault(k, set()).update(where & fits)
             fits = best[max(best)] if best else set()

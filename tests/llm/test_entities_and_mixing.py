@@ -96,6 +96,21 @@ def test_a_name_that_many_share_is_looked_up_not_compared(kind):
     assert kind == "P" or sum((f"t{i}", f"p{i}") in edges for i in range(6000)) > 5000  # some are as close to another name
 
 
+def test_short_forms_are_looked_up_by_their_beginnings():
+    rng = np.random.default_rng(7)
+    word = lambda n: "".join(rng.choice(list("ABDEGHIKLMNOU"), n))
+    for _ in range(300):
+        short, full = word(rng.integers(1, 6)), word(rng.integers(3, 9))
+        full = short[: rng.integers(0, len(short) + 1)] + full
+        if names.shortness(short, full):
+            assert any(full.startswith(b) for b in names.short_beginnings(short))
+    members = [resolution.Profile(f"p{i}", (f"ANA{word(6)}",), (word(7),), ("ROSS",), (), frozenset(), 2) for i in range(6000)]
+    members += [resolution.Profile(f"q{i}", (m.givens[0][:8],), (m.fathers[0][0],), ("ROSS",), (), frozenset(), 1) for i, m in enumerate(members[:6000])]
+    began = time.perf_counter()
+    edges = {(a, b) for a, b, _ in resolution.match_block("P", members)}
+    assert time.perf_counter() - began < 30 and sum((f"q{i}", f"p{i}") in edges for i in range(6000)) > 5900
+
+
 def test_lookups_find_what_comparing_all_finds(monkeypatch):
     rng = np.random.default_rng(6)
     pool = ["JOHOL", "JOHOOL", "JOHL", "PILAL", "PIL", "TATHI", "TATI", "KLAIRINVE", "KLAIRIVNE", "GHUGUM", "GHUFAM", "T", "J", "K", ""]
