@@ -2,9 +2,10 @@
 
 Every normalised (field name, value) pair is hashed, the hashes of a record are combined by addition (a
 commutative multiset hash: field and part order don't matter), records are grouped by the fingerprint, and the
-fields of a group are verified to be equal by two further 64-bit hashes of the record as a whole, independent of the
-fingerprint: members that differ in them collided, and the group is split by them. All of it are sums, minima and
-counts of numbers, so groups are aggregated by hash, map-side first, in one pass; neither fields nor rows are sorted.
+fields of a group are verified to be equal: they stand behind the fingerprint in the key, so members of one fingerprint
+are compared by the values themselves, and a group whose members differ (a collision) is split by them. No hash decides
+that two records are equal. Groups are aggregated by hash, map-side first, in one pass; neither fields nor rows are
+sorted.
 """
 
 from __future__ import annotations
@@ -52,28 +53,21 @@ def multiset_fingerprint(values: Mapping[str, Column]) -> tuple[Column, Column]:
     return lanes[0], lanes[1]
 
 
-def _witnesses(record: Column, names: Sequence[str]) -> tuple[Column, Column]:
-    """Two hashes of a record's values in order, there and back, with other seeds than the fingerprint's."""
-    values = [x for n in names for x in (record[n], record[n].isNull())]
-    return F.xxhash64(F.lit("a"), *values), F.xxhash64(F.lit("b"), *reversed(values))
-
-
 def collapse_copies(df: DataFrame, key: str, values: Mapping[str, Column], required: Sequence[str]) -> DataFrame:
     """(first, n_copies): one row for each distinct record, with its smallest key and number of copies.
 
     values: normalised fields that make a record. required: columns that must not be NULL; rows without them take
     no part. NULL equals NULL in all other fields. An empty table gives no row; rows with a NULL key count as
-    copies but never as the first. Groups of any size are aggregated map-side first: a group that holds a third of
-    all rows reaches its reducer as one row from each mapper."""
+    copies but never as the first. The members of a group have equal fields, compared as values. Groups of any size are
+    aggregated map-side first: a group that holds a third of all rows reaches its reducer as one row from each mapper."""
     part = df
     for name in required:
         part = part.filter(qcol(name).isNotNull())
-    record = F.struct(*(v.alias(n) for n, v in values.items()))
-    rows = part.select(qcol(key).cast("long").alias("__key"), record.alias("__record"))
-    one, two = multiset_fingerprint({n: F.col("__record")[n] for n in values})
-    marked = rows.select("__key", "__record", one.alias("__h1"), two.alias("__h2"))
-    a, b = _witnesses(F.col("__record"), list(values))
-    groups = marked.select("__key", "__h1", "__h2", a.alias("__a"), b.alias("__b")).groupBy("__h1", "__h2", "__a", "__b")
+    fields = {n: f"__v{i}" for i, n in enumerate(values)}
+    rows = part.select(qcol(key).cast("long").alias("__key"), *(v.alias(fields[n]) for n, v in values.items()))
+    one, two = multiset_fingerprint({n: F.col(f) for n, f in fields.items()})
+    marked = rows.select("*", one.alias("__h1"), two.alias("__h2"))
+    groups = marked.groupBy("__h1", "__h2", *fields.values())
     return groups.agg(F.min("__key").alias("first"), F.count("*").alias("n_copies")).select("first", "n_copies")
 
 

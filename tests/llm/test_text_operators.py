@@ -94,6 +94,23 @@ def test_collisions_are_split(spark, monkeypatch):
     assert copies(spark, ("A", "EGRA-T35-000007800", 9, 1.0), ("B", "EGRA-T35-000007800", 9, 1.0), ("A", "EGRA-T35-000007800", 9, 1.0)) == {1: 2, 2: 1}
 
 
+def test_fields_are_verified_as_values(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    # two ids made so that xxhash64 agrees for both lanes' seeds and for those of the whole-record hashes there once were
+    pad = "A" * 24
+    one, two = f"9PDFYGSR{pad}DI6J13JC{pad}", f"9PDFYGSP{pad}DI6QTS99{pad}"
+    entries = [(s, "EGRA-T35-000007800", 9, 1.5) for s in (one, two, one.lower())]
+    lanes = fingerprint.multiset_fingerprint({"st_id": F.col("s")})
+    assert spark.createDataFrame([(one,), (two,)], "s string").select(*lanes).distinct().count() == 1
+    assert copies(spark, *entries) == {1: 2, 2: 1}
+
+    # whatever is hashed, equal hashes make no copies
+    monkeypatch.setattr(F, "xxhash64", lambda *c: F.lit(0).cast("long"))
+    others = [("A", "EGRA-T35-000007800", 9, 1.5), ("A", "EGRA-T35-000007800", None, 1.5), ("A", "EGRA-T35-000007800", None, None), ("A", "EGRA-T35-000007801", 9, 1.5)]
+    assert copies(spark, *entries, *others, *others[1:3]) == {1: 2, 2: 1, 4: 1, 5: 2, 6: 2, 7: 1}
+
+
 # ---------------------------------------------------------------- problem 8
 def brute(documents, items, window):
     index = {}
