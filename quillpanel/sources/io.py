@@ -1,15 +1,17 @@
-"""Readers and writers: CSV, Parquet, JSON and ORC natively; workbooks and Stata files, bounded by nature, through the driver."""
+"""Readers and writers: CSV, Parquet, JSON and ORC natively; workbooks, piece by piece, and Stata files, bounded by nature,
+through the driver."""
 
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from itertools import chain
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillpanel.session import qcol
+from quillpanel.session import qcol, scratch
 from quillpanel.sources.office import workbook_rows, write_workbook
 
 log = logging.getLogger(__name__)
@@ -24,22 +26,50 @@ def read_csv(spark: SparkSession, path: str, na: Sequence[str] = ("", "NA"), inf
     return coerce_types(df) if infer else df
 
 
+# The letters of a workbook that the driver holds at a time.
+_PIECE_LETTERS = 8_000_000
+
+
+def _pieces(rows: Iterator[list[str | None]]) -> Iterator[list[list[str | None]]]:
+    piece: list[list[str | None]] = []
+    letters = 0
+    for r in rows:
+        piece.append(r)
+        letters += len(r) + sum(len(c) for c in r if c)
+        if letters > _PIECE_LETTERS:
+            yield piece
+            piece, letters = [], 0
+    yield piece
+
+
 def read_xlsx(spark: SparkSession, path: str, na: Sequence[str] = ("", "NA")) -> DataFrame:
-    """A workbook's first sheet, its first row the header; cells are text, those equal to one of ``na`` NULL.
+    """A workbook's first sheet, its first row the header, with the sheets that continue it (see ``write_xlsx``); cells
+    are text, those equal to one of ``na`` NULL.
+
+    Read on the driver, in pieces: a workbook of several is a table in the shared folder, which ``forget_stored``
+    deletes."""
+    import pyarrow as pa
 
-    Read on the driver: the format holds a million rows at most."""
     rows = workbook_rows(path)
     header = [c or f"column_{i + 1}" for i, c in enumerate(next(rows, []))]
     width, missing = len(header), set(na)
-    body = [[None if c in missing else c for c in (r + [None] * width)[:width]] for r in rows]
-    return spark.createDataFrame(body, ", ".join(f"`{c}` string" for c in header))
-
-
-def write_xlsx(df: DataFrame, path: str, max_rows: int = 1_048_575) -> None:
-    """A report as a workbook, through the driver; a ValueError beyond the format's ``max_rows``, before any row is
-    fetched."""
-    _bounded(df, max_rows)
-    write_workbook(path, df.columns, [[v if v is None or isinstance(v, (int, float, str)) else str(v) for v in r] for r in df.toLocalIterator()])
+    pieces = _pieces([None if c in missing else c for c in (r + [None] * width)[:width]] for r in rows)
+    first, second = next(pieces), next(pieces, [])
+    if not second:
+        return spark.createDataFrame(first, ", ".join(f"`{c}` string" for c in header))
+    table, places = scratch(spark, "workbook"), [f"c{i}" for i in range(width)]  # a header may name a column twice
+    for piece in chain((first, second), pieces):
+        columns = [pa.array(c, pa.string()) for c in zip(*piece, strict=True)]
+        spark.createDataFrame(pa.Table.from_arrays(columns, places)).write.mode("append").parquet(table)
+    return spark.read.schema(", ".join(f"{c} string" for c in places)).parquet(table).toDF(*header)
+
+
+def write_xlsx(df: DataFrame, path: str, max_rows: int | None = None) -> None:
+    """A report as a workbook, through the driver row by row; rows that a sheet of the format can't hold go to further
+    sheets. With ``max_rows`` a ValueError beyond them, before any row is fetched."""
+    if max_rows is not None:
+        _bounded(df, max_rows)
+    write_workbook(path, df.columns, ([v if v is None or isinstance(v, (int, float, str)) else str(v) for v in r] for r in df.toLocalIterator()))
 
 
 def _bounded(df: DataFrame, most: int) -> None:

@@ -56,6 +56,44 @@ def test_workbooks_and_documents(spark, tmp_path):
     assert "".join(tree.itertext()) == "T & twordsab12"
 
 
+def test_workbooks_beyond_one_sheet(spark, tmp_path, monkeypatch):
+    import zipfile
+
+    from quillpanel.sources import office
+
+    path = str(tmp_path / "t.xlsx")
+    monkeypatch.setattr(io, "_PIECE_LETTERS", 20)
+    table = [(i, f"n{i} & <b>", None if i % 2 else "é") for i in range(7)]
+    for most, sheets in ((3, 3), (7, 1)):
+        office.write_workbook(path, ["k", "t", "T"], iter(table), most)
+        with zipfile.ZipFile(path) as z:
+            assert sum("worksheets" in n for n in z.namelist()) == sheets
+        assert list(office.workbook_rows(path)) == [["k", "t", "T"], *([str(k), t, x] for k, t, x in table)]
+        back = io.read_xlsx(spark, path)
+        assert back.columns == ["k", "t", "T"] and sorted(map(tuple, back.collect())) == [(str(k), t, x) for k, t, x in table]
+    monkeypatch.setattr(office, "_SHEET_LETTERS", 100)
+    office.write_workbook(path, ["k"], ([i] for i in range(50)))
+    assert [r[0] for r in office.workbook_rows(path)] == ["k", *map(str, range(50))]
+    monkeypatch.undo()
+    io.write_xlsx(spark.range(1_048_577).coalesce(1), path)
+    with zipfile.ZipFile(path) as z:
+        assert z.read("xl/workbook.xml").count(b"<sheet ") == 2 and z.read("xl/worksheets/sheet2.xml").count(b"<row>") == 3
+
+
+def test_other_sheets_are_not_read(tmp_path):
+    """Only a sheet that continues the first by its name and header is read with it."""
+    import zipfile
+
+    from quillpanel.sources import office
+
+    office.write_workbook(str(tmp_path / "t.xlsx"), ["k"], [[1], [2]], 1)
+    for old, new in ((b"Sheet1 continued 2", b"Sheet1 (2)"), (b">k<", b">other<")):
+        with zipfile.ZipFile(tmp_path / "t.xlsx") as z, zipfile.ZipFile(tmp_path / "other.xlsx", "w") as out:
+            for n in z.namelist():
+                out.writestr(n, z.read(n).replace(old, new) if n in ("xl/workbook.xml", "xl/worksheets/sheet2.xml") else z.read(n))
+        assert list(office.workbook_rows(str(tmp_path / "other.xlsx"))) == [["k"], ["1"]]
+
+
 def test_stored_tables_are_deleted_when_asked_for(spark):
     from pathlib import Path
 
