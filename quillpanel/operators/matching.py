@@ -4,6 +4,7 @@ are narrowed by location and teacher."""
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +12,9 @@ from pyspark.sql import functions as F
 from quillpanel.functions.text import close_names, contains_either, without_blanks
 from quillpanel.session import let, qcol
 
+if TYPE_CHECKING:
+    import pyarrow as pa
+
 
 @dataclass(frozen=True)
 class RetrievalSpec:
@@ -139,6 +143,39 @@ def close_pairs(left: DataFrame, right: DataFrame, tolerance: float) -> DataFram
     return candidates.filter(close_names(F.col("v"), F.col("n"), tolerance))
 
 
+# Parts of either side of a block: each part of one meets each of the other.
+_PARTS = 8
+
+
+def near_pairs(left: DataFrame, right: DataFrame, tolerance: float) -> DataFrame:
+    """(block, v, n): the same pairs as ``close_pairs``, by comparing all pairs of a block.
+
+    For tolerances of several edits in a name, where segments of so few letters as those of ``close_pairs`` are shared
+    by a good part of all pairs: its keys and candidates then outgrow the table many times, while a pair costs a few
+    nanoseconds here (see ``functions.near``). What is moved is each text ``_PARTS`` times, whatever the number of
+    pairs; what that leaves is compared once more by ``close_names``."""
+
+    def parts(df: DataFrame, text: str, own: str, other: str) -> DataFrame:
+        rows = df.select("block", text).filter(f"block IS NOT NULL AND trim({text}) <> ''").distinct().withColumn("low", without_blanks(F.col(text))).filter("low <> ''")
+        every = F.explode(F.sequence(F.lit(0), F.lit(_PARTS - 1)))
+        return rows.select("block", text, F.lower("low").alias("low"), F.pmod(F.xxhash64(text), F.lit(_PARTS)).cast("int").alias(own), every.alias(other))
+
+    def work(key: tuple[pa.Scalar, ...], a: pa.Table, b: pa.Table) -> pa.Table:
+        import pyarrow as pa
+
+        from quillpanel.functions import near
+
+        vs, ns, found = a.column("v"), b.column("n"), [(pa.array([], pa.int64()),) * 2]
+        found += [(pa.array(i), pa.array(j)) for i, j in near.near_pairs(vs.to_pylist(), a.column("low").to_pylist(), ns.to_pylist(), b.column("low").to_pylist(), tolerance)]
+        i, j = (pa.chunked_array(x) for x in zip(*found, strict=True))
+        return pa.Table.from_arrays([pa.array([key[0].as_py()] * len(i), pa.string()), vs.take(i), ns.take(j)], ["block", "v", "n"])
+
+    keys = ("block", "part_v", "part_n")
+    v, n = parts(left, "v", "part_v", "part_n"), parts(right, "n", "part_n", "part_v")
+    found = v.groupBy(*keys).cogroup(n.groupBy(*keys)).applyInArrow(work, "block string, v string, n string")
+    return found.filter(close_names(F.col("v"), F.col("n"), tolerance))
+
+
 def _matched_ids(survey: DataFrame, master: DataFrame, value: str, name: str, ident: str, tolerance: float | None) -> DataFrame:
     """(block, v, ids): the master's ``ident`` values that a survey value fits, each distinct value compared once.
 
@@ -146,10 +183,10 @@ def _matched_ids(survey: DataFrame, master: DataFrame, value: str, name: str, id
     entries = master.select("block", qcol(ident).alias("i"), qcol(name).alias("n")).filter("i IS NOT NULL")
     values = survey.select("block", qcol(value).alias("v"))
     if tolerance is not None:
-        pairs = close_pairs(values, entries.select("block", "n"), tolerance)
+        pairs = near_pairs(values, entries.select("block", "n"), tolerance)
     else:
         either = entries.select("block", "n").unionByName(entries.select("block", F.col("i").alias("n")))
-        pairs = close_pairs(values, either, 0.0).filter(contains_either(F.col("v"), F.col("n")))
+        pairs = near_pairs(values, either, 0.0).filter(contains_either(F.col("v"), F.col("n")))
         entries = entries.unionByName(entries.withColumn("n", F.col("i")))
     return pairs.join(entries.distinct(), ["block", "n"]).groupBy("block", "v").agg(F.collect_set("i").alias("ids"))
 
@@ -168,12 +205,12 @@ def retrieve_ids(survey: DataFrame, master: DataFrame, spec: RetrievalSpec, bloc
     rows without a match get the second. Location and teacher narrow several candidates; a flag says that one matched
     but no candidate has it.
     DUPLICATE_FLAG: another row retrieved the same. Rows without a block match nothing; repeated names are compared
-    once, and only where ``close_pairs`` finds that they can match. Other columns are not read, so they can't clash."""
+    once (see ``near_pairs``). Other columns are not read, so they can't clash."""
     s = survey.select(block.alias("block"), qcol(spec.row).alias("__row"), qcol(spec.name).alias("v"), qcol(spec.var1).alias("__v1"), qcol(spec.var2).alias("__v2"))
     named = (("id", spec.master_id), ("n", spec.master_name), ("n1", spec.master_var1), ("v1", spec.master_var1_id), ("n2", spec.master_var2), ("v2", spec.master_var2_id))
     m = master.select(master_block.alias("block"), *(qcol(c).alias(a) for a, c in named)).filter("block IS NOT NULL")
     entries = m.filter("id IS NOT NULL").groupBy("block", "n").agg(F.collect_set(F.struct("id", "v1", "v2")).alias("cs"))
-    pairs = close_pairs(s.select("block", "v"), entries.select("block", "n"), spec.second_tolerance)
+    pairs = near_pairs(s.select("block", "v"), entries.select("block", "n"), spec.second_tolerance)
     first = close_names(F.col("v"), F.col("n"), spec.first_tolerance)
     hits = pairs.join(entries, ["block", "n"]).groupBy("block", "v").agg(F.flatten(F.collect_list(F.when(first, F.col("cs")))).alias("one"), F.flatten(F.collect_list("cs")).alias("two"))
     hits = hits.select("block", "v", F.when(F.size("one") > 0, F.col("one")).otherwise(F.col("two")).alias("candidates"))

@@ -108,3 +108,45 @@ def test_close_pairs_against_all_pairs(spark):
         every = lo.distinct().join(ro.distinct(), "block").filter("trim(v) <> '' AND trim(n) <> ''").filter(close_names(F.col("v"), F.col("n"), tolerance))
         assert {(r.v, r.n) for r in matching.close_pairs(lo, ro, tolerance).collect()} == {(r.v, r.n) for r in every.collect()}
     assert matching.close_pairs(lo.limit(0), ro, 0.2).count() == 0
+
+
+def test_near_pairs_against_all_pairs(spark):
+    import random
+
+    from quillpanel.functions import text
+
+    rng = random.Random(4)
+    word = lambda letters, most: "".join(rng.choice(letters) for _ in range(rng.randrange(1, most)))
+    for letters, most in (("abc ", 14), ("AbÉéĀā\t-", 9), ("ab", 90)):
+        left = [("x", word(letters, most)) for _ in range(40)] + [(None, "a"), ("x", None), ("y", "abcabc"), ("x", "\t"), ("x", "SARA"), ("x", "zz" * 300)]
+        right = [("x", (v or "")[:9] + word(letters, most)) for _, v in left] + left[:9] + [("x", "x sara Y"), ("x", "zz" * 302), ("z", "a")]
+        lo, ro = spark.createDataFrame(left, "block string, v string"), spark.createDataFrame(right, "block string, n string")
+        for tolerance in (0.0, 0.2):
+            every = lo.distinct().join(ro.distinct(), "block").filter((text.without_blanks(F.col("v")) != "") & (text.without_blanks(F.col("n")) != "")).filter(text.close_names(F.col("v"), F.col("n"), tolerance))
+            got = [tuple(r) for r in matching.near_pairs(lo, ro, tolerance).collect()]
+            assert len(got) == len(set(got)) and set(got) == {(r.block, r.v, r.n) for r in every.select("block", "v", "n").collect()}
+    assert matching.near_pairs(lo.limit(0), ro, 0.2).count() == 0
+
+
+def test_retrieval_moves_no_more_than_its_rows(spark):
+    """Names within several edits share so short segments that keys for them were thousands a name."""
+    import random
+
+    rng = random.Random(5)
+    name = lambda: " ".join("".join(rng.choice("bdgklmnrst") + rng.choice("aeiou") for _ in range(4)) for _ in range(3)).upper()
+    masters = [(f"A{i}", name(), f"PLACE {i % 7}", f"L{i % 7}", f"T{i % 9}", f"TEACHER {i % 9}") for i in range(200)]
+    rows = [(f"s{i}", m[1][:3] + "X" + m[1][3:], m[3], m[5]) for i, m in enumerate(masters[:60])]
+    master = spark.createDataFrame(masters, "sid string, name string, loc string, loc_id string, t_id string, t string")
+    survey = spark.createDataFrame(rows, "row string, name string, loc string, t string")
+    spec = matching.RetrievalSpec("row", "name", "loc", "t", "sid", "name", "loc", "loc_id", "t", "t_id")
+    sc = spark.sparkContext
+    written = lambda: sum(s.shuffleWriteRecords() for s in sc._jvm.scala.jdk.javaapi.CollectionConverters.asJava(sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), None)))
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        before = written()
+        got = {r.row: r.retrieved for r in matching.retrieve_ids(survey, master, spec, F.lit("A"), F.lit("A")).collect()}
+        assert got == {f"s{i}": f"A{i}" for i in range(60)}
+        assert 0 < written() - before < 20_000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
